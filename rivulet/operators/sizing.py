@@ -1,0 +1,13 @@
+"""Size checks before a broadcast or a collect."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Largest table (rows) that is broadcast to every task.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows; reads at most max_rows+1 per task."""
+    return df.limit(max_rows + 1).count() <= max_rows
