@@ -43,12 +43,22 @@ def mean(a) -> Column:
 
 
 def var_pop(a) -> Column:
-    """Population variance, two passes over the array (mean first)."""
+    """Population variance in one pass (Welford's running mean and squared deviations).
+
+    A mean computed outside the lambda would be re-evaluated for every
+    element (no common-subexpression reuse inside lambdas); the running
+    form is linear and numerically stable.
+    """
     a = _c(a)
-    n = F.size(a)
-    m = mean(a)
-    sq = F.aggregate(a, F.lit(0.0).cast("double"), lambda acc, x: acc + (x - m) * (x - m))
-    return F.when(n > 0, sq / n)
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("s"))
+
+    def step(acc, x):
+        n1 = acc["n"] + 1
+        d = x - acc["m"]
+        m1 = acc["m"] + d / n1
+        return F.struct(n1.alias("n"), m1.alias("m"), (acc["s"] + d * (x - m1)).alias("s"))
+
+    return F.aggregate(a, zero, step, lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]))
 
 
 def stats(a) -> Column:

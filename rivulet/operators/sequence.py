@@ -5,7 +5,7 @@ row of a copy into one task: four copies means four tasks, and a key that
 holds a third of the data means one task holds a third of the data. Here the
 same numbers are computed as a segmented scan:
 
-1. *Range buckets.* ``approxQuantile`` on the order column gives literal
+1. *Range buckets.* Approximate quantiles of the order column give literal
    boundaries (a small list, its length chosen from the row count); the
    bucket of a row is the number of boundaries at or below its order value
    (``Bucketizer``, a binary search in the JVM). The bucket is a pure
@@ -13,9 +13,10 @@ same numbers are computed as a segmented scan:
    much more than ``rows / n_buckets`` rows whatever the key skew is.
 2. *Local scan.* A window over ``(key, bucket)`` ordered by the order column
    gives the running values inside each bucket.
-3. *Offsets.* Totals per ``(key, bucket)`` (one row per pair; computed on
-   data already partitioned by the window, so no extra shuffle) are scanned
-   per key in bucket order. This table has at most ``keys × n_buckets`` rows.
+3. *Offsets.* Totals per ``(key, bucket)`` (one row per pair, from a
+   partial aggregate, so only that many rows per task are shuffled) are
+   scanned per key in bucket order. This table has at most
+   ``keys × n_buckets`` rows.
 4. *Join back* on ``(key, bucket)``; the large side keeps its partitioning.
 
 Keys are wrapped in one struct column, so a null key is one group and joins
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from ..session import shuffle_partitions
 
 # Rows per range bucket when the bucket count is derived from the row count.
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 10_000_000
 
 _KEY = "__rv_key"
 _BUCKET = "__rv_bucket"
@@ -61,81 +62,103 @@ def _common_prefix_bytes(lo: str | None, hi: str | None) -> int:
     return n
 
 
-def order_key(df: DataFrame, order_col: str):
-    """(row count, monotone double Column) for the order column.
+def order_key(df: DataFrame, order_col: str) -> Column:
+    """A monotone double Column for the order column.
 
     The double only needs to be monotone (ties allowed): it decides the
     bucket, and the exact order inside a bucket comes from the real column.
-    One small aggregate job gives the count (and min/max for strings).
+    Strings use 7 bytes after the prefix shared by all values (one small
+    min/max job finds it).
     """
     dtype = df.schema[order_col].dataType
     c = F.col(order_col)
     if isinstance(dtype, T.StringType):
-        row = df.agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-        return row["n"], _prefix_key(c, _common_prefix_bytes(row["lo"], row["hi"]))
-    n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        row = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+        return _prefix_key(c, _common_prefix_bytes(row["lo"], row["hi"]))
     if isinstance(dtype, T.TimestampNTZType):
-        return n, F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c).cast("double")
+        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c).cast("double")
     if isinstance(dtype, T.TimestampType):
-        return n, F.unix_micros(c).cast("double")
+        return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):
-        return n, F.unix_date(c).cast("double")
+        return F.unix_date(c).cast("double")
     if isinstance(dtype, T.NumericType):
-        return n, c.cast("double")
+        return c.cast("double")
     raise TypeError(f"cannot order by {order_col} of type {dtype.simpleString()}")
 
 
+# Rows per bucket and bucket cap used when the bucket count is derived from
+# the row count: 1e12 rows → 1e5 buckets of 1e7 rows (a window sort spills).
+MAX_BUCKETS = 100_000
+
+
+def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None,
+                     rows_per_bucket: int = ROWS_PER_BUCKET):
+    """(monotone key Column, sorted distinct boundaries) for range buckets.
+
+    One aggregate job returns the row count and approximate quantiles for
+    ``n_buckets`` (default: the shuffle partition count, so a hot key is
+    spread over every task). If the count asks for more buckets
+    (``rows / rows_per_bucket``, at most ``MAX_BUCKETS``) a second quantile
+    job refines them. Only the boundaries reach the driver.
+    """
+    key = order_key(df, order_col)
+    first = int(n_buckets or shuffle_partitions(df.sparkSession))
+    probs = [j / first for j in range(1, first)]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if probs:
+        aggs.append(F.percentile_approx(_ORD, probs, max(10_000, 4 * first)).alias("q"))
+    row = df.select(key.alias(_ORD)).agg(*aggs).first()
+    n = row["n"]
+    if n == 0 or first <= 1:
+        return key, []
+    qs = row["q"]
+    if n_buckets is None:
+        wanted = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
+        if wanted > first:
+            err = max(1e-6, 0.25 / wanted)
+            qs = df.select(key.alias(_ORD)).approxQuantile(_ORD, [j / wanted for j in range(1, wanted)], err)
+    return key, sorted({q for q in qs if q is not None and not math.isnan(q)})
+
+
 def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None,
                       rows_per_bucket: int = ROWS_PER_BUCKET, bucket_col: str = _BUCKET) -> DataFrame:
     """Add ``bucket_col``: range bucket of ``order_col`` (monotone in it)."""
     from pyspark.ml.feature import Bucketizer
 
-    n, key = order_key(df, order_col)
-    if n_buckets is None:
-        n_buckets = max(shuffle_partitions(df.sparkSession), math.ceil(n / rows_per_bucket))
-    if n_buckets <= 1 or n == 0:
-        return df.withColumn(bucket_col, F.lit(0))
-    keyed = df.withColumn(_ORD, key)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    err = min(0.01, max(1e-6, 0.25 / n_buckets))
-    qs = keyed.approxQuantile(_ORD, probs, err)
-    splits = sorted({q for q in qs if q is not None and not math.isnan(q)})
+    key, splits = range_boundaries(df, order_col, n_buckets, rows_per_bucket)
     if not splits:
         return df.withColumn(bucket_col, F.lit(0))
     bz = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=_ORD,
                     outputCol=bucket_col, handleInvalid="keep")
     # Null order values sort first in Spark, so they belong to bucket 0.
-    return (bz.transform(keyed)
+    return (bz.transform(df.withColumn(_ORD, key))
             .withColumn(bucket_col, F.coalesce(F.col(bucket_col).cast("int"), F.lit(0)))
             .drop(_ORD))
 
 
-# fn name → (running window expr, per-bucket total expr, combine of totals, combine offset+local)
-def _running(fn: str, c: str | None, w_rows, w_order):
+def _running(fn: str, c: str | None, w_rows, w_order) -> Column:
     if fn == "count":
         return F.row_number().over(w_order).cast("long")
-    col = F.col(c)
-    return {"sum": F.sum, "min": F.min, "max": F.max}[fn](col).over(w_rows)
+    return {"sum": F.sum, "min": F.min, "max": F.max}[fn](F.col(c)).over(w_rows)
 
 
-def _total(fn: str, local_name: str) -> Column:
-    # The last running value of a bucket is its total; max() of a running
-    # count/sum is not right for negative sums, so use max_by on the row index.
-    return F.max_by(F.col(local_name), F.col("__rv_idx"))
+def _total(fn: str, c: str | None) -> Column:
+    if fn == "count":
+        return F.count(F.lit(1))
+    return {"sum": F.sum, "min": F.min, "max": F.max}[fn](F.col(c))
 
 
 def _carry(fn: str, name: str, w_prev) -> Column:
-    col = F.col(name)
-    if fn in ("count", "sum"):
-        return F.sum(col).over(w_prev)
-    return {"min": F.min, "max": F.max}[fn](col).over(w_prev)
+    agg = F.sum if fn in ("count", "sum") else {"min": F.min, "max": F.max}[fn]
+    return agg(F.col(name)).over(w_prev)
 
 
 def _merge(fn: str, carry: Column, local: Column) -> Column:
     if fn == "count":
         return F.coalesce(carry, F.lit(0)).cast("long") + local
     if fn == "sum":
-        return F.when(carry.isNull(), local).otherwise(carry + local)
+        # null only while no value has been seen, as SQL's running sum
+        return F.when(carry.isNull(), local).when(local.isNull(), carry).otherwise(carry + local)
     if fn == "min":
         return F.least(carry, local)
     return F.greatest(carry, local)
@@ -148,6 +171,12 @@ def running_values(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: i
     ``aggs`` maps an output name to ``"count"`` or to ``(fn, column)`` with
     fn in ``sum``, ``min``, ``max``. Equal to
     ``fn(column) OVER (PARTITION BY keys ORDER BY order_col ROWS UNBOUNDED PRECEDING)``.
+
+    Plan: one shuffle of the records on (key, bucket) for the local
+    window; the bucket totals come from a second, column-pruned scan with
+    map-side partial aggregation (a shuffle of ``keys × buckets`` rows per
+    task at most), are scanned per key and joined back on (key, bucket),
+    which keeps the partitioning of the large side.
     """
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     spec = {}
@@ -163,19 +192,18 @@ def running_values(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: i
     w_order = Window.partitionBy(*part).orderBy(F.col(order_col))
     w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    local = b.withColumn("__rv_idx", F.row_number().over(w_order))
+    local = b
     for name, (fn, c) in spec.items():
         local = local.withColumn(f"__l_{name}", _running(fn, c, w_rows, w_order))
 
-    totals = local.groupBy(*part).agg(*[_total(fn, f"__l_{name}").alias(f"__t_{name}")
-                                        for name, (fn, _) in spec.items()])
+    totals = b.groupBy(*part).agg(*[_total(fn, c).alias(f"__t_{name}") for name, (fn, c) in spec.items()])
     w_prev = Window.partitionBy(_KEY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(*part, *[_carry(fn, f"__t_{name}", w_prev).alias(f"__o_{name}")
                                      for name, (fn, _) in spec.items()])
     out = local.join(carries, on=part, how="inner")
     for name, (fn, _) in spec.items():
         out = out.withColumn(name, _merge(fn, F.col(f"__o_{name}"), F.col(f"__l_{name}")))
-    drop = [_KEY, _BUCKET, "__rv_idx"] + [f"__{p}_{n}" for n in spec for p in ("l", "o")]
+    drop = [_KEY, _BUCKET] + [f"__{p}_{n}" for n in spec for p in ("l", "o")]
     return out.drop(*drop)
 
 

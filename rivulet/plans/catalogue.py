@@ -17,6 +17,7 @@ from ..operators.metrics import batch_count, throughput
 from ..operators.steps import copy_keys, create_id, rename_key, skip
 from ..sources.files import file_blocks, read_recursive, read_table
 from ..sources.generated import assign_copies, lines_of, random_items
+from ..sources.limits import item_limit, running_id
 from ..streaming.runs import final_window_counts, grouped_stream, route_stream, stream_table, windowed_count
 from ..streaming.state import keyed_counts, latest_counts
 from .flow import Flow
@@ -133,13 +134,11 @@ def source_copies_union(spark, sf_dir):
 
 
 def source_running_id(spark, sf_dir):
-    numbered = create_id("id", order_by="event_id", keys=["copy"])(_copies(spark, sf_dir))
-    return numbered.select("event_id", "copy", "id")
+    return running_id(_copies(spark, sf_dir), "event_id", copy_col="copy", id_col="id").select("event_id", "copy", "id")
 
 
 def source_limit(spark, sf_dir):
-    numbered = create_id("id", order_by="event_id", keys=["copy"])(_copies(spark, sf_dir))
-    return numbered.where(F.col("id") <= ITEM_LIMIT).select("event_id", "copy")
+    return item_limit(_copies(spark, sf_dir), ITEM_LIMIT, order_by="event_id", copy_col="copy").select("event_id", "copy")
 
 
 def source_lines(spark, sf_dir):

@@ -74,3 +74,15 @@ def test_empty_and_all_null_key(spark):
     nulls = spark.createDataFrame([(i, None) for i in range(50)], "o long, k string")
     ids = sorted(r["id"] for r in dense_id(nulls, "o", keys=["k"], n_buckets=3).collect())
     assert ids == list(range(1, 51))
+
+
+def test_running_sum_with_nulls_across_buckets(spark):
+    rows = [(i, "k", None if i % 5 else float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "o long, k string, v double")
+    got = running_values(df, ["k"], "o", {"s": ("sum", "v"), "m": ("min", "v")}, n_buckets=7)
+    assert sorted(got.select("o", "s", "m").collect()) == sorted(_window_truth_nulls(df).collect())
+
+
+def _window_truth_nulls(df):
+    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.select("o", F.sum("v").over(w).alias("s"), F.min("v").over(w).alias("m"))

@@ -83,3 +83,18 @@ def test_lines_and_random_and_copies(spark):
     assert c.select("copy").distinct().count() <= 4 and c.count() == ev.count()
     u = union_sources(ev.select("event_id"), ev.select("event_id", "user_id"))
     assert u.columns == ["event_id", "user_id"] and u.count() == 2 * ev.count()
+
+
+def test_item_limit_and_running_id(spark, capsys):
+    from rivulet.operators.sinks import print_data
+    from rivulet.sources.limits import item_limit, running_id
+
+    ev = assign_copies(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), 3, key="user_id")
+    lim = item_limit(ev, 7, order_by="event_id", copy_col="copy")
+    assert sorted(r["count"] for r in lim.groupBy("copy").count().collect()) == [7, 7, 7]
+    assert item_limit(ev, 5).count() == 5
+    ids = running_id(ev, "event_id", "copy")
+    for r in ids.groupBy("copy").agg(F.min("ID").alias("a"), F.max("ID").alias("b"), F.count("*").alias("c")).collect():
+        assert r["a"] == 1 and r["b"] == r["c"]
+    print_data(lim, 3)
+    assert "event_id" in capsys.readouterr().out
