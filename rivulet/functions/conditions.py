@@ -28,47 +28,73 @@ def _val(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+def _total(c: Column) -> Column:
+    """Mark a Column as never null, so :func:`as_condition` leaves it as is."""
+    c._rivulet_total = True  # type: ignore[attr-defined]
+    return c
+
+
+def _known(*cols) -> Column:
+    """``a IS NOT NULL AND b IS NOT NULL …`` for the Column operands."""
+    out = None
+    for c in cols:
+        if isinstance(c, Column):
+            out = c.isNotNull() if out is None else out & c.isNotNull()
+    return out
+
+
+def _compare(c, value, op) -> Column:
+    # ``x op y AND x IS NOT NULL`` is false (not null) when x is null, since
+    # NULL AND FALSE is FALSE; unlike coalesce(…, false) it reaches the scan
+    # as a pushed filter.
+    left = _col(c)
+    right = value if isinstance(value, Column) else F.lit(value)
+    return _total(op(left, right) & _known(left, value if isinstance(value, Column) else None))
+
+
 def eq(c, value) -> Column:
     """``c = value`` where null equals null (``IS NOT DISTINCT FROM``)."""
-    return _col(c).eqNullSafe(_val(value))
+    return _total(_col(c).eqNullSafe(_val(value)))
 
 
 def ne(c, value) -> Column:
     """``c != value`` where null differs from any value (``IS DISTINCT FROM``)."""
-    return ~_col(c).eqNullSafe(_val(value))
+    return _total(~_col(c).eqNullSafe(_val(value)))
 
 
 def is_null(c) -> Column:
-    return _col(c).isNull()
+    return _total(_col(c).isNull())
 
 
 def not_null(c) -> Column:
-    return _col(c).isNotNull()
+    return _total(_col(c).isNotNull())
 
 
 def lt(c, value) -> Column:
     """``c < value``; a null side gives false."""
-    return F.coalesce(_col(c) < _val(value), F.lit(False))
+    return _compare(c, value, lambda a, b: a < b)
 
 
 def le(c, value) -> Column:
-    return F.coalesce(_col(c) <= _val(value), F.lit(False))
+    return _compare(c, value, lambda a, b: a <= b)
 
 
 def gt(c, value) -> Column:
-    return F.coalesce(_col(c) > _val(value), F.lit(False))
+    return _compare(c, value, lambda a, b: a > b)
 
 
 def ge(c, value) -> Column:
-    return F.coalesce(_col(c) >= _val(value), F.lit(False))
+    return _compare(c, value, lambda a, b: a >= b)
 
 
 def isin(c, values) -> Column:
-    return F.coalesce(_col(c).isin(list(values)), F.lit(False))
+    vals = [v for v in values if v is not None]
+    left = _col(c)
+    return _total(left.isin(vals) & left.isNotNull()) if vals else _total(F.lit(False))
 
 
 def always() -> Column:
-    return F.lit(True)
+    return _total(F.lit(True))
 
 
 def as_condition(cond) -> Column:
@@ -79,10 +105,12 @@ def as_condition(cond) -> Column:
     or skips a record. Use :func:`ne`/:func:`eq` when null should compare.
     """
     if isinstance(cond, bool):
-        return F.lit(cond)
+        return _total(F.lit(cond))
+    if isinstance(cond, Column) and cond.__dict__.get("_rivulet_total", False):
+        return cond
     if isinstance(cond, str):
         cond = F.expr(cond)
-    return F.coalesce(cond, F.lit(False))
+    return _total(F.coalesce(cond, F.lit(False)))
 
 
 def column(c) -> Column:

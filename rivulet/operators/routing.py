@@ -61,11 +61,11 @@ def write_queues(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
                  label_col: str = QUEUE_COL) -> None:
     """All queues in one write, one folder ``spark_queue=<name>`` per queue (K3).
 
-    Records are clustered by label before the write so each task writes few
-    files; with AQE the shuffle is coalesced to sensible sizes.
+    No shuffle: each task writes at most one file per queue (the writer
+    sorts its own rows by label). Clustering by label first would send a
+    whole queue to one task.
     """
     (df.where(F.col(label_col).isNotNull())
-       .repartition(label_col)
        .write.mode(mode).format(fmt).partitionBy(label_col).save(path))
 
 

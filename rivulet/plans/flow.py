@@ -24,8 +24,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.conditions import as_condition
 from ..operators.keyed import grouped
-from ..operators.routing import QUEUE_COL, enqueue, split_queue, write_queues
+from ..operators.routing import QUEUE_COL, enqueue, write_queues
 from ..operators.steps import chain
 from ..sources.generated import union_sources
 
@@ -41,7 +42,7 @@ def _names(v) -> list[str]:
 class Flow:
     def __init__(self):
         self._named: dict[str, DataFrame] = {}
-        self._queues: dict[str, list[DataFrame]] = {}
+        self._queues: dict[str, list[tuple[DataFrame, object]]] = {}
         self._routed: dict[str, DataFrame] = {}
         self.terminals: dict[str, DataFrame] = {}
 
@@ -61,7 +62,9 @@ class Flow:
         if name in self._named:
             return self._named[name]
         if name in self._queues:
-            return union_sources(*[split_queue(r, name) for r in self._queues[name]])
+            # A queue read on its own is its producers' records filtered by the
+            # queue's condition: the filter can reach the scan, nothing is exploded.
+            return union_sources(*[df.where(as_condition(c)) for df, c in self._queues[name]])
         raise KeyError(f"no flow named {name!r} (known: {', '.join(self.names()) or 'none'})")
 
     # -- building ----------------------------------------------------
@@ -86,13 +89,10 @@ class Flow:
         if queues:
             routed = enqueue(df, queues, pass_through=pass_through and bool(outputs))
             self._routed[id] = routed
-            seen = []
-            for q, _ in (queues.items() if isinstance(queues, dict) else queues):
-                if q not in seen:
-                    seen.append(q)
-                    if q in self._named:
-                        raise ValueError(f"queue {q!r} clashes with a flow of that name")
-                    self._queues.setdefault(q, []).append(routed)
+            for q, cond in (queues.items() if isinstance(queues, dict) else queues):
+                if q in self._named:
+                    raise ValueError(f"queue {q!r} clashes with a flow of that name")
+                self._queues.setdefault(q, []).append((df, cond))
             if pass_through and outputs:
                 result = routed
         if outputs:
