@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import fits
-
 
 def as_doubles(a) -> Column:
     return (F.col(a) if isinstance(a, str) else a).cast("array<double>")
@@ -135,9 +133,10 @@ def calibration_array(table: DataFrame, pos_col: str = "pos", value_col: str = "
     array length, not by the number of records — and it is checked before
     it is brought to the driver. Missing positions are null.
     """
-    if not fits(table, max_positions):
+    got = table.select(pos_col, value_col).limit(max_positions + 1).collect()
+    if len(got) > max_positions:
         raise ValueError(f"calibration table has more than {max_positions} positions")
-    rows = {int(r[pos_col]): r[value_col] for r in table.select(pos_col, value_col).collect()}
+    rows = {int(r[pos_col]): r[value_col] for r in got}
     if not rows:
         return F.array().cast("array<double>")
     vals = [rows.get(i) for i in range(max(rows) + 1)]

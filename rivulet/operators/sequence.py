@@ -36,6 +36,10 @@ from ..session import shuffle_partitions
 
 # Rows per range bucket when the bucket count is derived from the row count.
 ROWS_PER_BUCKET = 10_000_000
+# Up to this many input rows a plain window is used (one task never holds
+# more); the session setting ``rivulet.segmentedScan.minRows`` overrides it.
+SMALL_INPUT_ROWS = 2_000_000
+MIN_ROWS_CONF = "rivulet.segmentedScan.minRows"
 
 _KEY = "__rv_key"
 _BUCKET = "__rv_bucket"
@@ -93,7 +97,7 @@ MAX_BUCKETS = 100_000
 
 def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None,
                      rows_per_bucket: int = ROWS_PER_BUCKET):
-    """(monotone key Column, sorted distinct boundaries) for range buckets.
+    """(row count, monotone key Column, sorted distinct boundaries) for range buckets.
 
     One aggregate job returns the row count and approximate quantiles for
     ``n_buckets`` (default: the shuffle partition count, so a hot key is
@@ -110,22 +114,26 @@ def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None
     row = df.select(key.alias(_ORD)).agg(*aggs).first()
     n = row["n"]
     if n == 0 or first <= 1:
-        return key, []
+        return n, key, []
     qs = row["q"]
     if n_buckets is None:
         wanted = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
         if wanted > first:
             err = max(1e-6, 0.25 / wanted)
             qs = df.select(key.alias(_ORD)).approxQuantile(_ORD, [j / wanted for j in range(1, wanted)], err)
-    return key, sorted({q for q in qs if q is not None and not math.isnan(q)})
+    return n, key, sorted({q for q in qs if q is not None and not math.isnan(q)})
 
 
 def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None,
                       rows_per_bucket: int = ROWS_PER_BUCKET, bucket_col: str = _BUCKET) -> DataFrame:
     """Add ``bucket_col``: range bucket of ``order_col`` (monotone in it)."""
+    _, key, splits = range_boundaries(df, order_col, n_buckets, rows_per_bucket)
+    return _bucketize(df, key, splits, bucket_col)
+
+
+def _bucketize(df: DataFrame, key: Column, splits, bucket_col: str = _BUCKET) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
 
-    key, splits = range_boundaries(df, order_col, n_buckets, rows_per_bucket)
     if not splits:
         return df.withColumn(bucket_col, F.lit(0))
     bz = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=_ORD,
@@ -166,6 +174,11 @@ def _merge(fn: str, carry: Column, local: Column) -> Column:
 
 def running_values(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: int | None = None,
                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket)[0]
+
+
+def running_values_counted(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: int | None = None,
+                           rows_per_bucket: int = ROWS_PER_BUCKET):
     """Add running aggregates per key in ``order_col`` order (frame: rows up to the current one).
 
     ``aggs`` maps an output name to ``"count"`` or to ``(fn, column)`` with
@@ -177,6 +190,10 @@ def running_values(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: i
     map-side partial aggregation (a shuffle of ``keys × buckets`` rows per
     task at most), are scanned per key and joined back on (key, bucket),
     which keeps the partitioning of the large side.
+
+    Inputs of at most ``SMALL_INPUT_ROWS`` rows (known from the same job
+    that finds the boundaries) use the plain key window instead: no task
+    can then hold more than that many rows. Returns ``(DataFrame, rows)``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     spec = {}
@@ -186,8 +203,18 @@ def running_values(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: i
             raise ValueError(f"running {fn} is not supported")
         spec[name] = (fn, c)
 
+    n, okey, splits = range_boundaries(df, order_col, n_buckets, rows_per_bucket)
+    small = int(df.sparkSession.conf.get(MIN_ROWS_CONF, str(SMALL_INPUT_ROWS)))
+    if n_buckets is None and n <= small:
+        w_order = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(F.col(order_col))
+        w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = df
+        for name, (fn, c) in spec.items():
+            out = out.withColumn(name, _running(fn, c, w_rows, w_order))
+        return out, n
+
     key_col = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
-    b = with_range_bucket(df, order_col, n_buckets, rows_per_bucket).withColumn(_KEY, key_col)
+    b = _bucketize(df, okey, splits).withColumn(_KEY, key_col)
     part = [_KEY, _BUCKET]
     w_order = Window.partitionBy(*part).orderBy(F.col(order_col))
     w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -203,10 +230,15 @@ def running_values(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: i
     out = local.join(carries, on=part, how="inner")
     for name, (fn, _) in spec.items():
         out = out.withColumn(name, _merge(fn, F.col(f"__o_{name}"), F.col(f"__l_{name}")))
-    drop = [_KEY, _BUCKET] + [f"__{p}_{n}" for n in spec for p in ("l", "o")]
-    return out.drop(*drop)
+    drop = [_KEY, _BUCKET] + [f"__{p}_{name}" for name in spec for p in ("l", "o")]
+    return out.drop(*drop), n
 
 
 def dense_id(df: DataFrame, order_col: str, keys=(), id_col: str = "id", **kw) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order_col)`` as a long, skew-safe."""
     return running_values(df, keys, order_col, {id_col: "count"}, **kw)
+
+
+def dense_id_counted(df: DataFrame, order_col: str, keys=(), id_col: str = "id", **kw):
+    """:func:`dense_id` and the input row count (from the job it runs anyway)."""
+    return running_values_counted(df, keys, order_col, {id_col: "count"}, **kw)

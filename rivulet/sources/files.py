@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sizing import BROADCAST_MAX_ROWS, fits
-from ..operators.sequence import dense_id
+from ..operators.sequence import dense_id_counted
 
 FILE_COL = "source_file"
 
@@ -91,12 +91,12 @@ def file_blocks(listing: DataFrame, order_col: str, limit_files: int | None, cop
     Entries are ranked by ``order_col`` (unique). Block size is
     ``floor(kept / copies)``; copy ``i`` takes ranks ``i*block+1 …``, the
     last copy the rest. With fewer entries than copies, copies shrink to the
-    entry count (Q10). One count job gives ``kept``.
+    entry count (Q10). The row count comes from the ranking's own job.
     """
-    ranked = dense_id(listing, order_col, id_col=rank_col)
+    ranked, n = dense_id_counted(listing, order_col, id_col=rank_col)
+    kept = n if limit_files is None else min(n, int(limit_files))
     if limit_files is not None:
         ranked = ranked.where(F.col(rank_col) <= int(limit_files))
-    kept = ranked.count()
     copies = max(1, min(int(copies), kept))
     block = max(1, kept // copies)
     copy = F.least(F.floor((F.col(rank_col) - 1) / block), F.lit(copies - 1)).cast("int")

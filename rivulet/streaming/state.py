@@ -14,25 +14,48 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import ensure_state_store, scratch_path
 from .runs import _run, _start
 
-SALT_COL = "__salt"
+
+def partial_counts(key_col: str, order_col: str):
+    """Per input partition: ``(key, n, last)`` — rows and largest order value per key.
+
+    Stateless, so it runs before the shuffle of a streaming query: the
+    stateful step then gets at most one row per key per partition, and a key
+    holding a third of a micro-batch is combined where it was read.
+    """
+
+    def fn(batches):
+        parts = []
+        for pdf in batches:
+            if len(pdf):
+                parts.append(pdf.groupby(key_col, dropna=False, sort=False)[order_col]
+                             .agg(["size", "max"]).reset_index())
+        if not parts:
+            return
+        allp = pd.concat(parts, ignore_index=True)
+        out = (allp.groupby(key_col, dropna=False, sort=False)
+               .agg(n=("size", "sum"), last=("max", "max")).reset_index())
+        out["n"] = out["n"].astype("int64")
+        out["last"] = out["last"].astype("Int64")
+        yield out
+
+    return fn
 
 
 class KeyedCounter(StatefulProcessor):
-    """Per grouping key: records seen so far (``n``) and the largest order value (``last``).
+    """Per key: records seen so far (``n``) and the largest order value (``last``).
 
-    In update mode each key comes out once per micro-batch it appears in,
-    with its totals so far. The grouping key may be ``(key, salt)``; the
-    output then carries the salt and :func:`latest_counts` merges the salts.
+    Input rows are partial counts ``(key, n, last)`` (see
+    :func:`partial_counts`). In update mode each key comes out once per
+    micro-batch it appears in, with its totals so far.
     """
 
-    def __init__(self, key_cols, order_col: str, ttl_ms: int | None = None):
-        self.key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-        self.order_col = order_col
+    def __init__(self, key_col: str, ttl_ms: int | None = None):
+        self.key_col = key_col
         self.ttl_ms = ttl_ms
 
     def init(self, handle) -> None:
@@ -44,14 +67,12 @@ class KeyedCounter(StatefulProcessor):
         if self.state.exists():
             n, last = self.state.get()
         for pdf in rows:
-            n += len(pdf)
-            m = pdf[self.order_col].max()
+            n += int(pdf["n"].sum())
+            m = pdf["last"].max()
             if pd.notna(m):
                 last = int(m) if last is None else max(last, int(m))
         self.state.update((n, last))
-        out = {c: [k] for c, k in zip(self.key_cols, key)}
-        out.update({"n": [n], "last": [last]})
-        yield pd.DataFrame(out)
+        yield pd.DataFrame({self.key_col: [key[0]], "n": [n], "last": [last]})
 
     def close(self) -> None:
         pass
@@ -69,23 +90,21 @@ def keyed_state(stream: DataFrame, by, processor: StatefulProcessor, output_sche
 
 def keyed_counts(stream: DataFrame, key_col: str, order_col: str, out: str | None = None,
                  checkpoint: str | None = None, trigger: dict | None = None, wait: bool = True,
-                 timeout_s: float | None = 600, ttl_ms: int | None = None, salts: int = 8):
+                 timeout_s: float | None = 600, ttl_ms: int | None = None):
     """Run :class:`KeyedCounter`; every micro-batch's updates go to ``<out>/batch_id=<i>``.
 
-    Counts and maxima merge exactly, so each key is split into ``salts``
-    sub-keys (``pmod(xxhash64(order), salts)``): a key holding a third of a
-    batch is spread over ``salts`` tasks instead of one. State holds at most
-    ``keys × salts`` entries; :func:`latest_counts` merges them.
+    Records are first combined per input partition (:func:`partial_counts`),
+    so the shuffle into the state store carries at most keys × partitions
+    rows per micro-batch, whatever the key skew.
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, "state-out")
     checkpoint = checkpoint or scratch_path(spark, "state-ckpt")
     key_type = stream.schema[key_col].dataType
-    schema = StructType([StructField(key_col, key_type), StructField(SALT_COL, IntegerType()),
-                         StructField("n", LongType()), StructField("last", LongType())])
-    salted = stream.select(key_col, order_col,
-                           F.pmod(F.xxhash64(order_col), F.lit(max(1, int(salts)))).cast("int").alias(SALT_COL))
-    updates = keyed_state(salted, [key_col, SALT_COL], KeyedCounter([key_col, SALT_COL], order_col, ttl_ms), schema)
+    partial_schema = StructType([StructField(key_col, key_type), StructField("n", LongType()),
+                                 StructField("last", LongType())])
+    partial = stream.select(key_col, order_col).mapInPandas(partial_counts(key_col, order_col), partial_schema)
+    updates = keyed_state(partial, key_col, KeyedCounter(key_col, ttl_ms), partial_schema)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
@@ -95,11 +114,6 @@ def keyed_counts(stream: DataFrame, key_col: str, order_col: str, out: str | Non
 
 
 def latest_counts(spark: SparkSession, out: str, key_col: str) -> DataFrame:
-    """Current state per key from the update log.
-
-    Per (key, salt) the row with the largest ``n`` is the latest; the salts
-    of a key are then added up (``n``) and maximized (``last``).
-    """
-    per_salt = (spark.read.parquet(out).groupBy(key_col, SALT_COL)
-                .agg(F.max("n").alias("n"), F.max("last").alias("last")))
-    return per_salt.groupBy(key_col).agg(F.sum("n").cast("long").alias("n"), F.max("last").alias("last"))
+    """Current state per key from the update log: the row with the largest ``n``."""
+    return (spark.read.parquet(out).groupBy(key_col)
+            .agg(F.max("n").alias("n"), F.max_by("last", "n").alias("last")))

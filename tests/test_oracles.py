@@ -50,6 +50,22 @@ def test_query_matches_oracle(spark, duck, key):
     assert got == want
 
 
+SEGMENTED = ["source_running_id", "source_limit", "source_file_blocks", "process_chain",
+             "group_by_process", "throughput", "stream_group"]
+
+
+@pytest.mark.parametrize("key", SEGMENTED)
+def test_segmented_path_matches_oracle(spark, duck, key):
+    """The same queries with the segmented scan forced (the large-input plan)."""
+    from rivulet.operators.sequence import MIN_ROWS_CONF
+
+    spark.conf.set(MIN_ROWS_CONF, "0")
+    try:
+        test_query_matches_oracle(spark, duck, key)
+    finally:
+        spark.conf.unset(MIN_ROWS_CONF)
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = {r["spark_queue"]: r["items"] for r in df.collect()}

@@ -15,10 +15,15 @@ def test_enqueue_route_one_scan(spark):
 
 
 def test_running_id_no_single_partition(spark):
-    plan = _plan(E.queries()["source_running_id"](spark, SF_SMALL))
-    assert "SinglePartition" not in plan
-    plan = _plan(E.queries()["group_by_process"](spark, SF_SMALL))
-    assert "SinglePartition" not in plan
+    from rivulet.operators.sequence import MIN_ROWS_CONF
+
+    spark.conf.set(MIN_ROWS_CONF, "0")  # the path taken above the small-input bound
+    try:
+        for key in ("source_running_id", "group_by_process", "throughput"):
+            plan = _plan(E.queries()[key](spark, SF_SMALL))
+            assert "SinglePartition" not in plan and "bucketizer" in plan.lower()
+    finally:
+        spark.conf.unset(MIN_ROWS_CONF)
 
 
 def test_service_lookup_broadcast(spark):
