@@ -81,7 +81,8 @@ ORACLES = {
         "SELECT vec_id, len(list_filter(embedding, lambda x: x::DOUBLE > 0.1)) AS n FROM embeddings"),
     "array_peak": (
         "SELECT vec_id, list_max(embedding::DOUBLE[]) AS peak, "
-        "list_position(embedding::DOUBLE[], list_max(embedding::DOUBLE[]))-1 AS pos FROM embeddings"),
+        "CAST(list_position(embedding::DOUBLE[], list_max(embedding::DOUBLE[]))-1 AS BIGINT) AS pos "
+        "FROM embeddings"),
     "array_calibrate": (
         f"WITH p AS (SELECT vec_id, label, unnest(range(len(embedding))) AS pos, "
         f"unnest(embedding)::DOUBLE AS v FROM embeddings), "

@@ -66,6 +66,17 @@ def test_segmented_path_matches_oracle(spark, duck, key):
         spark.conf.unset(MIN_ROWS_CONF)
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
+@pytest.mark.parametrize("key", sorted(k for k in E.queries() if not k.startswith("stream_")))
+def test_column_types_match_oracle(spark, duck, key):
+    got = {f.name: f.dataType.simpleString() for f in E.queries()[key](spark, SF_SMALL).schema.fields}
+    want = {c[0]: DUCK_TO_SPARK.get(str(c[1]), str(c[1])) for c in duck.execute(E.oracle_sql()[key]).description}
+    assert got == want
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = {r["spark_queue"]: r["items"] for r in df.collect()}
