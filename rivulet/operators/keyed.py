@@ -54,12 +54,15 @@ def number(id_col: str = "seq") -> GroupStep:
 def grouped(df: DataFrame, by, steps=(), order_by: str | None = None, copies: int | None = None) -> DataFrame:
     """Run ``steps`` on the records of each key (G1).
 
-    ``copies`` (G2) asks for that many tasks: ``repartition(copies, key)``.
-    Without it no shuffle is forced; AQE sizes the shuffles of group steps.
+    ``copies`` (G2) asks for that many tasks. Record steps need no key
+    co-location and group steps co-locate (key, range bucket) themselves,
+    so the records are spread evenly (``repartition(copies)``): hashing on
+    the key would put a hot key's records into one task. Without it no
+    shuffle is forced; AQE sizes the shuffles of group steps.
     """
     keys = [by] if isinstance(by, str) else list(by)
     if copies:
-        df = df.repartition(int(copies), *[F.col(k) for k in keys])
+        df = df.repartition(int(copies))
     for s in chain(*steps).steps:  # type: ignore[attr-defined]
         df = s(df, keys, order_by) if isinstance(s, GroupStep) else s(df)
     return df

@@ -34,8 +34,10 @@ from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
 
-# Rows per range bucket when the bucket count is derived from the row count.
+# Rows per bucket and bucket cap used when the bucket count is derived from
+# the row count: 1e12 rows → 1e5 buckets of 1e7 rows (a window sort spills).
 ROWS_PER_BUCKET = 10_000_000
+MAX_BUCKETS = 100_000
 # Up to this many input rows a plain window is used (one task never holds
 # more); the session setting ``rivulet.segmentedScan.minRows`` overrides it.
 SMALL_INPUT_ROWS = 2_000_000
@@ -66,19 +68,16 @@ def _common_prefix_bytes(lo: str | None, hi: str | None) -> int:
     return n
 
 
-def order_key(df: DataFrame, order_col: str) -> Column:
+def _order_key(dtype, c: Column, lo=None, hi=None) -> Column:
     """A monotone double Column for the order column.
 
     The double only needs to be monotone (ties allowed): it decides the
     bucket, and the exact order inside a bucket comes from the real column.
-    Strings use 7 bytes after the prefix shared by all values (one small
-    min/max job finds it).
+    Strings use 7 bytes after the prefix shared by all values (``lo`` and
+    ``hi`` are the column's min and max).
     """
-    dtype = df.schema[order_col].dataType
-    c = F.col(order_col)
     if isinstance(dtype, T.StringType):
-        row = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-        return _prefix_key(c, _common_prefix_bytes(row["lo"], row["hi"]))
+        return _prefix_key(c, _common_prefix_bytes(lo, hi))
     if isinstance(dtype, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c).cast("double")
     if isinstance(dtype, T.TimestampType):
@@ -87,35 +86,42 @@ def order_key(df: DataFrame, order_col: str) -> Column:
         return F.unix_date(c).cast("double")
     if isinstance(dtype, T.NumericType):
         return c.cast("double")
-    raise TypeError(f"cannot order by {order_col} of type {dtype.simpleString()}")
-
-
-# Rows per bucket and bucket cap used when the bucket count is derived from
-# the row count: 1e12 rows → 1e5 buckets of 1e7 rows (a window sort spills).
-MAX_BUCKETS = 100_000
+    raise TypeError(f"cannot order by a column of type {dtype.simpleString()}")
 
 
 def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None,
-                     rows_per_bucket: int = ROWS_PER_BUCKET):
+                     rows_per_bucket: int = ROWS_PER_BUCKET, small_rows: int = -1):
     """(row count, monotone key Column, sorted distinct boundaries) for range buckets.
 
     One aggregate job returns the row count and approximate quantiles for
     ``n_buckets`` (default: the shuffle partition count, so a hot key is
     spread over every task). If the count asks for more buckets
     (``rows / rows_per_bucket``, at most ``MAX_BUCKETS``) a second quantile
-    job refines them. Only the boundaries reach the driver.
+    job refines them. Only the boundaries reach the driver. String keys
+    need their min and max first, so for them the first job gives count,
+    min and max, and quantiles follow only if the input has more than
+    ``small_rows`` rows.
     """
-    key = order_key(df, order_col)
+    dtype = df.schema[order_col].dataType
+    c = F.col(order_col)
     first = int(n_buckets or shuffle_partitions(df.sparkSession))
     probs = [j / first for j in range(1, first)]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if probs:
-        aggs.append(F.percentile_approx(_ORD, probs, max(10_000, 4 * first)).alias("q"))
-    row = df.select(key.alias(_ORD)).agg(*aggs).first()
-    n = row["n"]
-    if n == 0 or first <= 1:
-        return n, key, []
-    qs = row["q"]
+    if isinstance(dtype, T.StringType):
+        row = df.agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+        n, key = row["n"], _order_key(dtype, c, row["lo"], row["hi"])
+        if n == 0 or first <= 1 or (n_buckets is None and n <= small_rows):
+            return n, key, []
+        qs = df.select(key.alias(_ORD)).approxQuantile(_ORD, probs, min(0.01, 0.25 / first))
+    else:
+        key = _order_key(dtype, c)
+        aggs = [F.count(F.lit(1)).alias("n")]
+        if probs:
+            aggs.append(F.percentile_approx(_ORD, probs, max(10_000, 4 * first)).alias("q"))
+        row = df.select(key.alias(_ORD)).agg(*aggs).first()
+        n = row["n"]
+        if n == 0 or first <= 1:
+            return n, key, []
+        qs = row["q"]
     if n_buckets is None:
         wanted = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
         if wanted > first:
@@ -203,8 +209,8 @@ def running_values_counted(df: DataFrame, keys, order_col: str, aggs: dict, n_bu
             raise ValueError(f"running {fn} is not supported")
         spec[name] = (fn, c)
 
-    n, okey, splits = range_boundaries(df, order_col, n_buckets, rows_per_bucket)
     small = int(df.sparkSession.conf.get(MIN_ROWS_CONF, str(SMALL_INPUT_ROWS)))
+    n, okey, splits = range_boundaries(df, order_col, n_buckets, rows_per_bucket, small_rows=small)
     if n_buckets is None and n <= small:
         w_order = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(F.col(order_col))
         w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
