@@ -20,6 +20,8 @@ from ..sources.generated import assign_copies, lines_of, random_items
 from ..sources.limits import item_limit, running_id
 from ..streaming.runs import final_window_counts, grouped_stream, route_stream, stream_table, windowed_count
 from ..streaming.state import keyed_counts, latest_counts
+from ..streaming.topology import run_flow
+from ..session import scratch_path
 from .flow import Flow
 
 # Fixed test parameters (our definitions, shared with the oracle SQL).
@@ -195,6 +197,26 @@ def stream_keyed_state(spark, sf_dir):
     return latest_counts(spark, out, "user_id").select("user_id", "n", F.col("last").alias("last_event"))
 
 
+def detector_flow(sources) -> Flow:
+    """Skip errors → two queues → number each user's ``hadron`` records; ``gamma`` is terminal."""
+    flow = Flow()
+    flow.source("data", sources["data"])
+    flow.process("separation", input="data", steps=[skip(eq("event_type", "error"))],
+                 queues={"gamma": ne("event_type", "click"), "hadron": gt("value", 10)})
+    flow.process("per_user", input="hadron", output="numbered", group_by="user_id", order_by="event_id",
+                 steps=[running({"seen": "count"})])
+    flow.process("performance", input="gamma")
+    return flow
+
+
+def stream_flow(spark, sf_dir):
+    stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1).select(
+        "event_id", "user_id", "event_type", "value")
+    out = scratch_path(spark, "flow-numbered")
+    run_flow(detector_flow, "data", stream, {"numbered": out})
+    return spark.read.parquet(out).select("event_id", "user_id", "seen")
+
+
 def stream_batch_count(spark, sf_dir):
     stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1)
     _, out = windowed_count(stream, "ts", "1 hour", delay="1 hour")
@@ -277,6 +299,7 @@ QUERIES = {
     "stream_group": stream_group,
     "stream_keyed_state": stream_keyed_state,
     "stream_batch_count": stream_batch_count,
+    "stream_flow": stream_flow,
     "array_element_set": array_element_set,
     "array_stats": array_stats,
     "array_baseline": array_baseline,

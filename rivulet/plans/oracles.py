@@ -72,6 +72,9 @@ ORACLES = {
     "stream_group": _GROUP,
     "stream_keyed_state": "SELECT user_id, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY 1",
     "stream_batch_count": "SELECT date_trunc('hour', ts) AS batch, count(*) AS processed FROM events GROUP BY 1",
+    "stream_flow": (
+        "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seen "
+        "FROM events WHERE event_type IS DISTINCT FROM 'error' AND value > 10"),
     "array_element_set": "SELECT vec_id, unnest(range(len(embedding))) AS pos FROM embeddings",
     "array_stats": (
         "SELECT vec_id, round(list_avg(e),6) + 0.0 AS mean, list_min(e) AS min, list_max(e) AS max, "

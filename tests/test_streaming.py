@@ -73,3 +73,37 @@ def test_grouped_stream_restarts_per_batch(spark, six_files, tmp_path):
     check = got.withColumn("want", F.row_number().over(w)).where(F.col("want") != F.col("seen"))
     assert check.count() == 0
     assert got.count() == ev.count()
+
+
+def _two_queue_flow(sources):
+    from rivulet.plans.flow import Flow
+    from rivulet.operators.steps import skip
+    from rivulet.functions.conditions import eq
+
+    flow = Flow()
+    flow.source("data", sources["data"])
+    flow.process("separation", input="data", steps=[skip(eq("event_type", "error"))], queues=queues())
+    flow.process("per_user", input="hadron", output="numbered", group_by="user_id", order_by="event_id",
+                 steps=[running({"seen": "count"})])
+    flow.process("performance", input="gamma")  # terminal: counted per batch
+    return flow
+
+
+def test_run_flow_on_stream(spark, six_files, tmp_path):
+    from rivulet.streaming.topology import run_flow, total_counts
+
+    folder, ev = six_files
+    sinks = {"gamma": str(tmp_path / "gamma"), "numbered": str(tmp_path / "numbered")}
+    run_flow(_two_queue_flow, "data", _stream(spark, folder), sinks, counts=str(tmp_path / "counts"),
+             checkpoint=str(tmp_path / "c"))
+    batch = _two_queue_flow({"data": ev})
+    got_gamma = spark.read.parquet(sinks["gamma"]).drop("batch_id")
+    assert sorted(got_gamma.select("event_id").collect()) == sorted(batch["gamma"].select("event_id").collect())
+    numbered = spark.read.parquet(sinks["numbered"])
+    assert numbered.count() == batch["hadron"].count()
+    assert numbered.select("batch_id").distinct().count() == 3
+    # running numbers restart in every micro-batch (per-batch grouping)
+    w = Window.partitionBy("batch_id", "user_id").orderBy("event_id")
+    assert numbered.withColumn("w", F.row_number().over(w)).where("w != seen").count() == 0
+    counts = {r["process"]: r["processed"] for r in total_counts(spark, str(tmp_path / "counts")).collect()}
+    assert counts == {"performance": batch["gamma"].count()}
