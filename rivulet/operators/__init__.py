@@ -1,0 +1 @@
+"""Record steps, routing, keyed processing, running values, metrics and sinks."""

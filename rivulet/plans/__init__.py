@@ -1,0 +1 @@
+"""The Flow name space, the query catalogue and its DuckDB oracles."""

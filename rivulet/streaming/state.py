@@ -10,7 +10,10 @@ idle keys expire.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -19,6 +22,11 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..session import ensure_state_store, scratch_path
 from .runs import _run, _start
 
+# The processor and the partial-count function run in Python workers. Ship
+# this module's code with them (by value) so executors need not have the
+# package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def partial_counts(key_col: str, order_col: str):
     """Per input partition: ``(key, n, last)`` — rows and largest order value per key.
