@@ -16,11 +16,12 @@ outputs live below the session's ``spark.checkpoint.dir`` unless given.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.keyed import grouped
+from ..operators.keyed import GroupStep, grouped
 from ..operators.routing import enqueue, write_queues
 from ..operators.steps import chain
 from ..session import scratch_path
@@ -100,9 +101,18 @@ def grouped_stream(stream: DataFrame, by, steps=(), order_by: str | None = None,
     out = out or scratch_path(spark, "group-out")
     checkpoint = checkpoint or scratch_path(spark, "group-ckpt")
 
+    multi_pass = any(isinstance(s, GroupStep) for s in chain(*steps).steps)  # type: ignore[attr-defined]
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        res = grouped(batch, by, steps, order_by=order_by)
-        res.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        # Group steps read their input more than once (boundaries, records,
+        # bucket totals): keep the micro-batch instead of re-reading the source.
+        src = batch.persist(StorageLevel.MEMORY_AND_DISK) if multi_pass else batch
+        try:
+            res = grouped(src, by, steps, order_by=order_by)
+            res.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            if multi_pass:
+                src.unpersist()
 
     q = _start(stream.writeStream.foreachBatch(per_batch), trigger, checkpoint)
     return (_run(q, timeout_s) if wait else q), out
