@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A
 from ..functions.conditions import eq, gt, is_null, lt, ne
-from ..operators.keyed import lookup, running
+from ..operators.keyed import running
 from ..operators.metrics import batch_count, throughput
 from ..operators.steps import copy_keys, create_id, rename_key, skip
 from ..sources.files import file_blocks, read_recursive, read_table
@@ -173,7 +173,12 @@ def throughput_q(spark, sf_dir):
 def service_lookup(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     service = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < LOOKUP_MAX_KEY)
-    return lookup(customers, service, {"c_nationkey": "n_nationkey"}, ["n_name"]).select("c_custkey", "n_name")
+    flow = Flow()
+    flow.source("customers", customers)
+    flow.service("nations", service)
+    flow.process("enrich", input="customers", output="out",
+                 steps=[flow.lookup("nations", {"c_nationkey": "n_nationkey"}, ["n_name"])])
+    return flow["out"].select("c_custkey", "n_name")
 
 
 # --- streaming ------------------------------------------------------------

@@ -17,15 +17,20 @@ Naming rules (reference behaviour and our decisions):
   processed records and their queued copies, labelled (R5, Q3).
 * A process with neither output nor queues is a terminal; :meth:`counts`
   gives its record count (K1).
+* Services are reference tables registered by name; :meth:`lookup` makes a
+  step that joins them (a size-checked broadcast), nulls if the name is
+  unknown (G6).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import as_condition
-from ..operators.keyed import grouped
+from ..operators.keyed import grouped, lookup
 from ..operators.routing import QUEUE_COL, enqueue, write_queues
 from ..operators.steps import chain
 from ..sources.generated import union_sources
@@ -44,6 +49,7 @@ class Flow:
         self._named: dict[str, DataFrame] = {}
         self._queues: dict[str, list[tuple[DataFrame, object]]] = {}
         self._routed: dict[str, DataFrame] = {}
+        self._services: dict[str, DataFrame] = {}
         self.terminals: dict[str, DataFrame] = {}
 
     # -- names -------------------------------------------------------
@@ -102,6 +108,29 @@ class Flow:
             self.terminals[id] = result
         return result
 
+    def service(self, name: str, ref: DataFrame) -> DataFrame:
+        """Register reference data under a service name."""
+        self._services[name] = ref
+        return ref
+
+    def lookup(self, service: str, on, columns) -> Callable[[DataFrame], DataFrame]:
+        """A step that looks records up in a named service.
+
+        ``on`` is a column name or ``{record_col: service_col}``; ``columns``
+        are the service columns to bring. An unknown service gives null
+        columns (its type is unknown, so they are strings), as a processor
+        without its service sees nothing.
+        """
+        columns = [columns] if isinstance(columns, str) else list(columns)
+
+        def run(df: DataFrame) -> DataFrame:
+            ref = self._services.get(service)
+            if ref is None:
+                return df.withColumns({c: F.lit(None).cast("string") for c in columns})
+            return lookup(df, ref, on, columns)
+
+        return run
+
     # -- results -----------------------------------------------------
     def union_of(self, names, label_col: str = "flow") -> DataFrame:
         """The named flows as one DataFrame with a name column.

@@ -133,3 +133,17 @@ def test_write_queues_one_folder_per_queue(spark, events, tmp_path):
     assert sorted(p.name for p in (tmp_path / "queues").iterdir() if p.is_dir()) == [
         "spark_queue=gamma", "spark_queue=hadron"]
     assert read_queue(spark, out, "hadron").count() == events.where(F.col("value") > 10).count()
+
+
+def test_named_service_lookup(spark):
+    customers = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select("c_custkey", "c_nationkey")
+    nation = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    flow = Flow()
+    flow.source("customers", customers)
+    flow.service("nations", nation)
+    flow.process("named", input="customers", output="out",
+                 steps=[flow.lookup("nations", {"c_nationkey": "n_nationkey"}, ["n_name"])])
+    out = flow["out"]
+    assert out.count() == customers.count() and out.where("n_name is null").count() == 0
+    flow.process("missing", input="customers", output="none", steps=[flow.lookup("nope", "c_nationkey", "n_name")])
+    assert flow["none"].where("n_name is not null").count() == 0
