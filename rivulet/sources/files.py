@@ -53,10 +53,10 @@ def list_files(spark: SparkSession, root: str, ending: str | None = None) -> Dat
 
 
 def _schema_of_first(spark: SparkSession, root: str, ending: str | None, fmt: str, options: dict):
-    first = list_files(spark, root, ending).select("path").orderBy("path").first()
+    first = list_files(spark, root, ending).agg(F.min("path").alias("path")).first()["path"]
     if first is None:
         raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
-    return spark.read.format(fmt).options(**options).load(first["path"]).schema
+    return spark.read.format(fmt).options(**options).load(first).schema
 
 
 def read_recursive(spark: SparkSession, root: str, ending: str | None = None, fmt: str = "parquet",

@@ -107,3 +107,13 @@ def test_run_flow_on_stream(spark, six_files, tmp_path):
     assert numbered.withColumn("w", F.row_number().over(w)).where("w != seen").count() == 0
     counts = {r["process"]: r["processed"] for r in total_counts(spark, str(tmp_path / "counts")).collect()}
     assert counts == {"performance": batch["gamma"].count()}
+
+
+def test_print_stream_runs(spark, six_files, tmp_path):
+    from rivulet.operators.sinks import print_stream
+
+    folder, _ = six_files
+    q = print_stream(_stream(spark, folder).select("event_id"), str(tmp_path / "c"), n=2,
+                     trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None and q.lastProgress["numInputRows"] > 0
