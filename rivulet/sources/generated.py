@@ -51,6 +51,19 @@ def random_items(spark: SparkSession, limit: int, num_partitions: int | None = N
     return df.withColumn("x", random_value(F.col("id")))
 
 
+def random_stream(spark: SparkSession, rows_per_batch: int, partitions: int | None = None) -> DataFrame:
+    """Random items as a stream (S12 as a stream source): ``(id, x)``.
+
+    Spark's ``rate-micro-batch`` source gives ``rows_per_batch`` consecutive
+    ids per micro-batch, spread over ``partitions`` tasks, independent of
+    processing speed; ``x`` is the same value as in :func:`random_items`.
+    """
+    r = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", str(int(rows_per_batch)))
+    if partitions:
+        r = r.option("numPartitions", str(int(partitions)))
+    return r.load().select(F.col("value").alias("id"), random_value(F.col("value")).alias("x"))
+
+
 def assign_copies(df: DataFrame, copies: int, key: str | None = None, copy_col: str = "copy") -> DataFrame:
     """Tag each record with the copy (0..copies-1) that reads it.
 

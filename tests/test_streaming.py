@@ -117,3 +117,19 @@ def test_print_stream_runs(spark, six_files, tmp_path):
                      trigger={"availableNow": True})
     q.awaitTermination(300)
     assert q.exception() is None and q.lastProgress["numInputRows"] > 0
+
+
+def test_random_stream_matches_batch(spark, tmp_path):
+    from rivulet.sources.generated import random_items, random_stream
+
+    q = (random_stream(spark, 50, partitions=2).writeStream.format("memory").queryName("rand_items")
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="100 milliseconds").start())
+    try:
+        for _ in range(600):
+            if spark.table("rand_items").count() >= 150:
+                break
+            q.awaitTermination(0.1)
+    finally:
+        q.stop()
+    got = spark.table("rand_items").where("id < 150")
+    assert sorted(got.collect()) == sorted(random_items(spark, 150).collect())
