@@ -98,3 +98,14 @@ def test_item_limit_and_running_id(spark, capsys):
         assert r["a"] == 1 and r["b"] == r["c"]
     print_data(lim, 3)
     assert "event_id" in capsys.readouterr().out
+
+
+def test_read_lines_as_stream(spark, tree, tmp_path):
+    stream = read_lines(spark, str(tree), ending=r"\.log", stream=True, maxFilesPerTrigger=1)
+    out = tmp_path / "lines"
+    q = (stream.writeStream.format("parquet").option("path", str(out))
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = sorted(r["line"] for r in spark.read.parquet(str(out)).collect())
+    assert got == ["z1", "z2", "z3"]
