@@ -25,7 +25,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = sys.argv[1:]
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+    # One shuffle partition per core locally; clusters size this to their data.
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(4, cpus))))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     # Warm-up (not timed).
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
