@@ -33,7 +33,7 @@ from ..functions.conditions import as_condition
 from ..operators.keyed import grouped, lookup
 from ..operators.routing import QUEUE_COL, enqueue, write_queues
 from ..operators.steps import chain
-from ..sources.generated import union_sources
+from ..sources.generated import assign_copies, union_sources
 
 
 def _names(v) -> list[str]:
@@ -74,8 +74,16 @@ class Flow:
         raise KeyError(f"no flow named {name!r} (known: {', '.join(self.names()) or 'none'})")
 
     # -- building ----------------------------------------------------
-    def source(self, name: str, df: DataFrame) -> DataFrame:
-        """Bind a source DataFrame (batch or streaming) to a name."""
+    def source(self, name: str, df: DataFrame, copies: int | None = None, copy_key: str | None = None,
+               copy_col: str = "copy") -> DataFrame:
+        """Bind a source DataFrame (batch or streaming) to a name.
+
+        ``copies`` (S2) tags every record with the copy that reads it
+        (``pmod(copy_key, copies)``, or a hash of the record); the source is
+        still read once (Q11).
+        """
+        if copies:
+            df = assign_copies(df, int(copies), key=copy_key, copy_col=copy_col)
         self._bind(name, df)
         return df
 

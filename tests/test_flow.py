@@ -147,3 +147,12 @@ def test_named_service_lookup(spark):
     assert out.count() == customers.count() and out.where("n_name is null").count() == 0
     flow.process("missing", input="customers", output="none", steps=[flow.lookup("nope", "c_nationkey", "n_name")])
     assert flow["none"].where("n_name is not null").count() == 0
+
+
+def test_source_copies(events):
+    flow = Flow()
+    df = flow.source("data", events, copies=4, copy_key="user_id")
+    assert df.count() == events.count()
+    assert {r.copy for r in df.select("copy").distinct().collect()} <= {0, 1, 2, 3}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
