@@ -90,7 +90,8 @@ def _order_key(dtype, c: Column, lo=None, hi=None) -> Column:
 
 
 def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None,
-                     rows_per_bucket: int = ROWS_PER_BUCKET, small_rows: int = -1):
+                     rows_per_bucket: int = ROWS_PER_BUCKET, small_rows: int = -1,
+                     key: Column | None = None):
     """(row count, monotone key Column, sorted distinct boundaries) for range buckets.
 
     One aggregate job returns the row count and approximate quantiles for
@@ -102,18 +103,18 @@ def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None
     min and max, and quantiles follow only if the input has more than
     ``small_rows`` rows.
     """
-    dtype = df.schema[order_col].dataType
+    dtype = T.DoubleType() if key is not None else df.schema[order_col].dataType
     c = F.col(order_col)
     first = int(n_buckets or shuffle_partitions(df.sparkSession))
     probs = [j / first for j in range(1, first)]
-    if isinstance(dtype, T.StringType):
+    if key is None and isinstance(dtype, T.StringType):
         row = df.agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
         n, key = row["n"], _order_key(dtype, c, row["lo"], row["hi"])
         if n == 0 or first <= 1 or (n_buckets is None and n <= small_rows):
             return n, key, []
         qs = df.select(key.alias(_ORD)).approxQuantile(_ORD, probs, min(0.01, 0.25 / first))
     else:
-        key = _order_key(dtype, c)
+        key = _order_key(dtype, c) if key is None else key.cast("double")
         aggs = [F.count(F.lit(1)).alias("n")]
         if probs:
             aggs.append(F.percentile_approx(_ORD, probs, max(10_000, 4 * first)).alias("q"))
@@ -178,13 +179,13 @@ def _merge(fn: str, carry: Column, local: Column) -> Column:
     return F.greatest(carry, local)
 
 
-def running_values(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket)[0]
+def running_values(df: DataFrame, keys, order_col, aggs: dict, n_buckets: int | None = None,
+                   rows_per_bucket: int = ROWS_PER_BUCKET, bucket_key: Column | None = None) -> DataFrame:
+    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket, bucket_key)[0]
 
 
-def running_values_counted(df: DataFrame, keys, order_col: str, aggs: dict, n_buckets: int | None = None,
-                           rows_per_bucket: int = ROWS_PER_BUCKET):
+def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets: int | None = None,
+                           rows_per_bucket: int = ROWS_PER_BUCKET, bucket_key: Column | None = None):
     """Add running aggregates per key in ``order_col`` order (frame: rows up to the current one).
 
     ``aggs`` maps an output name to ``"count"`` or to ``(fn, column)`` with
@@ -197,10 +198,17 @@ def running_values_counted(df: DataFrame, keys, order_col: str, aggs: dict, n_bu
     task at most), are scanned per key and joined back on (key, bucket),
     which keeps the partitioning of the large side.
 
+    ``order_col`` may be a list (order by several columns); the range
+    buckets then need ``bucket_key``, a numeric Column that never decreases
+    along that order (ties allowed).
+
     Inputs of at most ``SMALL_INPUT_ROWS`` rows (known from the same job
     that finds the boundaries) use the plain key window instead: no task
     can then hold more than that many rows. Returns ``(DataFrame, rows)``.
     """
+    order_cols = [order_col] if isinstance(order_col, str) else list(order_col)
+    if len(order_cols) > 1 and bucket_key is None:
+        raise ValueError("ordering by several columns needs a bucket_key")
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     spec = {}
     for name, a in aggs.items():
@@ -210,9 +218,11 @@ def running_values_counted(df: DataFrame, keys, order_col: str, aggs: dict, n_bu
         spec[name] = (fn, c)
 
     small = int(df.sparkSession.conf.get(MIN_ROWS_CONF, str(SMALL_INPUT_ROWS)))
-    n, okey, splits = range_boundaries(df, order_col, n_buckets, rows_per_bucket, small_rows=small)
+    n, okey, splits = range_boundaries(df, order_cols[0], n_buckets, rows_per_bucket, small_rows=small,
+                                       key=bucket_key)
+    order = [F.col(c) for c in order_cols]
     if n_buckets is None and n <= small:
-        w_order = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(F.col(order_col))
+        w_order = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
         w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = df
         for name, (fn, c) in spec.items():
@@ -222,7 +232,7 @@ def running_values_counted(df: DataFrame, keys, order_col: str, aggs: dict, n_bu
     key_col = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
     b = _bucketize(df, okey, splits).withColumn(_KEY, key_col)
     part = [_KEY, _BUCKET]
-    w_order = Window.partitionBy(*part).orderBy(F.col(order_col))
+    w_order = Window.partitionBy(*part).orderBy(*order)
     w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     local = b
@@ -240,11 +250,11 @@ def running_values_counted(df: DataFrame, keys, order_col: str, aggs: dict, n_bu
     return out.drop(*drop), n
 
 
-def dense_id(df: DataFrame, order_col: str, keys=(), id_col: str = "id", **kw) -> DataFrame:
+def dense_id(df: DataFrame, order_col, keys=(), id_col: str = "id", **kw) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order_col)`` as a long, skew-safe."""
     return running_values(df, keys, order_col, {id_col: "count"}, **kw)
 
 
-def dense_id_counted(df: DataFrame, order_col: str, keys=(), id_col: str = "id", **kw):
+def dense_id_counted(df: DataFrame, order_col, keys=(), id_col: str = "id", **kw):
     """:func:`dense_id` and the input row count (from the job it runs anyway)."""
     return running_values_counted(df, keys, order_col, {id_col: "count"}, **kw)

@@ -15,7 +15,7 @@ from ..functions.conditions import eq, gt, is_null, lt, ne
 from ..operators.keyed import running
 from ..operators.metrics import batch_count, throughput
 from ..operators.steps import copy_keys, create_id, rename_key, skip
-from ..sources.files import file_blocks, read_recursive, read_table
+from ..sources.files import file_blocks, read_file_tree, read_recursive, read_table
 from ..sources.generated import assign_copies, lines_of, random_items
 from ..sources.limits import item_limit, running_id
 from ..streaming.runs import final_window_counts, grouped_stream, route_stream, stream_table, windowed_count
@@ -127,6 +127,12 @@ def source_file_blocks(spark, sf_dir):
     return file_blocks(listing, "n_name", FILE_LIMIT, COPIES)
 
 
+def source_tree(spark, sf_dir):
+    # Four copies asked, one matching file: copies shrink to one (Q10); IDs follow reading order.
+    df = read_file_tree(spark, sf_dir, r"events\.parquet", fmt="parquet", copies=COPIES)
+    return df.select("event_id", "copy", "ID")
+
+
 def _copies(spark, sf_dir):
     return assign_copies(_events(spark, sf_dir).select("event_id", "user_id"), COPIES, key="user_id")
 
@@ -283,6 +289,7 @@ QUERIES = {
     "source_read": source_read,
     "source_recursive": source_recursive,
     "source_file_blocks": source_file_blocks,
+    "source_tree": source_tree,
     "source_running_id": source_running_id,
     "source_limit": source_limit,
     "source_copies_union": source_copies_union,

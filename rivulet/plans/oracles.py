@@ -29,6 +29,10 @@ ORACLES = {
     "source_file_blocks": (
         "SELECT n_nationkey, n_name, CAST(least((rn-1)//5, 3) AS INT) AS copy FROM "
         "(SELECT *, row_number() OVER (ORDER BY n_name) AS rn FROM nation) WHERE rn <= 22"),
+    # The given events file is stored in event_id order (one row group), so
+    # its reading order is event_id order.
+    "source_tree": ('SELECT event_id, CAST(0 AS INT) AS copy, row_number() OVER (ORDER BY event_id) AS "ID" '
+                    "FROM events"),
     "source_running_id": _RUNNING_ID,
     "source_limit": f"SELECT event_id, copy FROM ({_RUNNING_ID}) WHERE id <= 100",
     "source_copies_union": "SELECT event_id, CAST(user_id % 4 AS INT) AS copy FROM events",

@@ -12,6 +12,8 @@
   (S4, S5).
 * :func:`failed_files` — files that gave no record with
   ``ignoreCorruptFiles`` (S7, Q8).
+* :func:`read_file_tree` — all of the above at once, with running IDs per
+  copy in reading order and an item limit per copy (S3–S9).
 """
 
 from __future__ import annotations
@@ -85,7 +87,7 @@ def read_recursive(spark: SparkSession, root: str, ending: str | None = None, fm
 
 
 def file_blocks(listing: DataFrame, order_col: str, limit_files: int | None, copies: int,
-                copy_col: str = "copy", rank_col: str = "__rank") -> DataFrame:
+                copy_col: str = "copy", rank_col: str = "__rank", keep_rank: bool = False) -> DataFrame:
     """Keep the first ``limit_files`` entries of a listing and give each its copy.
 
     Entries are ranked by ``order_col`` (unique). Block size is
@@ -100,7 +102,8 @@ def file_blocks(listing: DataFrame, order_col: str, limit_files: int | None, cop
     copies = max(1, min(int(copies), kept))
     block = max(1, kept // copies)
     copy = F.least(F.floor((F.col(rank_col) - 1) / block), F.lit(copies - 1)).cast("int")
-    return ranked.withColumn(copy_col, copy).drop(rank_col)
+    out = ranked.withColumn(copy_col, copy)
+    return out if keep_rank else out.drop(rank_col)
 
 
 def read_file_blocks(spark: SparkSession, root: str, ending: str | None, limit_files: int | None,
@@ -126,6 +129,56 @@ def read_file_blocks(spark: SparkSession, root: str, ending: str | None, limit_f
     return data.join(tags, on="__path", how="inner").drop("__path")
 
 
+# Reading order inside a file: Parquet exposes the row index; other formats
+# expose the start of the split, and inside one split
+# monotonically_increasing_id() grows in reading order.
+_POS_SCALE = float(2 ** 40)
+
+
+def _positions(fmt: str) -> list:
+    if fmt == "parquet":
+        return [F.col("_metadata.row_index")]
+    return [F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+
+
+def read_file_tree(spark: SparkSession, root: str, ending: str | None = None, fmt: str = "text",
+                   copies: int = 1, limit_files: int | None = None, item_limit: int | None = None,
+                   id_col: str = "ID", copy_col: str = "copy", schema=None, skip_errors: bool = False,
+                   **options) -> DataFrame:
+    """A file-tree source with copies (S3–S9 together).
+
+    Files below ``root`` whose path matches ``^.*<ending>$`` are ranked by
+    path; the first ``limit_files`` are cut into ``copies`` contiguous
+    blocks. Each record gets its ``copy`` and a running ``ID`` (1..n per
+    copy) in reading order — file rank, then position in the file — and
+    ``item_limit`` keeps the first n records of every copy. The IDs come
+    from the segmented scan, so a copy is never one task; the bucket key is
+    the file rank plus the position scaled below one.
+    """
+    blocks = file_blocks(list_files(spark, root, ending).select("path"), "path", limit_files, copies,
+                         copy_col=copy_col, keep_rank=True)
+    tags = blocks.select(F.col("path").alias("__path"), copy_col, "__rank")
+    paths = [r["__path"] for r in tags.select("__path").collect()]
+    if not paths:
+        raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
+    reader = spark.read.format(fmt).options(**{k: str(v) for k, v in options.items()})
+    if skip_errors:
+        reader = reader.option("ignoreCorruptFiles", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
+    pos = _positions(fmt)
+    data = reader.load(paths).select("*", F.col("_metadata.file_path").alias("__path"),
+                                     *[p.alias(f"__pos{i}") for i, p in enumerate(pos)])
+    tags = F.broadcast(tags) if fits(tags, BROADCAST_MAX_ROWS) else tags
+    joined = data.join(tags, on="__path", how="inner")
+    order = ["__rank", *[f"__pos{i}" for i in range(len(pos))]]
+    bucket_key = F.col("__rank").cast("double") + F.col("__pos0").cast("double") / F.lit(_POS_SCALE)
+    out = dense_id_counted(joined, order, keys=[copy_col], id_col=id_col, bucket_key=bucket_key)[0]
+    if item_limit is not None:
+        out = out.where(F.col(id_col) <= int(item_limit))
+    return out.drop("__path", *order)
+
+
 def failed_files(spark: SparkSession, root: str, ending: str | None = None, fmt: str = "text",
                  schema=None, **options) -> DataFrame:
     """Non-empty files from which nothing could be read.

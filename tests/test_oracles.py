@@ -50,7 +50,7 @@ def test_query_matches_oracle(spark, duck, key):
     assert got == want
 
 
-SEGMENTED = ["source_running_id", "source_limit", "source_file_blocks", "process_chain",
+SEGMENTED = ["source_tree", "source_running_id", "source_limit", "source_file_blocks", "process_chain",
              "group_by_process", "throughput", "stream_group"]
 
 

@@ -109,3 +109,51 @@ def test_read_lines_as_stream(spark, tree, tmp_path):
     assert q.exception() is None
     got = sorted(r["line"] for r in spark.read.parquet(str(out)).collect())
     assert got == ["z1", "z2", "z3"]
+
+
+def _line_tree(tmp_path):
+    d = tmp_path / "lines"
+    (d / "sub").mkdir(parents=True)
+    for i in range(5):
+        sub = d / "sub" if i % 2 else d
+        (sub / f"f{i}.log").write_text("".join(f"f{i}-{j}\n" for j in range(i + 2)))
+    (d / "skip.txt").write_text("no\n")
+    return d
+
+
+@pytest.mark.parametrize("min_rows", ["0", None])
+def test_file_tree_ids_in_reading_order(spark, tmp_path, min_rows):
+    from rivulet.operators.sequence import MIN_ROWS_CONF
+    from rivulet.sources.files import read_file_tree
+
+    d = _line_tree(tmp_path)
+    if min_rows:
+        spark.conf.set(MIN_ROWS_CONF, min_rows)
+    try:
+        df = read_file_tree(spark, str(d), r"\.log", copies=2, limit_files=4)
+        got = sorted((r["copy"], r["ID"], r["value"]) for r in df.collect())
+        lim = sorted((r["copy"], r["ID"]) for r in
+                     read_file_tree(spark, str(d), r"\.log", copies=2, limit_files=4, item_limit=3).collect())
+    finally:
+        spark.conf.unset(MIN_ROWS_CONF)
+    # paths sorted: .../lines/f0.log, f2.log, f4.log, sub/f1.log, sub/f3.log → first 4 kept
+    files = sorted([str(d / f"f{i}.log") for i in (0, 2, 4)] + [str(d / "sub" / f"f{i}.log") for i in (1, 3)])[:4]
+    want = []
+    for copy, block in ((0, files[:2]), (1, files[2:])):
+        lines = [line for f in block for line in open(f).read().split()]
+        want += [(copy, i + 1, line) for i, line in enumerate(lines)]
+    assert got == sorted(want)
+    assert lim == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3)]
+
+
+def test_file_tree_parquet_row_order(spark, tmp_path):
+    from rivulet.sources.files import read_file_tree
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id")
+    ev.repartitionByRange(6, "event_id").sortWithinPartitions("event_id").write.parquet(str(tmp_path / "ev"))
+    df = read_file_tree(spark, str(tmp_path / "ev"), r"\.parquet", fmt="parquet", copies=3)
+    from pyspark.sql import Window
+    want = ev.join(df.select("event_id", "copy"), "event_id").withColumn(
+        "want", F.row_number().over(Window.partitionBy("copy").orderBy("event_id")))
+    assert want.join(df, ["event_id", "copy"]).where("want != ID").count() == 0
+    assert df.count() == ev.count()
