@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import BROADCAST_MAX_ROWS, fits
+from ..operators.sizing import BROADCAST_MAX_ROWS
 from ..operators.sequence import dense_id_counted
 
 FILE_COL = "source_file"
@@ -113,20 +113,37 @@ def read_file_blocks(spark: SparkSession, root: str, ending: str | None, limit_f
 
     Only the kept files are opened (their paths are the scan's input list,
     as Spark's own file index would hold them). The copy tag comes from a
-    join with the listing, broadcast once its size is checked.
+    join with the kept listing, broadcast when it is small enough.
     """
-    blocks = file_blocks(list_files(spark, root, ending).select("path"), "path", limit_files, copies,
-                         copy_col=copy_col)
-    paths = [r["path"] for r in blocks.select("path").collect()]
-    if not paths:
-        raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
+    paths, tags = _kept_files(spark, root, ending, limit_files, copies, copy_col)
     reader = spark.read.format(fmt).options(**{k: str(v) for k, v in options.items()})
     if schema is not None:
         reader = reader.schema(schema)
     data = reader.load(paths).withColumn("__path", F.col("_metadata.file_path"))
-    tags = blocks.select(F.col("path").alias("__path"), copy_col)
-    tags = F.broadcast(tags) if fits(tags, BROADCAST_MAX_ROWS) else tags
-    return data.join(tags, on="__path", how="inner").drop("__path")
+    return data.join(tags.drop("__rank"), on="__path", how="inner").drop("__path")
+
+
+def _kept_files(spark: SparkSession, root: str, ending: str | None, limit_files: int | None, copies: int,
+                copy_col: str):
+    """(paths, tag table ``(__path, copy, __rank)``) of the kept files, from one job.
+
+    The kept paths go to the driver anyway — they are the scan's input list,
+    as Spark's file index holds them — so the tag table is built from the
+    same rows and broadcast when it is small enough.
+    """
+    blocks = file_blocks(list_files(spark, root, ending).select("path"), "path", limit_files, copies,
+                         copy_col=copy_col, keep_rank=True)
+    rows = blocks.select("path", copy_col, "__rank").collect()
+    if not rows:
+        raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
+    paths = [r["path"] for r in rows]
+    if len(rows) <= BROADCAST_MAX_ROWS:
+        tags = F.broadcast(spark.createDataFrame(
+            [(r["path"], r[copy_col], r["__rank"]) for r in rows],
+            f"__path string, {copy_col} int, __rank long"))
+    else:
+        tags = blocks.select(F.col("path").alias("__path"), copy_col, "__rank")
+    return paths, tags
 
 
 # Reading order inside a file: Parquet exposes the row index; other formats
@@ -155,12 +172,7 @@ def read_file_tree(spark: SparkSession, root: str, ending: str | None = None, fm
     from the segmented scan, so a copy is never one task; the bucket key is
     the file rank plus the position scaled below one.
     """
-    blocks = file_blocks(list_files(spark, root, ending).select("path"), "path", limit_files, copies,
-                         copy_col=copy_col, keep_rank=True)
-    tags = blocks.select(F.col("path").alias("__path"), copy_col, "__rank")
-    paths = [r["__path"] for r in tags.select("__path").collect()]
-    if not paths:
-        raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
+    paths, tags = _kept_files(spark, root, ending, limit_files, copies, copy_col)
     reader = spark.read.format(fmt).options(**{k: str(v) for k, v in options.items()})
     if skip_errors:
         reader = reader.option("ignoreCorruptFiles", "true")
@@ -169,7 +181,6 @@ def read_file_tree(spark: SparkSession, root: str, ending: str | None = None, fm
     pos = _positions(fmt)
     data = reader.load(paths).select("*", F.col("_metadata.file_path").alias("__path"),
                                      *[p.alias(f"__pos{i}") for i, p in enumerate(pos)])
-    tags = F.broadcast(tags) if fits(tags, BROADCAST_MAX_ROWS) else tags
     joined = data.join(tags, on="__path", how="inner")
     order = ["__rank", *[f"__pos{i}" for i in range(len(pos))]]
     bucket_key = F.col("__rank").cast("double") + F.col("__pos0").cast("double") / F.lit(_POS_SCALE)
