@@ -1,6 +1,7 @@
 """Time the catalogue queries; print one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [key ...]
+    BENCH_EVENT_LOG=$(mktemp -d) …   # also write Spark's event log there
 
 Each query is run to completion with the ``noop`` sink (the whole plan
 executes, nothing is collected to the driver). Time includes planning and
@@ -27,8 +28,10 @@ def main() -> None:
     only = sys.argv[1:]
     # One shuffle partition per core locally; clusters size this to their data.
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(4, cpus))))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG"):  # a folder for Spark's event log (stage and task times)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts, extra=extra)
     # Warm-up (not timed).
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
 
