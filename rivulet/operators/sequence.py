@@ -94,40 +94,31 @@ def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None
                      key: Column | None = None):
     """(row count, monotone key Column, sorted distinct boundaries) for range buckets.
 
-    One aggregate job returns the row count and approximate quantiles for
-    ``n_buckets`` (default: the shuffle partition count, so a hot key is
-    spread over every task). If the count asks for more buckets
-    (``rows / rows_per_bucket``, at most ``MAX_BUCKETS``) a second quantile
-    job refines them. Only the boundaries reach the driver. String keys
-    need their min and max first, so for them the first job gives count,
-    min and max, and quantiles follow only if the input has more than
-    ``small_rows`` rows.
+    A first, column-pruned job counts the rows (and finds min and max of a
+    string key). Inputs of at most ``small_rows`` rows get no boundaries
+    (the caller uses a plain window). Otherwise a second job computes
+    approximate quantiles for ``n_buckets`` buckets — by default
+    ``max(shuffle partitions, rows / rows_per_bucket)``, at most
+    ``MAX_BUCKETS`` — so a hot key is spread over every task. Only the
+    boundaries reach the driver.
     """
-    dtype = T.DoubleType() if key is not None else df.schema[order_col].dataType
     c = F.col(order_col)
-    first = int(n_buckets or shuffle_partitions(df.sparkSession))
-    probs = [j / first for j in range(1, first)]
+    dtype = T.DoubleType() if key is not None else df.schema[order_col].dataType
     if key is None and isinstance(dtype, T.StringType):
         row = df.agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
         n, key = row["n"], _order_key(dtype, c, row["lo"], row["hi"])
-        if n == 0 or first <= 1 or (n_buckets is None and n <= small_rows):
-            return n, key, []
-        qs = df.select(key.alias(_ORD)).approxQuantile(_ORD, probs, min(0.01, 0.25 / first))
     else:
         key = _order_key(dtype, c) if key is None else key.cast("double")
-        aggs = [F.count(F.lit(1)).alias("n")]
-        if probs:
-            aggs.append(F.percentile_approx(_ORD, probs, max(10_000, 4 * first)).alias("q"))
-        row = df.select(key.alias(_ORD)).agg(*aggs).first()
-        n = row["n"]
-        if n == 0 or first <= 1:
-            return n, key, []
-        qs = row["q"]
-    if n_buckets is None:
-        wanted = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
-        if wanted > first:
-            err = max(1e-6, 0.25 / wanted)
-            qs = df.select(key.alias(_ORD)).approxQuantile(_ORD, [j / wanted for j in range(1, wanted)], err)
+        n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if n == 0 or (n_buckets is None and n <= small_rows):
+        return n, key, []
+    buckets = int(n_buckets or min(MAX_BUCKETS, max(shuffle_partitions(df.sparkSession),
+                                                     math.ceil(n / rows_per_bucket))))
+    if buckets <= 1:
+        return n, key, []
+    probs = [j / buckets for j in range(1, buckets)]
+    qs = (df.select(key.alias(_ORD))
+          .agg(F.percentile_approx(_ORD, probs, max(10_000, 4 * buckets)).alias("q")).first()["q"])
     return n, key, sorted({q for q in qs if q is not None and not math.isnan(q)})
 
 
