@@ -6,7 +6,7 @@ holds a third of the data means one task holds a third of the data. Here the
 same numbers are computed as a segmented scan:
 
 1. *Range buckets.* Approximate quantiles of the order column give literal
-   boundaries (a small list, its length chosen from the row count); the
+   boundaries (a small list, its length chosen from a prior row count); the
    bucket of a row is the number of boundaries at or below its order value
    (``Bucketizer``, a binary search in the JVM). The bucket is a pure
    function of the row, so every pass agrees on it, and no bucket holds
@@ -193,8 +193,8 @@ def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets
     buckets then need ``bucket_key``, a numeric Column that never decreases
     along that order (ties allowed).
 
-    Inputs of at most ``SMALL_INPUT_ROWS`` rows (known from the same job
-    that finds the boundaries) use the plain key window instead: no task
+    Inputs of at most ``SMALL_INPUT_ROWS`` rows (known from the count job
+    that precedes the boundaries) use the plain key window instead: no task
     can then hold more than that many rows. Returns ``(DataFrame, rows)``.
     """
     order_cols = [order_col] if isinstance(order_col, str) else list(order_col)
