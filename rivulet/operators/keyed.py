@@ -55,15 +55,16 @@ def grouped(df: DataFrame, by, steps=(), order_by: str | None = None, copies: in
     """Run ``steps`` on the records of each key (G1).
 
     ``copies`` (G2) asks for that many tasks. Record steps need no key
-    co-location and group steps co-locate (key, range bucket) themselves,
-    so the records are spread evenly (``repartition(copies)``): hashing on
-    the key would put a hot key's records into one task. Without it no
-    shuffle is forced; AQE sizes the shuffles of group steps.
+    co-location, so the records are spread evenly (``repartition(copies)``;
+    hashing on the key would put a hot key's records into one task). Group
+    steps shuffle on (key, range bucket) themselves, so with a group step no
+    extra shuffle is added and AQE sizes theirs.
     """
     keys = [by] if isinstance(by, str) else list(by)
-    if copies:
+    flat = chain(*steps).steps  # type: ignore[attr-defined]
+    if copies and not any(isinstance(s, GroupStep) for s in flat):
         df = df.repartition(int(copies))
-    for s in chain(*steps).steps:  # type: ignore[attr-defined]
+    for s in flat:
         df = s(df, keys, order_by) if isinstance(s, GroupStep) else s(df)
     return df
 

@@ -156,3 +156,11 @@ def test_source_copies(events):
     assert {r.copy for r in df.select("copy").distinct().collect()} <= {0, 1, 2, 3}
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_copies_shuffle_only_without_group_steps(spark):
+    df = spark.createDataFrame([(i % 3, i, float(i)) for i in range(30)], "k int, o long, v double")
+    plain = grouped(df, "k", [skip(eq("k", 1))], copies=4)
+    assert "RoundRobinPartitioning(4)" in plain._jdf.queryExecution().executedPlan().toString()
+    with_group = grouped(df, "k", [number("seq")], order_by="o", copies=4)
+    assert "RoundRobinPartitioning" not in with_group._jdf.queryExecution().executedPlan().toString()
