@@ -133,3 +133,30 @@ def test_random_stream_matches_batch(spark, tmp_path):
         q.stop()
     got = spark.table("rand_items").where("id < 150")
     assert sorted(got.collect()) == sorted(random_items(spark, 150).collect())
+
+
+def test_keyed_state_survives_restart(spark, tmp_path):
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.001/events.parquet")
+    src = tmp_path / "src"
+    src.mkdir()
+    half = pc.less(table["event_id"], 500)
+    pq.write_table(table.filter(half), src / "a.parquet")
+    out, ckpt = str(tmp_path / "o"), str(tmp_path / "c")
+    schema = spark.read.parquet("/root/testdata/sf0.001/events.parquet").schema
+
+    def run():
+        stream = stream_table(spark, str(src), "*.parquet", schema=schema)
+        keyed_counts(stream, "user_id", "event_id", out=out, checkpoint=ckpt)
+
+    run()
+    first = {r["user_id"]: r["n"] for r in latest_counts(spark, out, "user_id").collect()}
+    pq.write_table(table.filter(pc.invert(half)), src / "b.parquet")
+    run()  # restart: only b.parquet is new; counts continue from the stored state
+    got = sorted(latest_counts(spark, out, "user_id").collect())
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    want = ev.groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_id").alias("last"))
+    assert got == sorted(want.select("user_id", "n", "last").collect())
+    assert sum(first.values()) == 500
