@@ -17,6 +17,7 @@ from ..operators.metrics import batch_count, throughput
 from ..operators.steps import copy_keys, create_id, rename_key, skip
 from ..sources.files import file_blocks, read_file_tree, read_recursive, read_table
 from ..sources.generated import assign_copies, lines_of, random_items
+from ..sources import generator
 from ..sources.limits import item_limit, running_id
 from ..streaming.runs import final_window_counts, grouped_stream, route_stream, stream_table, windowed_count
 from ..streaming.state import keyed_counts, latest_counts
@@ -158,6 +159,13 @@ def source_random(spark, sf_dir):
     return random_items(spark, _events(spark, sf_dir).count())
 
 
+def source_random_copies(spark, sf_dir):
+    # The Python data source: as many items as events, made by four copies in contiguous blocks.
+    generator.register(spark)
+    n = _events(spark, sf_dir).count()
+    return spark.read.format(generator.FORMAT).option("limit", n).option("copies", COPIES).load()
+
+
 # --- keyed, metrics, lookup -----------------------------------------------
 
 def group_by_process(spark, sf_dir):
@@ -295,6 +303,7 @@ QUERIES = {
     "source_copies_union": source_copies_union,
     "source_lines": source_lines,
     "source_random": source_random,
+    "source_random_copies": source_random_copies,
     "process_chain": process_chain,
     "skip_condition": skip_condition,
     "condition_ops": condition_ops,

@@ -42,6 +42,10 @@ ORACLES = {
     "source_random": (
         "SELECT id, ((id * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE AS x FROM "
         "(SELECT row_number() OVER () - 1 AS id FROM events)"),
+    "source_random_copies": (
+        "SELECT id, CAST(least(id // (n // 4), 3) AS INT) AS copy, "
+        "((id * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE AS x FROM "
+        "(SELECT row_number() OVER () - 1 AS id, count(*) OVER () AS n FROM events)"),
     "process_chain": (
         'SELECT event_id, id, event_type, value AS "raw:value", value AS value_copy FROM '
         "(SELECT *, row_number() OVER (ORDER BY event_id) AS id FROM events) WHERE event_type <> 'error'"),

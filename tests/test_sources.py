@@ -157,3 +157,26 @@ def test_file_tree_parquet_row_order(spark, tmp_path):
         "want", F.row_number().over(Window.partitionBy("copy").orderBy("event_id")))
     assert want.join(df, ["event_id", "copy"]).where("want != ID").count() == 0
     assert df.count() == ev.count()
+
+
+def test_random_source_copies_batch_and_stream(spark, tmp_path):
+    from rivulet.sources import generator
+
+    generator.register(spark)
+    df = spark.read.format("rivulet_random").option("limit", 1003).option("copies", 4).load()
+    assert df.rdd.getNumPartitions() == 4
+    rows = df.collect()
+    assert sorted(r.id for r in rows) == list(range(1003))
+    sizes = [sum(1 for r in rows if r.copy == c) for c in range(4)]
+    assert sizes == [250, 250, 250, 253]
+    want = {r.id: r.x for r in random_items(spark, 1003).collect()}
+    assert all(r.x == want[r.id] for r in rows)
+    # as a bounded stream: all items once, nothing new after a restart
+    out, ckpt = str(tmp_path / "o"), str(tmp_path / "c")
+    for _ in range(2):
+        q = (spark.readStream.format("rivulet_random").option("limit", 1003).option("copies", 4).load()
+             .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        assert q.exception() is None
+    assert spark.read.parquet(out).count() == 1003
