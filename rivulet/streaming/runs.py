@@ -126,6 +126,9 @@ def windowed_count(stream: DataFrame, ts_col: str, every: str = "1 hour", delay:
 
     Update mode: each micro-batch writes the windows it changed with their
     running count; :func:`final_window_counts` keeps the last (largest) one.
+    A record older than the watermark of the previous micro-batch (largest
+    event time seen minus ``delay``) is dropped, and windows that end before
+    the watermark leave the state store, so state stays bounded.
     NTZ event times are turned into instants at UTC wall time first
     (watermarks need TIMESTAMP) and turned back for the result.
     """
