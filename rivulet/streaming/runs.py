@@ -16,6 +16,8 @@ outputs live below the session's ``spark.checkpoint.dir`` unless given.
 
 from __future__ import annotations
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,13 +53,43 @@ def stream_table(spark: SparkSession, folder: str, table: str, schema=None,
 
 
 def _start(writer, trigger: dict | None, checkpoint: str):
-    writer = writer.option("checkpointLocation", checkpoint)
-    writer = writer.trigger(**(trigger or {"availableNow": True}))
-    return writer.start()
+    trigger = trigger or {"availableNow": True}
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
+    query = writer.start()
+    # availableNow / once runs end when the input read at start is consumed.
+    query._rivulet_bounded = bool(trigger.get("availableNow") or trigger.get("once"))
+    return query
+
+
+def _exhausted(query) -> bool:
+    """A bounded run has read all its input: no data left and the last batch read none.
+
+    With processing-time state TTLs or timers the engine keeps running
+    state-cleanup batches after the input is consumed, so such a run does
+    not end on its own.
+    """
+    progress = query.recentProgress
+    return (bool(progress) and progress[-1]["numInputRows"] == 0
+            and not query.status["isDataAvailable"])
 
 
 def _run(query, timeout_s: float | None):
-    query.awaitTermination(timeout_s)
+    """Wait for a started query; a bounded run is stopped once its input is consumed.
+
+    On timeout the query is stopped (never left running) and ``TimeoutError``
+    is raised. A micro-batch cut short by ``stop`` is not committed and runs
+    again after a restart; its writes overwrite themselves.
+    """
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    while query.isActive:
+        if query.awaitTermination(0.5):
+            break
+        if getattr(query, "_rivulet_bounded", False) and _exhausted(query):
+            query.stop()
+            break
+        if deadline is not None and time.monotonic() > deadline:
+            query.stop()
+            raise TimeoutError(f"streaming query {query.id} still running after {timeout_s}s")
     if query.exception() is not None:
         raise query.exception()
     return query

@@ -87,13 +87,16 @@ class KeyedCounter(StatefulProcessor):
 
 
 def keyed_state(stream: DataFrame, by, processor: StatefulProcessor, output_schema,
-                mode: str = "Update") -> DataFrame:
-    """Apply a stateful processor per key of a streaming DataFrame (T4)."""
+                mode: str = "Update", time_mode: str = "None") -> DataFrame:
+    """Apply a stateful processor per key of a streaming DataFrame (T4).
+
+    ``time_mode="ProcessingTime"`` is needed for state TTLs and timers.
+    """
     ensure_state_store(stream.sparkSession)
     by = [by] if isinstance(by, str) else list(by)
     return stream.groupBy(*by).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output_schema,
-        outputMode=mode, timeMode="None")
+        outputMode=mode, timeMode=time_mode)
 
 
 def keyed_counts(stream: DataFrame, key_col: str, order_col: str, out: str | None = None,
@@ -103,7 +106,8 @@ def keyed_counts(stream: DataFrame, key_col: str, order_col: str, out: str | Non
 
     Records are first combined per input partition (:func:`partial_counts`),
     so the shuffle into the state store carries at most keys × partitions
-    rows per micro-batch, whatever the key skew.
+    rows per micro-batch, whatever the key skew. ``ttl_ms`` lets a key's
+    state expire that long after its last update (processing time).
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, "state-out")
@@ -112,7 +116,8 @@ def keyed_counts(stream: DataFrame, key_col: str, order_col: str, out: str | Non
     partial_schema = StructType([StructField(key_col, key_type), StructField("n", LongType()),
                                  StructField("last", LongType())])
     partial = stream.select(key_col, order_col).mapInPandas(partial_counts(key_col, order_col), partial_schema)
-    updates = keyed_state(partial, key_col, KeyedCounter(key_col, ttl_ms), partial_schema)
+    updates = keyed_state(partial, key_col, KeyedCounter(key_col, ttl_ms), partial_schema,
+                          time_mode="ProcessingTime" if ttl_ms else "None")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")

@@ -190,3 +190,11 @@ def test_windowed_count_drops_records_behind_the_watermark(spark, tmp_path):
                             checkpoint=str(tmp_path / "c"))
     got = {r["batch"]: r["processed"] for r in final_window_counts(spark, out).collect()}
     assert got == {t0: 2, t0 + dt.timedelta(hours=5): 3}
+
+
+def test_keyed_state_with_ttl(spark, six_files, tmp_path):
+    folder, ev = six_files
+    _, out = keyed_counts(_stream(spark, folder), "user_id", "event_id", out=str(tmp_path / "o"),
+                          checkpoint=str(tmp_path / "c"), ttl_ms=3_600_000)
+    got = latest_counts(spark, out, "user_id")
+    assert got.agg(F.sum("n")).first()[0] == ev.count()
