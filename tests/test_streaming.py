@@ -198,3 +198,15 @@ def test_keyed_state_with_ttl(spark, six_files, tmp_path):
                           checkpoint=str(tmp_path / "c"), ttl_ms=3_600_000)
     got = latest_counts(spark, out, "user_id")
     assert got.agg(F.sum("n")).first()[0] == ev.count()
+
+
+def test_unbounded_run_times_out_and_stops(spark, tmp_path):
+    from rivulet.functions.conditions import lt
+    from rivulet.sources.generated import random_stream
+
+    before = {q.id for q in spark.streams.active}
+    with pytest.raises(TimeoutError):
+        route_stream(random_stream(spark, 20), {"low": lt("x", 0.5)}, out=str(tmp_path / "o"),
+                     checkpoint=str(tmp_path / "c"), trigger={"processingTime": "200 milliseconds"},
+                     timeout_s=4)
+    assert {q.id for q in spark.streams.active} == before
