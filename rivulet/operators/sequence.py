@@ -38,6 +38,9 @@ from ..session import shuffle_partitions
 # the row count: 1e12 rows → 1e5 buckets of 1e7 rows (a window sort spills).
 ROWS_PER_BUCKET = 10_000_000
 MAX_BUCKETS = 100_000
+# Rows sampled per bucket to place the boundaries (at most 1e7 in all).
+SAMPLES_PER_BUCKET = 100
+SAMPLE_SEED = 17
 # Up to this many input rows a plain window is used (one task never holds
 # more); the session setting ``rivulet.segmentedScan.minRows`` overrides it.
 SMALL_INPUT_ROWS = 2_000_000
@@ -117,8 +120,15 @@ def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None
     if buckets <= 1:
         return n, key, []
     probs = [j / buckets for j in range(1, buckets)]
-    qs = (df.select(key.alias(_ORD))
-          .agg(F.percentile_approx(_ORD, probs, max(10_000, 4 * buckets)).alias("q")).first()["q"])
+    # Boundaries only balance the buckets, so a seeded sample of about
+    # SAMPLES_PER_BUCKET rows per bucket is enough (as for Spark's range
+    # partitioning): the sketches merged in the final task then stay small
+    # however many input tasks there are. Results never depend on the sample.
+    src = df.select(key.alias(_ORD))
+    fraction = SAMPLES_PER_BUCKET * buckets / n
+    if fraction < 1.0:
+        src = src.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
+    qs = src.agg(F.percentile_approx(_ORD, probs, max(10_000, 4 * buckets)).alias("q")).first()["q"] or []
     return n, key, sorted({q for q in qs if q is not None and not math.isnan(q)})
 
 

@@ -86,3 +86,17 @@ def test_running_sum_with_nulls_across_buckets(spark):
 def _window_truth_nulls(df):
     w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.select("o", F.sum("v").over(w).alias("s"), F.min("v").over(w).alias("m"))
+
+
+def test_sampled_boundaries_keep_results_exact(spark, monkeypatch):
+    from rivulet.operators import sequence
+
+    monkeypatch.setattr(sequence, "SAMPLES_PER_BUCKET", 5)  # boundaries from a ~1.5% sample
+    df = _frame(spark)
+    got = running_values(df, ["k"], "o", {"n": "count", "s": ("sum", "v"), "lo": ("min", "v"),
+                                          "hi": ("max", "v")}, n_buckets=9)
+    got = got.select("o", "k", "n", F.round("s", 6).alias("s"), "lo", "hi")
+    assert sorted(got.collect()) == sorted(_window_truth(df).collect())
+    b = with_range_bucket(df, "o", n_buckets=9, bucket_col="b")
+    sizes = [r["count"] for r in b.groupBy("b").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < len(df.collect()) / 2  # still spread out
