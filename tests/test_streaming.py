@@ -210,3 +210,26 @@ def test_unbounded_run_times_out_and_stops(spark, tmp_path):
                      checkpoint=str(tmp_path / "c"), trigger={"processingTime": "200 milliseconds"},
                      timeout_s=4)
     assert {q.id for q in spark.streams.active} == before
+
+
+def test_flow_on_streaming_dataframe_directly(spark, six_files, tmp_path):
+    from rivulet.functions.conditions import eq
+    from rivulet.operators.steps import rename_key, skip
+    from rivulet.plans.flow import Flow
+
+    folder, ev = six_files
+
+    def build(src):
+        flow = Flow()
+        flow.source("data", src)
+        flow.process("p", input="data", steps=[skip(eq("event_type", "error")), rename_key("value", "raw:value")],
+                     queues={"hadron": gt("`raw:value`", 10)})
+        return flow
+
+    out = str(tmp_path / "o")
+    q = (build(_stream(spark, folder))["hadron"].writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = sorted(r.event_id for r in spark.read.parquet(out).select("event_id").collect())
+    assert got == sorted(r.event_id for r in build(ev)["hadron"].select("event_id").collect())
