@@ -180,3 +180,17 @@ def test_random_source_copies_batch_and_stream(spark, tmp_path):
         q.awaitTermination(300)
         assert q.exception() is None
     assert spark.read.parquet(out).count() == 1003
+
+
+def test_read_table_as_stream(spark, tmp_path):
+    from rivulet.sources.files import read_table
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartitionByRange(3, "event_id").write.parquet(str(tmp_path / "ev"))
+    stream = read_table(spark, str(tmp_path / "ev"), stream=True, maxFilesPerTrigger=1)
+    assert stream.isStreaming and stream.schema == ev.schema
+    q = (stream.writeStream.format("parquet").option("path", str(tmp_path / "o"))
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None and len([p for p in q.recentProgress if p["numInputRows"]]) == 3
+    assert spark.read.parquet(str(tmp_path / "o")).count() == ev.count()
