@@ -164,3 +164,17 @@ def test_copies_shuffle_only_without_group_steps(spark):
     assert "RoundRobinPartitioning(4)" in plain._jdf.queryExecution().executedPlan().toString()
     with_group = grouped(df, "k", [number("seq")], order_by="o", copies=4)
     assert "RoundRobinPartitioning" not in with_group._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_select_and_map_in_pandas_steps(spark):
+    from rivulet.operators.steps import keep, map_in_pandas, select_keys
+
+    df = spark.createDataFrame([(1, 2.0), (2, None), (3, 7.0)], "id long, `raw:v` double")
+
+    def double(batches):
+        for pdf in batches:
+            pdf["raw:v"] = pdf["raw:v"] * 2
+            yield pdf
+
+    out = chain(keep(gt("raw:v", 1)), select_keys("id", "raw:v"), map_in_pandas(double, df.schema))(df)
+    assert sorted((r["id"], r["raw:v"]) for r in out.collect()) == [(1, 4.0), (3, 14.0)]
