@@ -233,3 +233,13 @@ def test_flow_on_streaming_dataframe_directly(spark, six_files, tmp_path):
     assert q.exception() is None
     got = sorted(r.event_id for r in spark.read.parquet(out).select("event_id").collect())
     assert got == sorted(r.event_id for r in build(ev)["hadron"].select("event_id").collect())
+
+
+def test_windowed_count_by_key_equals_batch(spark, six_files, tmp_path):
+    folder, ev = six_files
+    _, out = windowed_count(_stream(spark, folder), "ts", "1 hour", delay="2 hours", by="event_type",
+                            out=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
+    got = final_window_counts(spark, out, by="event_type")
+    want = ev.groupBy(F.window("ts", "1 hour").start.alias("batch"), "event_type").agg(
+        F.count("*").alias("processed"))
+    assert sorted(got.collect()) == sorted(want.collect())
