@@ -7,7 +7,6 @@ a session with sane settings and a shared folder for checkpoints.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,12 +78,3 @@ def ensure_state_store(spark: SparkSession) -> None:
     cur = spark.conf.get(key, "")
     if "RocksDB" not in cur:
         spark.conf.set(key, SCALE_CONF[key])
-
-
-def local_path(uri: str) -> str:
-    """``file:/x`` → ``/x`` (for tests that inspect written folders)."""
-    if uri.startswith("file:"):
-        uri = uri[5:]
-        while uri.startswith("//"):
-            uri = uri[1:]
-    return os.path.normpath(uri)
