@@ -3,6 +3,12 @@
 from __future__ import annotations
 
 from rivulet.llm.decontaminate import OP3_SQL, op3_decontaminate
+from rivulet.llm.langid import op8_langid
+from rivulet.llm.packing import op10_pack
+from rivulet.llm.preference import OP1_SQL, op1_preference
+from rivulet.llm.simhash import op7_simhash
+from rivulet.llm.toxicity import op9_toxicity
 
-QUERIES = {"op3_decontaminate": op3_decontaminate}
-ORACLES = {"op3_decontaminate": OP3_SQL}
+QUERIES = {"op1_preference": op1_preference, "op3_decontaminate": op3_decontaminate, "op7_simhash": op7_simhash,
+           "op8_langid": op8_langid, "op9_toxicity": op9_toxicity, "op10_pack": op10_pack}
+ORACLES = {"op1_preference": OP1_SQL, "op3_decontaminate": OP3_SQL}

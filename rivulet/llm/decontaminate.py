@@ -134,13 +134,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns.
 
-    The decision depends on the text alone, so rows are matched by a 128-bit
-    hash of it: ids may be null or repeated.
+    Each row is judged by its own text and carried beside it, so ids may be null or repeated and nothing is joined.
     """
-    keyed = docs.withColumn("__key", F.md5(col(text)))
-    bad = contamination(keyed, benchmark, doc="__key", text=text, **options).where("contaminated")
-    return (keyed.join(bad.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti")
-            .select(*[col(c) for c in docs.columns]))
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text).alias("text"))
+    clean = contamination(rows, benchmark, doc="row", text="text", **options).where("not contaminated")
+    return clean.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])
 
 
 def op3_decontaminate(spark, sf_dir):
