@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -17,6 +18,16 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns of a row as one, to carry it beside working columns whose names could clash."""
+    return F.struct(*[col(c) for c in df.columns])
+
+
+def unpacked(df: DataFrame, row: str, columns: list[str], new: dict[str, Column] | None = None) -> DataFrame:
+    """The columns packed by ``whole``, some of them replaced."""
+    return df.select(*[(new or {}).get(c, F.col(row).getField(c)).alias(c) for c in columns])
+
+
 def package_for_workers(spark: SparkSession) -> None:
     """Let Python workers on this machine import this package wherever the driver was started.
 
@@ -84,65 +95,82 @@ class Forest:
         return True
 
 
-def _forest_of(batches):
-    """Edges of one partition → a spanning forest of them (each node beside its root)."""
+def rank(ids: np.ndarray, seed: int) -> np.ndarray:
+    """A random order of ids, another for each seed; pointers that only go down in it never meet a cycle."""
+    h = (ids.view(np.uint64) ^ np.uint64(seed + 1)) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _stars(batches, seed, block=1 << 20):
+    """Edges of one partition → each node beside the lowest-ranked node it is connected to there."""
     import pyarrow as pa
 
     def flush(a, b):
         ids, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
-        f, n = Forest(len(ids)), len(a)
-        for i, j in zip(inv[:n].tolist(), inv[n:].tolist()):
+        order = np.argsort(rank(ids, seed), kind="stable")
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        inv, f = place[inv], Forest(len(ids))
+        for i, j in zip(inv[:len(a)].tolist(), inv[len(a):].tolist()):
             f.join(i, j)
         r = np.fromiter((f.root(i) for i in range(len(ids))), np.int64, len(ids))
         keep = r != np.arange(len(ids))
+        ids = ids[order]
         return ids[keep], ids[r[keep]]
 
+    out = lambda: pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
     a, b = np.empty(0, np.int64), np.empty(0, np.int64)
     for t in batches:
         a = np.concatenate([a, t.column(0).to_numpy(zero_copy_only=False)])
         b = np.concatenate([b, t.column(1).to_numpy(zero_copy_only=False)])
-        if len(a) >= 1 << 20:  # a forest has fewer edges than nodes, so this shrinks it
+        if len(a) >= block:  # there are fewer stars' edges than nodes, so this shrinks it
             a, b = flush(a, b)
-            if len(a) >= 1 << 19:
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            if len(a) >= block // 2:
+                yield out()
                 a, b = a[:0], b[:0]
     if len(a):
         a, b = flush(a, b)
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        yield out()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, block: int = 1 << 18) -> DataFrame:
     """``edges(a, b)`` of long ids → ``(id, component)``: the smallest id reachable by edges.
 
     Only ids on an edge between two different ids are returned. Each round
-    every node points at its neighbour of lowest random rank (itself if it
-    is the lowest) and the graph is contracted along these pointers, so the
-    edges shrink geometrically whatever the shape of the graph. A hub's
-    rows meet only in joins of two exchanged sides, which adaptive execution
-    splits, and in partial aggregates. Rounds are cut by written tables.
+    deals the edges into blocks of about ``block``, joins up each block, and
+    contracts every node to the lowest-ranked node it has met in any block.
+    Ranks are random anew each round, so the graph shrinks geometrically
+    whatever its shape; the round in which it fits one block is the last. A
+    hub's rows meet only in partial aggregates and in joins of two exchanged
+    sides, which adaptive execution splits. Rounds are cut by written tables.
     """
     a, b = edges.columns[:2]
-    e = (edges.select(col(a).cast("long").alias("a"), col(b).cast("long").alias("b")).where("a != b")
-         .mapInArrow(_forest_of, "a long, b long"))
-    e = saved(e.distinct(), "cc-edges")
+    e = edges.select(col(a).cast("long").alias("a"), col(b).cast("long").alias("b")).where("a != b")
+    e = saved(e.mapInArrow(partial(_stars, seed=0), "a long, b long"), "cc-edges")
     maps = []
-    while not e.isEmpty():
-        both = e.select("a", "b").union(e.select(F.col("b"), F.col("a")))
-        seed = F.lit(len(maps))
-        rank = lambda c: F.struct(F.xxhash64(seed, c).alias("r"), c.alias("v"))
-        point = both.groupBy("a").agg(F.min(rank(F.col("b"))).alias("m")).select(
-            "a", F.least("m", rank(F.col("a"))).getField("v").alias("to"))
-        point = saved(point, "cc-points")
+    while n := e.count():
+        parts = -(-n // block)
+        star = saved(e.repartition(parts).mapInArrow(partial(_stars, seed=len(maps) + 1), "a long, b long"), "cc-stars")
+        if parts == 1:
+            maps.append(star.select("a", F.col("b").alias("to")))
+            break
+        low = F.min(F.struct(F.xxhash64(F.lit(len(maps)), F.col("b")).alias("r"), F.col("b").alias("v")))
+        point = saved(star.groupBy("a").agg(low.alias("m")).select("a", F.col("m.v").alias("to")), "cc-points")
         maps.append(point)
-        pa_, pb = point.select("a", F.col("to").alias("ta")), point.select(F.col("a").alias("b"), F.col("to").alias("tb"))
-        e = (e.join(pa_, "a").join(pb, "b").where("ta != tb")
-             .select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
-        e = saved(e, "cc-edges")
+        left = star.join(point.select("a", F.col("to").alias("ta")), "a")
+        e = left.join(point.select(F.col("a").alias("b"), F.col("to").alias("tb")), "b", "left")
+        e = e.select("ta", F.coalesce("tb", "b").alias("tb")).where("ta != tb")
+        e = saved(e.select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct(), "cc-edges")
     if not maps:
         return e.select(F.col("a").alias("id"), F.col("b").alias("component"))
     final = maps[-1]
     for point in reversed(maps[:-1]):
         nxt = final.select(F.col("a").alias("to"), F.col("to").alias("last"))
-        final = saved(point.join(nxt, "to", "left").select("a", F.coalesce("last", "to").alias("to")), "cc-map")
-    least = saved(final.groupBy("to").agg(F.min("a").alias("least")), "cc-least")
-    return final.join(least, "to").select(F.col("a").alias("id"), F.col("least").alias("component"))
+        moved = point.join(nxt, "to", "left").select("a", F.coalesce("last", "to").alias("to"))
+        final = saved(moved.union(final.join(point, "a", "left_anti")), "cc-map")
+    least = final.groupBy("to").agg(F.min("a").alias("m")).select("to", F.least("m", "to").alias("component"))
+    least = saved(least, "cc-least")
+    every = final.join(least, "to").select(F.col("a").alias("id"), "component")
+    return every.union(least.select(F.col("to").alias("id"), "component")).distinct()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import col, table
+from rivulet.llm.common import col, table, unpacked, whole
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Bytes to bytes: A-Z to a-z, other ASCII that is no letter or digit to a blank.
@@ -136,9 +136,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "tex
 
     Each row is judged by its own text and carried beside it, so ids may be null or repeated and nothing is joined.
     """
-    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text).alias("text"))
+    rows = docs.select(whole(docs).alias("row"), col(text).alias("text"))
     clean = contamination(rows, benchmark, doc="row", text="text", **options).where("not contaminated")
-    return clean.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])
+    return unpacked(clean, "doc_id", docs.columns)
 
 
 def op3_decontaminate(spark, sf_dir):

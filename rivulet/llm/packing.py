@@ -81,6 +81,8 @@ class Encoder:
             text = text.lower()
         elif not _NOT_LATIN.search(text):
             text = unicodedata.normalize("NFC", text).lower()
+        else:
+            text = " ".join([c if _NOT_LATIN.search(c) else unicodedata.normalize("NFC", c).lower() for c in text.split()])
         chunks, known = text.split(), self.known
         try:
             return b"".join([known[c] for c in chunks])

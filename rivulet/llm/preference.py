@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import col, saved, table
+from rivulet.llm.common import col, table
 
 TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 
@@ -28,27 +28,23 @@ def conversations(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn"
             .agg(F.sort_array(F.collect_list(one)).alias("turns")))
 
 
-def assistant_chars(turns: Column) -> Column:
-    return F.aggregate(turns, F.lit(0).cast("long"),
-                       lambda a, t: a + F.when(t["role"] == "assistant", F.length(t["text"])).otherwise(0))
+def pairs_by_swapped_reply(convs: DataFrame, role: str = "assistant") -> DataFrame:
+    """``conv_id, chosen, rejected``: each conversation against itself with another conversation's last reply.
 
-
-def pairs_by_first_turn(convs: DataFrame, score=assistant_chars) -> DataFrame:
-    """``chosen_id, rejected_id, chosen, rejected``: the best conversation on each first turn against each other one.
-
-    The best has the highest ``score`` of its turns (then the smallest id). A first turn that n
-    conversations share gives n - 1 pairs; the best is found by partial aggregation and joined to
-    written tables, so a first turn that a third of them share is split among tasks.
+    ``chosen`` is the conversation up to its last reply; in ``rejected`` that reply is the last one of
+    the conversation whose id differs in the lowest bit. Where that has no reply (or does not exist)
+    the reply is missing in ``rejected``; a conversation without a reply is whole on both sides.
     """
-    key = F.md5(F.concat_ws("\x1f", F.col("turns")[0]["role"], F.col("turns")[0]["text"]))
-    c = saved(convs.select("conv_id", "turns", key.alias("key"), score(F.col("turns")).alias("score")), "conversations")
-    best = c.groupBy("key").agg(F.max("score").alias("score"), F.count("*").alias("n")).where("n > 1")
-    best = c.select("key", "score", "conv_id").join(saved(best, "best-score"), ["key", "score"])
-    best = best.groupBy("key").agg(F.min("conv_id").alias("chosen_id"))
-    best = best.join(c.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen")), "chosen_id")
-    best = saved(best, "best-conversations")
-    other = c.select("key", F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
-    return other.join(best, "key").where("rejected_id != chosen_id").select("chosen_id", "rejected_id", "chosen", "rejected")
+    at = F.array_max(F.transform(F.col("turns"), lambda t, i: F.when(t["role"] == role, i + 1)))
+    c = convs.withColumn("at", at)
+    other = c.where("at is not null").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"),
+                                             F.array(F.element_at("turns", F.col("at"))).alias("reply"))
+    c = c.join(other, "conv_id", "left")
+    head = F.slice("turns", 1, F.col("at") - 1)
+    return c.select("conv_id",
+                    F.when(F.col("at").isNull(), F.col("turns")).otherwise(F.slice("turns", 1, F.col("at"))).alias("chosen"),
+                    F.when(F.col("at").isNull(), F.col("turns")).when(F.col("reply").isNull(), head)
+                    .otherwise(F.concat(head, "reply")).alias("rejected"))
 
 
 def common_turns(a: Column, b: Column) -> Column:
@@ -105,36 +101,35 @@ def _digest(spans: str) -> Column:
 
 
 def op1_preference(spark, sf_dir):
-    """Preference pairs of all conversations that share a first turn."""
-    out = format_pairs(pairs_by_first_turn(conversations(table(spark, sf_dir, "conversations"))))
-    return out.select("chosen_id", "rejected_id", "n_common", "prompt", "chosen_text", _digest("chosen_spans"),
-                      "rejected_text", _digest("rejected_spans"), "differs")
+    """A preference pair of every conversation."""
+    out = format_pairs(pairs_by_swapped_reply(conversations(table(spark, sf_dir, "conversations"))))
+    return out.select("conv_id", "n_common", "prompt", "chosen_text", _digest("chosen_spans"), "rejected_text",
+                      _digest("rejected_spans"), "differs")
 
 
 OP1_SQL = r"""
 WITH c AS (SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
              ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
-s AS (SELECT *, t[1].role AS r1, t[1].text AS t1,
-        coalesce(list_sum(list_transform(t, lambda x: CASE WHEN x.role = 'assistant' THEN length(x.text) ELSE 0 END)), 0) AS score FROM c),
-k AS (SELECT *, count(*) OVER (PARTITION BY r1, t1) AS n,
-        row_number() OVER (PARTITION BY r1, t1 ORDER BY score DESC, conv_id) AS rk FROM s),
-p AS (SELECT a.conv_id AS chosen_id, b.conv_id AS rejected_id, a.t AS a, b.t AS b
-      FROM k a JOIN k b ON a.r1 = b.r1 AND a.t1 = b.t1 AND a.rk = 1 AND b.rk > 1),
+s AS (SELECT *, list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')) AS l FROM c),
+p AS (SELECT x.conv_id, CASE WHEN x.l IS NULL THEN x.t ELSE x.t[1:x.l] END AS a,
+        CASE WHEN x.l IS NULL THEN x.t WHEN y.l IS NULL THEN x.t[1:x.l - 1] ELSE list_concat(x.t[1:x.l - 1], [y.t[y.l]]) END AS b
+      FROM s x LEFT JOIN s y ON y.conv_id = xor(x.conv_id, 1)),
 q AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[1:i] = b[1:i])) AS m FROM p),
-e AS (SELECT chosen_id, rejected_id, CAST(m AS INTEGER) AS n_common, a[1:m] AS pre, a[m + 1:] AS a, b[m + 1:] AS b FROM q),
-z AS (SELECT *, [struct_pack(role := x.role, n := 14 + length(x.role) - 2 + length(x.text)) FOR x IN a] AS la,
-        [struct_pack(role := x.role, n := 14 + length(x.role) - 2 + length(x.text)) FOR x IN b] AS lb FROM e)
-SELECT chosen_id, rejected_id, n_common,
-  coalesce(array_to_string([('<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)) FOR x IN pre], ''), '') AS prompt,
-  coalesce(array_to_string([('<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)) FOR x IN a], ''), '') AS chosen_text,
-  coalesce(array_to_string(list_transform(list_filter(range(1, len(la) + 1), lambda i: la[i].role = 'assistant'),
-    lambda i: CAST(coalesce(list_sum(list_transform(la[1:i - 1], lambda y: y.n)), 0) + length(la[i].role) + 5 AS BIGINT) || '-' ||
-         CAST(list_sum(list_transform(la[1:i], lambda y: y.n)) - 1 AS BIGINT)), ','), '') AS chosen_spans,
-  coalesce(array_to_string([('<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)) FOR x IN b], ''), '') AS rejected_text,
-  coalesce(array_to_string(list_transform(list_filter(range(1, len(lb) + 1), lambda i: lb[i].role = 'assistant'),
-    lambda i: CAST(coalesce(list_sum(list_transform(lb[1:i - 1], lambda y: y.n)), 0) + length(lb[i].role) + 5 AS BIGINT) || '-' ||
-         CAST(list_sum(list_transform(lb[1:i], lambda y: y.n)) - 1 AS BIGINT)), ','), '') AS rejected_spans,
+e AS (SELECT conv_id, CAST(m AS INTEGER) AS n_common, a[1:m] AS pre, a[m + 1:] AS a, b[m + 1:] AS b FROM q),
+r AS (SELECT *, [struct_pack(role := x.role, s := '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)) FOR x IN pre] AS sp,
+        [struct_pack(role := x.role, s := '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)) FOR x IN a] AS sa,
+        [struct_pack(role := x.role, s := '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)) FOR x IN b] AS sb FROM e)
+SELECT conv_id, n_common,
+  coalesce(array_to_string([x.s FOR x IN sp], ''), '') AS prompt,
+  coalesce(array_to_string([x.s FOR x IN sa], ''), '') AS chosen_text,
+  coalesce(array_to_string(list_transform(list_filter(range(1, len(sa) + 1), lambda i: sa[i].role = 'assistant'),
+    lambda i: CAST(coalesce(list_sum(list_transform(sa[1:i - 1], lambda y: length(y.s))), 0) + length(sa[i].role) + 5 AS BIGINT) || '-' ||
+         CAST(list_sum(list_transform(sa[1:i], lambda y: length(y.s))) - 1 AS BIGINT)), ','), '') AS chosen_spans,
+  coalesce(array_to_string([x.s FOR x IN sb], ''), '') AS rejected_text,
+  coalesce(array_to_string(list_transform(list_filter(range(1, len(sb) + 1), lambda i: sb[i].role = 'assistant'),
+    lambda i: CAST(coalesce(list_sum(list_transform(sb[1:i - 1], lambda y: length(y.s))), 0) + length(sb[i].role) + 5 AS BIGINT) || '-' ||
+         CAST(list_sum(list_transform(sb[1:i], lambda y: length(y.s))) - 1 AS BIGINT)), ','), '') AS rejected_spans,
   len(a) > 0 OR len(b) > 0 AS differs
-FROM z
+FROM r
 """

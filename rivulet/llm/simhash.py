@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import Forest, col, components, saved, table
+from rivulet.llm.common import Forest, col, components, saved, table, unpacked, whole
 
 CHUNK = 1 << 15
 
@@ -215,6 +215,20 @@ def near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
                                        "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each group of near-duplicates, the one with the smallest id, with all columns.
+
+    Rows without id come after all others; among rows of one id, the hash of the text decides, and of
+    equal rows one stays.
+    """
+    key = F.struct(F.coalesce(col(doc).cast("long"), F.lit(2**63 - 1)).alias("a"), F.xxhash64(col(text)).alias("b"))
+    rows = docs.select(whole(docs).alias("row"), key.alias("key"), col(text).alias("text"))
+    groups = near_duplicates(rows, doc="key", text="text", **options)
+    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct()
+    kept = rows.select("row", "key").join(saved(keep, "kept"), "key", "left_semi").dropDuplicates(["key"])
+    return unpacked(kept, "row", docs.columns)
+
+
 def op7_simhash(spark, sf_dir):
     """SimHash components of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -3,7 +3,8 @@
 Words are read as symbols: insult, threat, target, negation, report or
 other. Five small transducers (one per symbol family) are composed into one
 table at start: the state says whether a negation, a report, or a target is
-near, and reading an insult or threat adds a weight that depends on it. A
+near, and reading an insult, or the target of a threat, adds a weight that
+depends on it. A
 clause scores what its path adds up to, so "you are an idiot" weighs more
 than "idiot", and "she said that you are no idiot" less.
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import bounded_sample, col, held_out, saved, table
+from rivulet.llm.common import bounded_sample, col, held_out, saved, table, unpacked, whole
 
 # Seed words of each family.
 INSULTS = "clown disgusting dumb fool idiot idiots imbecile loser losers moron morons pathetic scum stupid trash vermin worthless".split()
@@ -51,38 +52,44 @@ def _target(state: int, symbol: int) -> int:
     return REACH if symbol == TARGET else max(0, state - 1)
 
 
+def _threat(state: int, symbol: int) -> int:
+    return REACH if symbol == THREAT else 0 if symbol == TARGET else max(0, state - 1)
+
+
 def _report(state: int, symbol: int) -> int:
     return 1 if symbol == REPORT else state  # to the end of the clause
 
 
-def _emit(symbol: int, negated: int, targeted: int, reported: int) -> float:
-    """Factor on the weight of the word just read."""
-    if symbol not in (INSULT, THREAT):
-        return 0.0
-    if symbol == THREAT and not targeted:
+def _emit(symbol: int, negated: int, targeted: int, threatened: int, reported: int) -> float:
+    """Factor on the weight of the word just read: insults weigh at once, threats when their target comes."""
+    if symbol == INSULT:
+        factor = 1.25 if targeted else 1.0
+    elif symbol == TARGET and threatened:
+        factor = 1.0
+    else:
         return 0.0
-    factor = 1.25 if targeted else 1.0
     return factor * (0.4 if negated else 1.0) * (0.6 if reported else 1.0)
 
 
 def compose() -> dict[tuple[int, int], tuple[int, float]]:
     """(state, symbol) → (next state, factor): the product of the transducers, states numbered."""
-    states = list(product(range(REACH + 1), range(REACH + 1), range(2)))
+    near = range(REACH + 1)
+    states = list(product(near, near, near, range(2)))
     number = {s: i for i, s in enumerate(states)}
     out = {}
-    for (n, t, r), symbol in product(states, range(6)):
-        to = _negation(n, symbol), _target(t, symbol), _report(r, symbol)
-        out[number[n, t, r], symbol] = number[to], _emit(symbol, n, t, r)
+    for (n, t, k, r), symbol in product(states, range(6)):
+        to = _negation(n, symbol), _target(t, symbol), _threat(k, symbol), _report(r, symbol)
+        out[number[n, t, k, r], symbol] = number[to], _emit(symbol, n, t, k, r)
     return out
 
 
 class Grammar:
     """The composed transducer with a lexicon: ``weights`` of whole words and of word beginnings."""
 
-    def __init__(self, words: dict[str, float], starts: dict[str, float]):
+    def __init__(self, words: dict[str, float], starts: dict[str, float], threat: float = 2.0):
         self.table = compose()
-        self.symbols = {w: (s, 0.0) for s, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
-        self.symbols.update({w: (THREAT, 2.0) for w in THREATS})
+        families = ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS))
+        self.symbols = {w: (s, threat) for s, ws in families for w in ws}
         self.insults, self.starts = words, starts
         self.lengths = sorted({len(s) for s in starts})
 
@@ -220,9 +227,9 @@ def toxicity(docs: DataFrame, model: tuple[Grammar, float, float], *, doc: str =
 
 def drop_toxic(docs: DataFrame, model, *, text: str = "text", limit: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score below ``limit``, with all their columns; nothing is joined or shuffled."""
-    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text).alias("text"))
+    rows = docs.select(whole(docs).alias("row"), col(text).alias("text"))
     kept = toxicity(rows, model, doc="row", text="text", limit=limit).where("predicted = 0")
-    return kept.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])
+    return unpacked(kept, "doc_id", docs.columns)
 
 
 def op9_toxicity(spark, sf_dir):
