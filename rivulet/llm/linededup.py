@@ -7,13 +7,13 @@ over the whole corpus, which every task can hold: any common order is
 right, rarer first is merely faster.
 
 Three passes: (1) line classes (equal sets) and word counts; (2) prefix
-postings, dealt by word in packed blocks, where a line stays a candidate if
-a partner passes the length and positional filters and the parity of their
-words differs in few enough bits; (3) full word sets of the few candidates,
-joined on shared prefix words in blocks of bounded size, where each pair is
-verified once, at its first common word. Only counts and earliest places
-leave a block, never pairs. A later line falls to any earlier equal or
-similar one.
+postings, dealt by word in packed blocks, where two lines become candidates
+if they pass the length and positional filters and the parity of their
+words differs in few enough bits (each a necessary condition); (3) the word
+sets of lines with candidates. Every similar pair lies within a connected
+group of candidates, so each pair of a group is verified once, in blocks of
+bounded size. Only counts and earliest places leave a block, never pairs. A
+later line falls to any earlier equal or similar one.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import col, saved, table, unpacked, whole
-from rivulet.llm.wordsets import lines_of, text_keys
+from rivulet.llm.common import Forest, col, components, saved, table, unpacked, whole
+from rivulet.llm.wordsets import lines_of, mix, text_keys
 
 CHUNK = 4096  # cells of the count table per row
 _POSTING = np.dtype([("w", "<u4"), ("n", "<u2"), ("at", "<u2"), ("k", "<u8"), ("p1", "<u8"), ("p2", "<u8")])
@@ -88,19 +88,37 @@ def _ordered(x, levels, num, den):
     return order, line, place, level[order], pick
 
 
+LONG = 128  # lines of more words carry a wider parity, as theirs may differ in more bits
+WIDE = 8
+
+
+def _wide_parity(x, which: np.ndarray) -> np.ndarray:
+    """512-bit parities of the words of some lines."""
+    out = np.zeros((len(which), WIDE), np.uint64)
+    for r, i in enumerate(which.tolist()):
+        h = mix(x.words[x.cuts[i]:x.cuts[i + 1]].copy(), 3)
+        bit, word = np.uint64(1) << (h & np.uint64(63)), (h >> np.uint64(6)) % np.uint64(WIDE)
+        out[r] = [np.bitwise_xor.reduce(bit[word == w], initial=np.uint64(0)) for w in range(WIDE)]
+    return out
+
+
 def _postings(batches, levels, hot, buckets, num, den):
-    """(id, text) → packed postings by bucket; those of very frequent words go to buckets by line, from ``buckets`` on."""
+    """(id, text) → packed postings by bucket; bucket -1 holds those of very frequent words."""
     levels, seen, held, size = levels.value, set(), [], 0
+    names = ["bucket", "rows", "wide"]
 
     def flush():
-        where = np.concatenate([h[0] for h in held])
-        rows = np.concatenate([h[1] for h in held])
+        where, rows, wide = (np.concatenate([h[i] for h in held]) for i in range(3))
         order = np.argsort(where, kind="stable")
+        at = np.cumsum(rows["n"] > LONG) - 1  # of a long line's posting, its row in wide
+        wide = wide[at[order[rows["n"][order] > LONG]]]
         where, rows = where[order], rows[order]
-        cut = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
+        cut = np.r_[np.flatnonzero(np.r_[True, where[1:] != where[:-1]]), len(rows)]
+        long = np.r_[0, np.cumsum(rows["n"] > LONG)][cut]
         return pa.RecordBatch.from_arrays(
-            [pa.array(where[cut].astype(np.int32)),
-             pa.array([rows[a:b].tobytes() for a, b in zip(cut, np.r_[cut[1:], len(rows)])], pa.binary())], ["bucket", "rows"])
+            [pa.array(where[cut[:-1]].astype(np.int32)),
+             pa.array([rows[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary()),
+             pa.array([wide[i:j].tobytes() for i, j in zip(long, long[1:])], pa.binary())], names)
 
     for t in batches:
         for x in lines_of(t.column(1)):
@@ -112,15 +130,14 @@ def _postings(batches, levels, hot, buckets, num, den):
             seen.update(x.k1[new].tolist())
             pick &= new[line]
             w, line, place = x.words[order][pick], line[pick], place[pick]
-            frequent = level[pick] >= hot
             rows = np.empty(len(w), _POSTING)
             rows["w"] = (w >> np.uint64(32)).astype(np.uint32)
             rows["n"], rows["at"] = np.minimum(x.n[line], 65535), np.minimum(place, 65535)
             rows["k"], rows["p1"], rows["p2"] = x.k1[line], x.p1[line], x.p2[line]
             # the bucket is of the lower half of the hash, so bucket and w together tell words apart
-            where = np.where(frequent, buckets + (x.k1[line] % np.uint64(buckets)).astype(np.int64),
-                             (w % np.uint64(buckets)).astype(np.int64))
-            held.append((where, rows))
+            where = np.where(level[pick] >= hot, -1, (w % np.uint64(buckets)).astype(np.int64))
+            long, back = np.unique(line[rows["n"] > LONG], return_inverse=True)
+            held.append((where, rows, _wide_parity(x, long)[back]))
             size += len(rows)
             if size >= 1 << 20:
                 yield flush()
@@ -129,30 +146,84 @@ def _postings(batches, levels, hot, buckets, num, den):
         yield flush()
 
 
-def _candidates(key, t, buckets, num, den):
-    """Postings of a bucket → lines with a possible partner; all lines, if they come for a very frequent word."""
+def _links(rows, wide, num, den, side=None):
+    """Postings → chains of candidate lines that share a word (``side``: only across the two sides)."""
+    long = np.zeros(len(rows), np.int64)
+    long[rows["n"] > LONG] = np.arange(int((rows["n"] > LONG).sum()))
+    order = np.lexsort((rows["k"], rows["n"], rows["w"]))
+    rows, long, side = rows[order], long[order], None if side is None else side[order]
+    one = np.r_[True, (rows["w"][1:] != rows["w"][:-1]) | (rows["k"][1:] != rows["k"][:-1])]
+    rows, long, side = rows[one], long[one], None if side is None else side[one]
+    n, at, w = rows["n"].astype(np.int64), rows["at"].astype(np.int64), rows["w"]
+    p1, p2 = rows["p1"], rows["p2"]
+    ids, label = np.unique(rows["k"], return_inverse=True)
+    forest, out, d = Forest(len(ids)), [], 0
+    mine, live = label.copy(), np.flatnonzero(np.r_[w[1:] == w[:-1], False])
+    while len(live):  # pairs (i, i + d) of the same word, sizes ascending
+        d += 1
+        live = live[live + d < len(rows)]
+        j = live + d
+        live = live[(w[live] == w[j]) & (n[live] * den >= num * n[j])]  # once too long, all later ones are
+        i = live[mine[live] != mine[live + d]]  # pairs connected already need no look
+        if side is not None:
+            i = i[side[i] != side[i + d]]
+        j = i + d
+        least = need(n[i], n[j], num, den)
+        far = np.bitwise_count(p1[i] ^ p1[j]).astype(np.int64) + np.bitwise_count(p2[i] ^ p2[j])
+        ok = ((np.minimum(n[i] - at[i], n[j] - at[j]) >= least) & (far <= n[i] + n[j] - 2 * least)) | (n[j] >= 65535)
+        i, j, least = i[ok], j[ok], least[ok]
+        both = np.flatnonzero((n[i] > LONG) & (n[j] < 65535))
+        if len(both):
+            far = np.bitwise_count(wide[long[i[both]]] ^ wide[long[j[both]]]).sum(1, dtype=np.int64)
+            bad = both[far > n[i[both]] + n[j[both]] - 2 * least[both]]
+            i, j = np.delete(i, bad), np.delete(j, bad)
+        if len(i):
+            for a, b in zip(label[i].tolist(), label[j].tolist()):
+                if forest.join(a, b):
+                    out.append((a, b))
+            mine = np.fromiter(map(forest.root, range(len(ids))), np.int64, len(ids))[label]
+    a = ids[np.array(out, np.int64).reshape(-1, 2)].view(np.int64)
+    return pa.table({"a": a[:, 0], "b": a[:, 1]})
+
+
+def _candidates(key, t, num, den):
+    """Packed postings of a bucket → links between candidate lines."""
     rows = np.frombuffer(b"".join(t["rows"].to_pylist()), _POSTING)
-    bucket = t["bucket"][0].as_py()
-    if bucket < buckets:
-        rows = rows[np.lexsort((rows["k"], rows["n"], rows["w"]))]
-        rows = rows[np.r_[True, (rows["w"][1:] != rows["w"][:-1]) | (rows["k"][1:] != rows["k"][:-1])]]
-        keep = np.zeros(len(rows), bool)
-        n, at = rows["n"].astype(np.int64), rows["at"].astype(np.int64)
-        same = np.r_[rows["w"][1:] == rows["w"][:-1], False]
-        live, d = np.flatnonzero(same), 0
-        while len(live):  # pairs (i, i + d) of the same word, sizes ascending
-            d += 1
-            live = live[live + d < len(rows)]
-            i, j = live, live + d
-            fits = (rows["w"][i] == rows["w"][j]) & (n[i] * den >= num * n[j])
-            live, i, j = i[fits], i[fits], j[fits]  # once too long, all later ones are
-            least = need(n[i], n[j], num, den)
-            far = np.bitwise_count(rows["p1"][i] ^ rows["p1"][j]) + np.bitwise_count(rows["p2"][i] ^ rows["p2"][j])
-            ok = (np.minimum(n[i] - at[i], n[j] - at[j]) >= least) & (far <= n[i] + n[j] - 2 * least)
-            ok |= n[j] >= 65535
-            keep[i[ok]] = keep[j[ok]] = True
-        rows = rows[keep]
-    return pa.table({"k1": pa.array(np.unique(rows["k"]).astype(np.uint64).view(np.int64))})
+    wide = np.frombuffer(b"".join(t["wide"].to_pylist()), np.uint64).reshape(-1, WIDE)
+    return _links(rows, wide, num, den)
+
+
+def _single(batches):
+    """Packed postings → a row each."""
+    for t in batches:
+        for r, wide in zip(t.column(1).to_pylist(), t.column(2).to_pylist()):
+            rows, step = np.frombuffer(r, _POSTING), _POSTING.itemsize
+            wides = iter([wide[i:i + 8 * WIDE] for i in range(0, len(wide), 8 * WIDE)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows["w"].astype(np.int64)), pa.array(rows["k"].astype(np.uint64).view(np.int64)),
+                 pa.array([r[i:i + step] for i in range(0, len(r), step)], pa.binary()),
+                 pa.array([next(wides) if n > LONG else None for n in rows["n"].tolist()], pa.binary())], ["w", "k", "row", "wide"])
+
+
+def _frequent(key, t, num, den):
+    """One block, or pair of blocks, of a frequent word's postings → links between candidate lines."""
+    rows = np.frombuffer(b"".join(t["row"].to_pylist()), _POSTING)
+    wide = np.frombuffer(b"".join(x for x in t["wide"].to_pylist() if x), np.uint64).reshape(-1, WIDE)
+    side = t["side"].to_numpy()
+    return _links(rows, wide, num, den, None if side[0] < 0 else side)
+
+
+def in_blocks(df: DataFrame, count: str, block: int, spread: str) -> DataFrame:
+    """Rows of a group of ``count`` rows → for each pair of its blocks of about ``block`` rows, ``x, y, side``.
+
+    ``side`` is -1 where a block meets itself, else 0 or 1 for the two blocks. A group of one block stays as it is.
+    """
+    n = F.ceil(F.col(count) / block).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), F.col("__n") - 1), lambda o: F.struct(
+        F.least(o, F.col("__own")).alias("x"), F.greatest(o, F.col("__own")).alias("y"),
+        F.when(o == F.col("__own"), -1).when(o < F.col("__own"), 1).otherwise(0).alias("side")))
+    d = df.withColumn("__n", n).withColumn("__own", F.pmod(F.xxhash64(spread), F.col("__n")).cast("int"))
+    return d.withColumn("__p", F.explode(pair)).select("*", "__p.x", "__p.y", "__p.side").drop("__n", "__own", "__p")
 
 
 def _bitmap(batches, bits):
@@ -170,83 +241,69 @@ def _or(key, t):
     return pa.table({"chunk": t["chunk"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def _sets(batches, levels, bitmap, num, den):
-    """(id, text) → class, words in order, and prefix length of lines whose class the bitmap holds."""
-    levels, bitmap, seen = levels.value, bitmap.value, set()
+def _sets(batches, bitmap):
+    """(id, text) → class and words of lines whose class the bitmap holds."""
+    bitmap, seen = bitmap.value, set()
     size = np.uint64(len(bitmap) * 8 - 1)
     for t in batches:
         for x in lines_of(t.column(1)):
             cell = x.k1 & size
             hit = bitmap[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1
-            rows = [i for i in np.flatnonzero(hit).tolist() if (int(x.k1[i]), int(x.k2[i])) not in seen]
-            if not rows:
-                continue
             if len(seen) > 200_000:
                 seen.clear()
-            order, line, place, level, pick = _ordered(x, levels, num, den)
-            words, out = x.words[order], []
-            for i in rows:
-                k = (int(x.k1[i]), int(x.k2[i]))
+            out = []
+            for i in np.flatnonzero(hit).tolist():
+                k = int(x.k1[i]), int(x.k2[i])
                 if k not in seen:
                     seen.add(k)
-                    s, e = x.cuts[i], x.cuts[i + 1]
-                    out.append((*k, words[s:e].tobytes(), level[s:e].tobytes(), int(pick[s:e].sum())))
+                    out.append((*k, x.words[x.cuts[i]:x.cuts[i + 1]].tobytes()))
             if out:
-                k1, k2, w, l, p = zip(*out)
+                k1, k2, w = zip(*out)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.array(k1, np.uint64).view(np.int64)), pa.array(np.array(k2, np.uint64).view(np.int64)),
-                     pa.array(w, pa.binary()), pa.array(l, pa.binary()), pa.array(p, pa.int32())],
-                    ["k1", "k2", "words", "levels", "p"])
+                     pa.array(w, pa.binary())], ["k1", "k2", "words"])
 
 
-def _prefix_words(batches):
-    """Candidate sets → a row for each word of their prefix."""
-    for t in batches:
-        w = [np.frombuffer(x, np.int64)[:p] for x, p in zip(t.column(2).to_pylist(), t.column(4).to_pylist())]
-        n = [len(x) for x in w]
-        if sum(n):
-            pick = pa.array(np.repeat(np.arange(len(w)), n))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(w)), t.column(0).take(pick), t.column(1).take(pick)],
-                                             ["w", "k1", "k2"])
+def _overlaps(lines: list[np.ndarray]) -> np.ndarray:
+    """Words that each two of the lines share; words in steps, so that memory stays bounded whatever the lines hold."""
+    m, n = len(lines), [len(x) for x in lines]
+    words, column = np.unique(np.concatenate(lines), return_inverse=True)
+    row, shared = np.repeat(np.arange(m), n), np.zeros((m, m), np.float32)
+    for s in range(0, len(words), 4096):
+        part = (column >= s) & (column < s + 4096)
+        x = np.zeros((m, min(4096, len(words) - s)), np.float32)
+        x[row[part], column[part] - s] = 1
+        shared += x @ x.T
+    return shared
 
 
 def _verify(key, t, num, den):
-    """One block (pair) of lines sharing a prefix word: links whose first common word it is, and earliest partners."""
-    word = np.int64(t["w"][0].as_py()).view(np.uint64)
-    lines = [np.frombuffer(x, np.uint64) for x in t["words"].to_pylist()]
-    levels = [np.frombuffer(x, np.uint8) for x in t["levels"].to_pylist()]
-    side = t["side"].to_numpy()
-    m, n = len(lines), np.array([len(x) for x in lines], np.int64)
-    words, levels = np.concatenate(lines), np.concatenate(levels)
-    order = np.lexsort((words, levels))
-    new = np.r_[True, words[order][1:] != words[order][:-1]]
-    column = np.empty(len(words), np.int64)
-    column[order] = np.cumsum(new) - 1
-    row, here = np.repeat(np.arange(m), n), int(column[np.flatnonzero(words == word)[0]])
-    shared = np.zeros((m, m), np.float32)
-    before = np.zeros((m, m), bool)
-    width = int(column.max()) + 1
-    for s in range(0, width, 2048):  # words in steps, so that memory stays bounded whatever the lines hold
-        part = (column >= s) & (column < s + 2048)
-        x = np.zeros((m, min(2048, width - s)), np.float32)
-        x[row[part], column[part] - s] = 1
-        shared += x @ x.T
-        if s <= here:
-            y = x[:, :here - s] if here < s + 2048 else x
-            before |= y @ y.T > 0
-    link = (shared >= need(n[:, None], n[None, :], num, den)) & ~before
-    np.fill_diagonal(link, False)
-    if side[0] >= 0:
-        link &= side[:, None] != side[None, :]
-    some = link.any(1)
+    """Groups of candidates (or one pair of blocks of a large group) → links of each line and its earliest partner."""
+    group = t["component"].to_numpy()
+    order = np.argsort(group, kind="stable")
+    cut = np.r_[np.flatnonzero(np.r_[True, np.diff(group[order]) != 0]), len(group)]
+    words, sides = t["words"].to_pylist(), t["side"].to_numpy()
     doc, no = t["first_id"].to_numpy(), t["first_line"].to_numpy()
-    rank = np.empty(m, np.int64)
+    rank = np.empty(len(doc), np.int64)
     at = np.lexsort((no, doc))
-    rank[at] = np.arange(m)
-    best = at[np.where(link, rank[None, :], m - 1).min(1)]
-    pick = pa.array(np.flatnonzero(some))
-    return pa.table({"k1": t["k1"].take(pick), "k2": t["k2"].take(pick), "links": pa.array(link.sum(1)[some], pa.int64()),
-                     "near_id": pa.array(doc[best][some]), "near_line": pa.array(no[best][some], pa.int32())})
+    rank[at] = np.arange(len(doc))
+    pick, links, best = [], [], []
+    for s, e in zip(cut, cut[1:]):
+        rows = order[s:e]
+        lines = [np.frombuffer(words[i], np.uint64) for i in rows]
+        n, side = np.array([len(x) for x in lines], np.int64), sides[rows]
+        link = _overlaps(lines) >= need(n[:, None], n[None, :], num, den)
+        np.fill_diagonal(link, False)
+        if side[0] >= 0:
+            link &= side[:, None] != side[None, :]
+        some = link.any(1)
+        pick.append(rows[some])
+        links.append(link.sum(1)[some])
+        best.append(at[np.where(link, rank[rows][None, :], len(doc)).min(1)[some]])
+    pick, best = np.concatenate(pick), np.concatenate(best)
+    return pa.table({"k1": t["k1"].take(pa.array(pick)), "k2": t["k2"].take(pa.array(pick)),
+                     "links": pa.array(np.concatenate(links), pa.int64()),
+                     "near_id": pa.array(doc[best]), "near_line": pa.array(no[best], pa.int32())})
 
 
 def similar_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", num: int = 4, den: int = 5,
@@ -270,9 +327,15 @@ def similar_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n
     levels = spark.sparkContext.broadcast(levels)
     same = dict(num=num, den=den)
     buckets = max(512, total // (1 << 20))
-    post = d.mapInArrow(partial(_postings, levels=levels, hot=hot, buckets=buckets, **same), "bucket int, rows binary")
-    cand = (post.groupBy("bucket").applyInArrow(partial(_candidates, buckets=buckets, **same), "k1 long").distinct())
-    chunks = saved(cand, "line-candidates").mapInArrow(partial(_bitmap, bits=23), "chunk int, counts binary")
+    post = saved(d.mapInArrow(partial(_postings, levels=levels, hot=hot, buckets=buckets, **same),
+                              "bucket int, rows binary, wide binary"), "line-postings", "none")
+    often = saved(post.where("bucket < 0").mapInArrow(_single, "w long, k long, row binary, wide binary"), "line-frequent")
+    size = saved(often.groupBy("w").count().where("count > 1"), "line-words")
+    edges = post.where("bucket >= 0").groupBy("bucket").applyInArrow(partial(_candidates, **same), "a long, b long").union(
+        in_blocks(often.join(size, "w"), "count", 4096, "k").groupBy("w", "x", "y").applyInArrow(
+            partial(_frequent, **same), "a long, b long"))
+    comp = saved(components(edges).withColumnRenamed("id", "k1"), "line-groups")
+    chunks = comp.select("k1").mapInArrow(partial(_bitmap, bits=23), "chunk int, counts binary")
     bitmap = np.zeros(1 << 20, np.uint8)
     for r in chunks.groupBy("chunk").applyInArrow(_or, "chunk int, counts binary").toLocalIterator():
         bitmap[r.chunk * CHUNK:(r.chunk + 1) * CHUNK] = np.frombuffer(r.counts, np.uint8)
@@ -280,20 +343,15 @@ def similar_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n
     first = lines.groupBy("k1", "k2").agg(F.min(F.struct("id", "line_no")).alias("first"))
     first = saved(first.select("k1", "k2", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line")),
                   "line-classes")
-    sets = d.mapInArrow(partial(_sets, levels=levels, bitmap=bitmap, **same), "k1 long, k2 long, words binary, levels binary, p int")
-    sets = saved(sets.groupBy("k1", "k2").agg(F.first("words").alias("words"), F.first("levels").alias("levels"),
-                                              F.first("p").alias("p")), "line-sets")
-    sets = saved(sets.join(first, ["k1", "k2"]), "line-sets")
-    word = saved(sets.mapInArrow(_prefix_words, "w long, k1 long, k2 long"), "line-prefixes")
-    size = saved(word.groupBy("w").count().where("count > 1"), "line-words")
-    blocks = F.ceil(F.col("count") / block).cast("int")
-    own = F.pmod(F.xxhash64("k1"), F.col("b")).cast("int")
-    pair = F.transform(F.sequence(F.lit(0), F.col("b") - 1), lambda o: F.struct(
-        F.least(o, F.col("own")).alias("x"), F.greatest(o, F.col("own")).alias("y"),
-        F.when(o == F.col("own"), -1).when(o < F.col("own"), 1).otherwise(0).alias("side")))
-    dealt = word.join(size, "w").withColumn("b", blocks).withColumn("own", own).withColumn("p", F.explode(pair))
-    dealt = dealt.select("w", "p.x", "p.y", "p.side", "k1", "k2").join(sets.drop("p"), ["k1", "k2"])
-    found = dealt.groupBy("w", "x", "y").applyInArrow(
+    sets = d.mapInArrow(partial(_sets, bitmap=bitmap), "k1 long, k2 long, words binary")
+    sets = saved(sets.groupBy("k1", "k2").agg(F.first("words").alias("words")), "line-sets")
+    sets = saved(sets.join(comp, "k1").join(first, ["k1", "k2"]), "line-sets")
+    size = saved(sets.groupBy("component").count().where("count > 1"), "line-group-sizes")
+    dealt = in_blocks(sets.join(size, "component"), "count", block, "k1")
+    # small groups share a task's step, by the hundred; the blocks of a large one get a step each
+    large, hands = F.col("count") > block, max(64, sets.count() // 2000)
+    dealt = dealt.withColumn("hand", F.when(large, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(hands))))
+    found = dealt.withColumn("large", large).groupBy("large", "hand", "x", "y").applyInArrow(
         partial(_verify, **same), "k1 long, k2 long, links long, near_id long, near_line int")
     found = saved(found.groupBy("k1", "k2").agg(F.sum("links").alias("links"), F.min(F.struct("near_id", "near_line")).alias("near")),
                   "line-links")

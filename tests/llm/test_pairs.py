@@ -205,8 +205,31 @@ def test_lines_with_frequent_words_only(spark):
     import pyarrow as pa
     t = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array([rows[0][1], rows[1][1]])], ["id", "text"])
     hot = [b for b in linededup._postings([t], bc, 0, 8, 4, 5) for b in b.column(0).to_pylist()]
-    assert min(hot) >= 8  # dealt by line, not by word
-    assert linededup.similar_lines(df.limit(0)).count() == 0
+    assert hot == [-1]  # not dealt by word
+
+
+@pytest.mark.parametrize("hot", [0, 300])
+def test_candidates_hold_every_similar_pair(spark, hot, monkeypatch):
+    """Short and long lines, through packed buckets and through blocks of frequent words."""
+    r = random.Random(12)
+    rows = []
+    for d in range(40):
+        base = [f"v{r.randrange(4000)}" for _ in range(r.choice([6, 30, 140, 400, 900]))]
+        for _ in range(r.choice([1, 2, 4])):
+            line = list(base)
+            for _ in range(r.randint(0, len(line) // 8)):
+                line[r.randrange(len(line))] = f"v{r.randrange(4000)}"
+            rows.append((len(rows), " ".join(line)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    level = linededup._levels
+    monkeypatch.setattr(linededup, "_levels", lambda c, b: (level(c, b)[0], hot, level(c, b)[2]))
+    got = linededup.similar_lines(df, block=3)
+    assert Counter((x.doc_id, x.line_no, x.class_doc, x.class_line, x.n_links, x.removed) for x in got.collect()) == slow_lines(rows)
+
+
+def test_lines_of_empty_tables(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert linededup.similar_lines(df).count() == 0 == linededup.drop_lines(df).count()
 
 
 # --- passages
