@@ -11,17 +11,17 @@ steps can use it directly.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def _col(c) -> Column:
-    return c if isinstance(c, Column) else F.col(f"`{c}`") if _needs_quote(c) else F.col(c)
-
-
-def _needs_quote(name: str) -> bool:
-    # Names such as ``raw:data`` or ``@rate`` are plain columns, not paths.
-    return any(ch in name for ch in ":@ -") and not name.startswith("`")
+    """A Column, or a key by its exact name (``raw:data``, ``@rate``, ``shower.x``); back-quoted text is taken as it is."""
+    if isinstance(c, Column):
+        return c
+    return F.col(c if c.startswith("`") else "`" + c.replace("`", "``") + "`")
 
 
 def _val(v) -> Column:
@@ -97,22 +97,31 @@ def always() -> Column:
     return _total(F.lit(True))
 
 
+_TOKEN = re.compile(r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`)|<=>|<=|>=|!=|<>|==|=""")
+_NULL_SAFE = {"=": "<=>", "==": "<=>", "!=": " IS DISTINCT FROM ", "<>": " IS DISTINCT FROM "}
+
+
+def null_safe_text(text: str) -> str:
+    """Condition text whose ``=`` and ``!=`` compare nulls as values, as :func:`eq` and :func:`ne` do."""
+    return _TOKEN.sub(lambda m: m[0] if m[1] else _NULL_SAFE.get(m[0], m[0]), text)
+
+
 def as_condition(cond) -> Column:
-    """Column, Spark SQL text, or bool → a never-null boolean Column.
+    """Column, SQL text, or bool → a never-null boolean Column.
 
-    SQL text follows Spark's three-valued logic; the result is then made
-    total with ``coalesce(…, false)``, so an unknown outcome never routes
-    or skips a record. Use :func:`ne`/:func:`eq` when null should compare.
+    In text, ``=`` and ``!=`` compare null as a value (a record without the
+    key differs from any value); an order comparison with null is unknown,
+    and an unknown outcome never routes or skips a record.
     """
     if isinstance(cond, bool):
         return _total(F.lit(cond))
     if isinstance(cond, Column) and cond.__dict__.get("_rivulet_total", False):
         return cond
     if isinstance(cond, str):
-        cond = F.expr(cond)
+        cond = F.expr(null_safe_text(cond))
     return _total(F.coalesce(cond, F.lit(False)))
 
 
 def column(c) -> Column:
-    """Column from a name that may contain ``:``/``@`` (back-quoted)."""
+    """Column from its exact name."""
     return _col(c)

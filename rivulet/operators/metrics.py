@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.conditions import as_condition
+from ..functions.conditions import as_condition, column
 from .sequence import dense_id
 
 
@@ -26,7 +26,7 @@ def batch_count(df: DataFrame, ts_col: str, every: str = "1 hour", emitted=None,
     aggs = [F.count(F.lit(1)).alias("processed")]
     if emitted is not None:
         aggs.append(F.count_if(as_condition(emitted)).alias("emitted"))
-    return (df.groupBy(F.window(F.col(ts_col), every).start.alias(batch_col))
+    return (df.groupBy(F.window(column(ts_col), every).start.alias(batch_col))
               .agg(*aggs))
 
 
@@ -38,12 +38,12 @@ def throughput(df: DataFrame, key, order_col: str, ts_col: str, every: int = 100
     in ``order_col`` order; ``elapsed_us`` is max − min of ``ts_col``.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    numbered = dense_id(df.select(*keys, order_col, ts_col), order_col, keys=keys, id_col="__seq")
+    numbered = dense_id(df.select(*map(column, [*keys, order_col, ts_col])), order_col, keys=keys, id_col="__seq")
     return (numbered
             .withColumn(block_col, F.floor((F.col("__seq") - 1) / every).cast("long"))
-            .groupBy(*keys, block_col)
+            .groupBy(*map(column, keys), block_col)
             .agg(F.count(F.lit(1)).alias("items"),
-                 F.timestamp_diff("MICROSECOND", F.min(ts_col), F.max(ts_col)).alias("elapsed_us")))
+                 F.timestamp_diff("MICROSECOND", F.min(column(ts_col)), F.max(column(ts_col))).alias("elapsed_us")))
 
 
 def observed(df: DataFrame, name: str = "processed", emitted=None):

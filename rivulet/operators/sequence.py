@@ -3,21 +3,23 @@
 ``row_number() OVER (PARTITION BY copy ORDER BY x)`` is right but puts every
 row of a copy into one task: four copies means four tasks, and a key that
 holds a third of the data means one task holds a third of the data. Here the
-same numbers are computed as a segmented scan:
-
-1. *Range buckets.* Approximate quantiles of the order column give literal
-   boundaries (a small list, its length chosen from a prior row count); the
-   bucket of a row is the number of boundaries at or below its order value
-   (``Bucketizer``, a binary search in the JVM). The bucket is a pure
-   function of the row, so every pass agrees on it, and no bucket holds
-   much more than ``rows / n_buckets`` rows whatever the key skew is.
-2. *Local scan.* A window over ``(key, bucket)`` ordered by the order column
-   gives the running values inside each bucket.
-3. *Offsets.* Totals per ``(key, bucket)`` (one row per pair, from a
-   partial aggregate, so only that many rows per task are shuffled) are
-   scanned per key in bucket order. This table has at most
-   ``keys × n_buckets`` rows.
-4. *Join back* on ``(key, bucket)``; the large side keeps its partitioning.
+same numbers are computed with large keys cut into ranges, by one plan for
+every input size:
+
+1. *Sample.* After a row count, one seeded, column-pruned sample of bounded
+   size (about 100 rows per range) shows which keys hold more than one
+   range's share of the rows, and where to cut them. There are never more
+   such keys than ranges.
+2. *Ranges.* Rows of a large key get the number of their range: the key's
+   number plus the scaled order value, cut by ``Bucketizer`` (a binary
+   search in the JVM). All other rows are in range 0. The range is a pure
+   function of the row, so every pass agrees on it.
+3. *Local scan.* A window over ``(key, range)`` gives the running values; it
+   is the only shuffle of the records. Small keys are done with it.
+4. *Carries.* Totals per range of the large keys (a second, column-pruned
+   scan with partial aggregation) are scanned per key and joined back. This
+   table has at most as many rows as there are ranges and large keys, so it
+   is broadcast.
 
 Keys are wrapped in one struct column, so a null key is one group and joins
 to itself (G3). The order column should be unique and not null for dense IDs
@@ -32,55 +34,74 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.conditions import column
 from ..session import shuffle_partitions
 
-# Rows per bucket and bucket cap used when the bucket count is derived from
-# the row count: 1e12 rows → 1e5 buckets of 1e7 rows (a window sort spills).
+# Rows per range: 1e12 rows → 1e5 ranges of 1e7 rows (a window sort spills).
 ROWS_PER_BUCKET = 10_000_000
-MAX_BUCKETS = 100_000
-# Rows sampled per bucket to place the boundaries (at most 1e7 in all).
+# Rows sampled per range to find large keys and place the cuts.
 SAMPLES_PER_BUCKET = 100
 SAMPLE_SEED = 17
-# Up to this many input rows a plain window is used (one task never holds
-# more); the session setting ``rivulet.segmentedScan.minRows`` overrides it.
-SMALL_INPUT_ROWS = 2_000_000
-MIN_ROWS_CONF = "rivulet.segmentedScan.minRows"
+# Strings are placed between this many sampled values (see _string_key).
+PIVOTS = 64
+PIVOT_SAMPLE = 20_000
 
 _KEY = "__rv_key"
 _BUCKET = "__rv_bucket"
+_HASH = "__rv_hash"
+_NUMBER = "__rv_number"
 _ORD = "__rv_ord"
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def _prefix_key(c: Column, skip: int) -> Column:
-    """Monotone double from 7 bytes of a string after ``skip`` shared bytes."""
-    raw = F.substring(F.encode(c, "UTF-8"), skip + 1, 7)
-    hexed = F.rpad(F.hex(raw), 14, "0")
-    return F.conv(hexed, 16, 10).cast("double")
-
-
-def _common_prefix_bytes(lo: str | None, hi: str | None) -> int:
-    if lo is None or hi is None:
-        return 0
-    a, b = lo.encode("utf-8"), hi.encode("utf-8")
+def _common_prefix(a: str, b: str) -> int:
+    """Bytes that two strings share at the start."""
     n = 0
-    for x, y in zip(a, b):
+    for x, y in zip(a.encode("utf-8"), b.encode("utf-8")):
         if x != y:
             break
         n += 1
     return n
 
 
-def _order_key(dtype, c: Column, lo=None, hi=None) -> Column:
-    """A monotone double Column for the order column.
+def _string_key(c: Column, pivots: list[str]) -> Column:
+    """Monotone double of a string: the pivots at or below it, plus a fraction.
+
+    All strings between two pivots share the pivots' common prefix, so the
+    fraction is taken from the bytes after it: wherever strings are dense,
+    neighbouring pivots are alike and the fraction still tells them apart.
+    """
+    def below(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c < F.lit(pivots[mid]), below(lo, mid)).otherwise(below(mid + 1, hi))
+
+    place = below(0, len(pivots))
+    skips = [0, *(_common_prefix(a, b) for a, b in zip(pivots, pivots[1:])), 0]
+    skip = F.get(F.array(*[F.lit(n) for n in skips]), place)
+    raw = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), skip + 1, F.lit(6))), 12, "0")
+    return place.cast("double") + F.conv(raw, 16, 10).cast("double") / F.lit(float(2**48))
+
+
+def _pivots(values: list[str]) -> list[str]:
+    """Evenly spaced distinct values of a sample, with both ends."""
+    v = sorted(set(values), key=lambda x: x.encode("utf-8"))
+    if len(v) <= PIVOTS:
+        return v
+    return [v[i * (len(v) - 1) // (PIVOTS - 1)] for i in range(PIVOTS)]
+
 
-    The double only needs to be monotone (ties allowed): it decides the
-    bucket, and the exact order inside a bucket comes from the real column.
-    Strings use 7 bytes after the prefix shared by all values (``lo`` and
-    ``hi`` are the column's min and max).
+def _order_key(df: DataFrame, name: str, n: int) -> Column:
+    """A monotone double Column for the order column (ties allowed).
+
+    It only decides the range; the exact order inside a range comes from the
+    real column.
     """
+    dtype, c = df.schema[name].dataType, column(name)
     if isinstance(dtype, T.StringType):
-        return _prefix_key(c, _common_prefix_bytes(lo, hi))
+        few = df.select(c.alias("v")).where("v is not null").sample(min(1.0, PIVOT_SAMPLE / max(n, 1)), SAMPLE_SEED)
+        return _string_key(c, _pivots([r.v for r in few.limit(2 * PIVOT_SAMPLE).collect()]))
     if isinstance(dtype, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c).cast("double")
     if isinstance(dtype, T.TimestampType):
@@ -92,76 +113,59 @@ def _order_key(dtype, c: Column, lo=None, hi=None) -> Column:
     raise TypeError(f"cannot order by a column of type {dtype.simpleString()}")
 
 
-def range_boundaries(df: DataFrame, order_col: str, n_buckets: int | None = None,
-                     rows_per_bucket: int = ROWS_PER_BUCKET, small_rows: int = -1,
-                     key: Column | None = None):
-    """(row count, monotone key Column, sorted distinct boundaries) for range buckets.
+def with_ranges(df: DataFrame, keys, order_col: str, n_buckets: int | None = None,
+                rows_per_bucket: int = ROWS_PER_BUCKET, bucket_col: str = _BUCKET):
+    """``(df with bucket_col, rows, large keys)``: the range of each row of a large key, 0 for all other rows.
 
-    A first, column-pruned job counts the rows (and finds min and max of a
-    string key). Inputs of at most ``small_rows`` rows get no boundaries
-    (the caller uses a plain window). Otherwise a second job computes
-    approximate quantiles for ``n_buckets`` buckets — by default
-    ``max(shuffle partitions, rows / rows_per_bucket)``, at most
-    ``MAX_BUCKETS`` — so a hot key is spread over every task. Only the
-    boundaries reach the driver.
+    The ranges of a key follow its order; no range holds much more than its
+    share of the rows, however few keys there are.
     """
-    c = F.col(order_col)
-    dtype = T.DoubleType() if key is not None else df.schema[order_col].dataType
-    if key is None and isinstance(dtype, T.StringType):
-        row = df.agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-        n, key = row["n"], _order_key(dtype, c, row["lo"], row["hi"])
-    else:
-        key = _order_key(dtype, c) if key is None else key.cast("double")
-        n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    if n == 0 or (n_buckets is None and n <= small_rows):
-        return n, key, []
-    buckets = int(n_buckets or min(MAX_BUCKETS, max(shuffle_partitions(df.sparkSession),
-                                                     math.ceil(n / rows_per_bucket))))
-    if buckets <= 1:
-        return n, key, []
-    probs = [j / buckets for j in range(1, buckets)]
-    # Boundaries only balance the buckets, so a seeded sample of about
-    # SAMPLES_PER_BUCKET rows per bucket is enough (as for Spark's range
-    # partitioning): the sketches merged in the final task then stay small
-    # however many input tasks there are. Results never depend on the sample.
-    src = df.select(key.alias(_ORD))
-    fraction = SAMPLES_PER_BUCKET * buckets / n
-    if fraction < 1.0:
-        src = src.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
-    qs = src.agg(F.percentile_approx(_ORD, probs, max(10_000, 4 * buckets)).alias("q")).first()["q"] or []
-    return n, key, sorted({q for q in qs if q is not None and not math.isnan(q)})
-
-
-def with_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None,
-                      rows_per_bucket: int = ROWS_PER_BUCKET, bucket_col: str = _BUCKET) -> DataFrame:
-    """Add ``bucket_col``: range bucket of ``order_col`` (monotone in it)."""
-    _, key, splits = range_boundaries(df, order_col, n_buckets, rows_per_bucket)
-    return _bucketize(df, key, splits, bucket_col)
-
-
-def _bucketize(df: DataFrame, key: Column, splits, bucket_col: str = _BUCKET) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
 
-    if not splits:
-        return df.withColumn(bucket_col, F.lit(0))
-    bz = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=_ORD,
-                    outputCol=bucket_col, handleInvalid="keep")
-    # Null order values sort first in Spark, so they belong to bucket 0.
-    return (bz.transform(df.withColumn(_ORD, key))
-            .withColumn(bucket_col, F.coalesce(F.col(bucket_col).cast("int"), F.lit(0)))
-            .drop(_ORD))
+    n = df.count()
+    buckets = int(n_buckets or max(shuffle_partitions(df.sparkSession), math.ceil(n / rows_per_bucket)))
+    if n == 0 or buckets <= 1:
+        return df.withColumn(bucket_col, F.lit(0)), n, 0
+    hashed = F.xxhash64(*[column(k) for k in keys]) if keys else F.lit(0).cast("long")
+    fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / n)
+    sample = df.select(hashed.alias(_HASH), _order_key(df, order_col, n).alias(_ORD))
+    sample = sample.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED) if fraction < 1.0 else sample
+    large = (sample.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n"), F.min(_ORD).alias("lo"), F.max(_ORD).alias("hi"))
+             .where(F.col("n") > fraction * n / buckets).orderBy(_HASH).collect())
+    if not large:
+        return df.withColumn(bucket_col, F.lit(0)), n, 0
+    known = df.sparkSession.createDataFrame([(r[_HASH], i, r["lo"], r["hi"]) for i, r in enumerate(large)],
+                                            f"{_HASH} long, {_NUMBER} int, __rv_lo double, __rv_hi double")
+    place = (F.col(_ORD) - F.col("__rv_lo")) / (F.col("__rv_hi") - F.col("__rv_lo"))
+    # the key's number, and where between its least and largest sampled value the row lies: below 1, nulls first
+    place = F.least(F.greatest(F.coalesce(F.nanvl(place, F.lit(1.0)), F.lit(0.0)), F.lit(0.0)), F.lit(0.999999999))
+    place = F.when(F.col("__rv_hi") > F.col("__rv_lo"), place).otherwise(0.0) + F.col(_NUMBER)
+
+    def placed(d: DataFrame) -> DataFrame:  # there are fewer large keys than ranges, so they fit every task
+        return d.join(F.broadcast(known), _HASH, "left").withColumn(_ORD, place)
+
+    probs = [j / buckets for j in range(1, buckets)]
+    cuts = (placed(sample).where(F.col(_ORD).isNotNull())
+            .agg(F.percentile_approx(_ORD, probs, max(10_000, 4 * buckets)).alias("q")).first()["q"] or [])
+    splits = sorted({*cuts, *map(float, range(len(large)))} - {0.0})
+    if not splits:  # one key whose order values are all alike to the sample
+        return df.withColumn(bucket_col, F.lit(0)), n, 0
+    cut = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=_ORD, outputCol=bucket_col, handleInvalid="keep")
+    out = placed(df.withColumn(_HASH, hashed).withColumn(_ORD, _order_key(df, order_col, n)))
+    out = cut.transform(out).withColumn(bucket_col, F.when(F.col(_NUMBER).isNull(), 0).otherwise(F.col(bucket_col).cast("int") + 1))
+    return out.drop(_HASH, _ORD, _NUMBER, "__rv_lo", "__rv_hi"), n, len(large)
 
 
 def _running(fn: str, c: str | None, w_rows, w_order) -> Column:
     if fn == "count":
         return F.row_number().over(w_order).cast("long")
-    return {"sum": F.sum, "min": F.min, "max": F.max}[fn](F.col(c)).over(w_rows)
+    return {"sum": F.sum, "min": F.min, "max": F.max}[fn](column(c)).over(w_rows)
 
 
 def _total(fn: str, c: str | None) -> Column:
     if fn == "count":
         return F.count(F.lit(1))
-    return {"sum": F.sum, "min": F.min, "max": F.max}[fn](F.col(c))
+    return {"sum": F.sum, "min": F.min, "max": F.max}[fn](column(c))
 
 
 def _carry(fn: str, name: str, w_prev) -> Column:
@@ -181,35 +185,19 @@ def _merge(fn: str, carry: Column, local: Column) -> Column:
 
 
 def running_values(df: DataFrame, keys, order_col, aggs: dict, n_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, bucket_key: Column | None = None) -> DataFrame:
-    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket, bucket_key)[0]
+                   rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None) -> DataFrame:
+    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket, tasks)[0]
 
 
 def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets: int | None = None,
-                           rows_per_bucket: int = ROWS_PER_BUCKET, bucket_key: Column | None = None):
+                           rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None):
     """Add running aggregates per key in ``order_col`` order (frame: rows up to the current one).
 
     ``aggs`` maps an output name to ``"count"`` or to ``(fn, column)`` with
     fn in ``sum``, ``min``, ``max``. Equal to
     ``fn(column) OVER (PARTITION BY keys ORDER BY order_col ROWS UNBOUNDED PRECEDING)``.
-
-    Plan: one shuffle of the records on (key, bucket) for the local
-    window; the bucket totals come from a second, column-pruned scan with
-    map-side partial aggregation (a shuffle of ``keys × buckets`` rows per
-    task at most), are scanned per key and joined back on (key, bucket),
-    which keeps the partitioning of the large side.
-
-    ``order_col`` may be a list (order by several columns); the range
-    buckets then need ``bucket_key``, a numeric Column that never decreases
-    along that order (ties allowed).
-
-    Inputs of at most ``SMALL_INPUT_ROWS`` rows (known from the count job
-    that precedes the boundaries) use the plain key window instead: no task
-    can then hold more than that many rows. Returns ``(DataFrame, rows)``.
+    ``tasks`` asks for that many partitions of the records. Returns ``(DataFrame, rows)``.
     """
-    order_cols = [order_col] if isinstance(order_col, str) else list(order_col)
-    if len(order_cols) > 1 and bucket_key is None:
-        raise ValueError("ordering by several columns needs a bucket_key")
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     spec = {}
     for name, a in aggs.items():
@@ -218,33 +206,25 @@ def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets
             raise ValueError(f"running {fn} is not supported")
         spec[name] = (fn, c)
 
-    small = int(df.sparkSession.conf.get(MIN_ROWS_CONF, str(SMALL_INPUT_ROWS)))
-    n, okey, splits = range_boundaries(df, order_cols[0], n_buckets, rows_per_bucket, small_rows=small,
-                                       key=bucket_key)
-    order = [F.col(c) for c in order_cols]
-    if n_buckets is None and n <= small:
-        w_order = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
-        w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df
-        for name, (fn, c) in spec.items():
-            out = out.withColumn(name, _running(fn, c, w_rows, w_order))
-        return out, n
-
-    key_col = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
-    b = _bucketize(df, okey, splits).withColumn(_KEY, key_col)
+    ranged, n, large = with_ranges(df, keys, order_col, n_buckets, rows_per_bucket)
+    key_col = F.struct(*[column(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
+    b = ranged.withColumn(_KEY, key_col)
     part = [_KEY, _BUCKET]
-    w_order = Window.partitionBy(*part).orderBy(*order)
+    w_order = Window.partitionBy(*part).orderBy(column(order_col))
     w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = b.repartition(int(tasks), *part) if tasks else b
+    if not large:
+        for name, (fn, c) in spec.items():
+            local = local.withColumn(name, _running(fn, c, w_rows, w_order))
+        return local.drop(*part), n
 
-    local = b
     for name, (fn, c) in spec.items():
         local = local.withColumn(f"__l_{name}", _running(fn, c, w_rows, w_order))
-
-    totals = b.groupBy(*part).agg(*[_total(fn, c).alias(f"__t_{name}") for name, (fn, c) in spec.items()])
+    totals = b.where(F.col(_BUCKET) > 0).groupBy(*part).agg(*[_total(fn, c).alias(f"__t_{name}") for name, (fn, c) in spec.items()])
     w_prev = Window.partitionBy(_KEY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(*part, *[_carry(fn, f"__t_{name}", w_prev).alias(f"__o_{name}")
                                      for name, (fn, _) in spec.items()])
-    out = local.join(carries, on=part, how="inner")
+    out = local.join(F.broadcast(carries), on=part, how="left")  # at most a row per range and large key
     for name, (fn, _) in spec.items():
         out = out.withColumn(name, _merge(fn, F.col(f"__o_{name}"), F.col(f"__l_{name}")))
     drop = [_KEY, _BUCKET] + [f"__{p}_{name}" for name in spec for p in ("l", "o")]

@@ -18,8 +18,7 @@ Naming rules (reference behaviour and our decisions):
 * A process with neither output nor queues is a terminal; :meth:`counts`
   gives its record count (K1).
 * Services are reference tables registered by name; :meth:`lookup` makes a
-  step that joins them (a size-checked broadcast), nulls if the name is
-  unknown (G6).
+  step that joins them, nulls if the name is unknown (G6).
 """
 
 from __future__ import annotations
@@ -167,6 +166,11 @@ class Flow:
         """Every queue of a process in one partitioned write (K3)."""
         write_queues(self._routed[process_id].where(F.col(QUEUE_COL).isNotNull()), path, fmt, mode)
 
+    def count_table(self) -> DataFrame:
+        """``process, processed``: the record count of every terminal process (K1), one job for all."""
+        return union_sources(*[df.agg(F.count(F.lit(1)).alias("processed")).select(F.lit(name).alias("process"), "processed")
+                               for name, df in self.terminals.items()])
+
     def counts(self) -> dict[str, int]:
-        """Record count of every terminal process (K1); one job each."""
-        return {name: df.count() for name, df in self.terminals.items()}
+        """Record count of every terminal process (K1)."""
+        return {r.process: r.processed for r in self.count_table().collect()} if self.terminals else {}

@@ -7,6 +7,7 @@ a session with sane settings and a shared folder for checkpoints.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,16 +48,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and points at shared storage.
-    Only when it is unset (a local test) a private temporary folder is made
-    and registered, so later calls see the same value.
+    On a cluster this must be set and point at shared storage: results that
+    are read back lie below it. Only a local session (a test) may leave it
+    unset; a private temporary folder is then made and registered, so later
+    calls see the same value.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d
-    d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
     d = tempfile.mkdtemp(prefix="rivulet-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
