@@ -10,25 +10,40 @@
 * :func:`file_blocks` / :func:`read_file_blocks` — at most ``limit_files``
   files, cut in ``copies`` contiguous blocks, the last one taking the rest
   (S4, S5).
-* :func:`failed_files` — files that gave no record with
+* :func:`failed_files` — files that could not be read to their end with
   ``ignoreCorruptFiles`` (S7, Q8).
 * :func:`read_file_tree` — all of the above at once, with running IDs per
   copy in reading order and an item limit per copy (S3–S9).
+
+Paths are compared as the ``_metadata`` column gives them (URI-encoded), on
+both sides; only the ending is matched against the decoded name. A folder
+whose path matches the ending (a table written as part files) stands for
+all files in it. Listings stay in Spark: nothing per file reaches the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..operators.sizing import BROADCAST_MAX_ROWS
 from ..operators.sequence import dense_id_counted
 
 FILE_COL = "source_file"
+_PATH = "_metadata.file_path"
 
 
 def suffix_regex(ending: str | None) -> str:
-    return f"^.*{ending}$" if ending else "^.*$"
+    return f"^.*{ending}(/.*)?$" if ending else "^.*$"
+
+
+def decoded(path: Column) -> Column:
+    """The name behind a URI-encoded path (``%20`` is a blank; a plus sign is itself)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _matches(ending: str | None) -> Column:
+    return decoded(F.col(_PATH)).rlike(suffix_regex(ending))
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
@@ -48,17 +63,36 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
 
 
 def list_files(spark: SparkSession, root: str, ending: str | None = None) -> DataFrame:
-    """(path, length, modificationTime) of every file below ``root`` matching the ending."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-            .select("path", "length", "modificationTime")
-            .where(F.col("path").rlike(suffix_regex(ending))))
+    """(path, length, modificationTime) of every file below ``root`` matching the ending; ``path`` is URI-encoded."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where(_matches(ending))
+            .select(F.col(_PATH).alias("path"), "length", "modificationTime"))
 
 
-def _schema_of_first(spark: SparkSession, root: str, ending: str | None, fmt: str, options: dict):
-    first = list_files(spark, root, ending).agg(F.min("path").alias("path")).first()["path"]
-    if first is None:
-        raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
-    return spark.read.format(fmt).options(**options).load(first).schema
+def _literal(path: str) -> str:
+    """A path that Spark takes as it is, not as a glob."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
+
+
+def merged_schema(spark: SparkSession, root: str, ending: str | None, fmt: str, options: dict) -> StructType:
+    """The schema of all matching files, so that no file's columns are lost.
+
+    Self-describing formats are merged by Spark. For others the schemas are
+    inferred per distinct folder and must agree. Pass a schema to spare this.
+    """
+    listed = list_files(spark, root, ending).select(decoded(F.col("path")).alias("path"))
+    if fmt in ("parquet", "orc"):
+        paths = [_literal(r.path) for r in listed.toLocalIterator()]  # as Spark's own file index holds them
+        if paths:
+            return spark.read.format(fmt).options(**options).option("mergeSchema", "true").load(paths).schema
+    else:
+        one = [r.path for r in listed.groupBy(F.regexp_replace("path", "/[^/]*$", "")).agg(F.min("path").alias("path")).collect()]
+        found = {p: spark.read.format(fmt).options(**options).load(_literal(p)).schema for p in one}
+        if found:
+            first, *rest = found.values()
+            if any(s != first for s in rest):
+                raise ValueError(f"files below {root} have different schemas; pass schema=")
+            return first
+    raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
 
 
 def read_recursive(spark: SparkSession, root: str, ending: str | None = None, fmt: str = "parquet",
@@ -69,21 +103,22 @@ def read_recursive(spark: SparkSession, root: str, ending: str | None = None, fm
     ``skip_errors`` (S7) sets ``ignoreCorruptFiles``: a broken file gives
     the records read before the fault and the read goes on. An empty file
     simply gives no record (Q9). ``with_path`` keeps the origin file.
-    Without ``schema``, the schema of the first matching file is used.
+    Without ``schema``, the merged schema of the matching files is used.
     """
-    opts = {"recursiveFileLookup": "true", **{k: str(v) for k, v in options.items()}}
+    df = _scan(spark, root, ending, fmt, schema, skip_errors, options)
+    return df.withColumn(FILE_COL, decoded(F.col(_PATH))) if with_path else df
+
+
+def _scan(spark, root, ending, fmt, schema, skip_errors, options) -> DataFrame:
+    opts = {k: str(v) for k, v in options.items()}
+    if schema is None and fmt not in ("text", "binaryFile"):
+        schema = merged_schema(spark, root, ending, fmt, opts)
     if skip_errors:
         opts["ignoreCorruptFiles"] = "true"
-    if schema is None and fmt not in ("text", "binaryFile"):
-        schema = _schema_of_first(spark, root, ending, fmt, {k: v for k, v in opts.items()
-                                                               if k != "recursiveFileLookup"})
-    reader = spark.read.format(fmt).options(**opts)
+    reader = spark.read.format(fmt).options(**opts).option("recursiveFileLookup", "true")
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(root).where(F.col("_metadata.file_path").rlike(suffix_regex(ending)))
-    if with_path:
-        df = df.withColumn(FILE_COL, F.col("_metadata.file_path"))
-    return df
+    return reader.load(root).where(_matches(ending))
 
 
 def file_blocks(listing: DataFrame, order_col: str, limit_files: int | None, copies: int,
@@ -106,98 +141,131 @@ def file_blocks(listing: DataFrame, order_col: str, limit_files: int | None, cop
     return out if keep_rank else out.drop(rank_col)
 
 
+def _kept_files(spark, root, ending, limit_files, copies, copy_col):
+    """(table ``(__path, copy, __rank)`` of the kept files, path of the last one or None)."""
+    listing = list_files(spark, root, ending).select("path", decoded(F.col("path")).alias("__name"))
+    blocks = file_blocks(listing, "__name", limit_files, copies, copy_col=copy_col, keep_rank=True)
+    tags = blocks.select(F.col("path").alias("__path"), "__name", copy_col, "__rank")
+    last = tags.agg(F.max("__name")).first()[0]
+    if last is None:
+        raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
+    return tags.drop("__name"), last if limit_files is not None else None
+
+
+def _kept(data: DataFrame, last: str | None) -> DataFrame:
+    """Files after the last kept one are not opened: the filter is on the path."""
+    return data.where(decoded(F.col(_PATH)) <= last) if last is not None else data
+
+
 def read_file_blocks(spark: SparkSession, root: str, ending: str | None, limit_files: int | None,
                      copies: int, fmt: str = "parquet", schema=None, copy_col: str = "copy",
-                     **options) -> DataFrame:
+                     with_path: bool = False, **options) -> DataFrame:
     """Read the limited listing; every record carries the copy of its file.
 
-    Only the kept files are opened (their paths are the scan's input list,
-    as Spark's own file index would hold them). The copy tag comes from a
-    join with the kept listing, broadcast when it is small enough.
+    The copy comes from a join with the kept listing (one row per file);
+    Spark broadcasts it when it is small in bytes.
     """
-    paths, tags = _kept_files(spark, root, ending, limit_files, copies, copy_col)
-    reader = spark.read.format(fmt).options(**{k: str(v) for k, v in options.items()})
-    if schema is not None:
-        reader = reader.schema(schema)
-    data = reader.load(paths).withColumn("__path", F.col("_metadata.file_path"))
+    tags, last = _kept_files(spark, root, ending, limit_files, copies, copy_col)
+    data = _kept(_scan(spark, root, ending, fmt, schema, False, options), last)
+    data = data.withColumn("__path", F.col(_PATH))
+    if with_path:
+        data = data.withColumn(FILE_COL, decoded(F.col(_PATH)))
     return data.join(tags.drop("__rank"), on="__path", how="inner").drop("__path")
 
 
-def _kept_files(spark: SparkSession, root: str, ending: str | None, limit_files: int | None, copies: int,
-                copy_col: str):
-    """(paths, tag table ``(__path, copy, __rank)``) of the kept files, from one job.
-
-    The kept paths go to the driver anyway — they are the scan's input list,
-    as Spark's file index holds them — so the tag table is built from the
-    same rows and broadcast when it is small enough.
-    """
-    blocks = file_blocks(list_files(spark, root, ending).select("path"), "path", limit_files, copies,
-                         copy_col=copy_col, keep_rank=True)
-    rows = blocks.select("path", copy_col, "__rank").collect()
-    if not rows:
-        raise FileNotFoundError(f"no file below {root} matches {suffix_regex(ending)}")
-    paths = [r["path"] for r in rows]
-    if len(rows) <= BROADCAST_MAX_ROWS:
-        tags = F.broadcast(spark.createDataFrame(
-            [(r["path"], r[copy_col], r["__rank"]) for r in rows],
-            f"__path string, {copy_col} int, __rank long"))
-    else:
-        tags = blocks.select(F.col("path").alias("__path"), copy_col, "__rank")
-    return paths, tags
-
-
-# Reading order inside a file: Parquet exposes the row index; other formats
-# expose the start of the split, and inside one split
-# monotonically_increasing_id() grows in reading order.
-_POS_SCALE = float(2 ** 40)
-
-
-def _positions(fmt: str) -> list:
-    if fmt == "parquet":
-        return [F.col("_metadata.row_index")]
-    return [F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
-
-
 def read_file_tree(spark: SparkSession, root: str, ending: str | None = None, fmt: str = "text",
                    copies: int = 1, limit_files: int | None = None, item_limit: int | None = None,
                    id_col: str = "ID", copy_col: str = "copy", schema=None, skip_errors: bool = False,
                    **options) -> DataFrame:
     """A file-tree source with copies (S3–S9 together).
 
-    Files below ``root`` whose path matches ``^.*<ending>$`` are ranked by
-    path; the first ``limit_files`` are cut into ``copies`` contiguous
-    blocks. Each record gets its ``copy`` and a running ``ID`` (1..n per
-    copy) in reading order — file rank, then position in the file — and
-    ``item_limit`` keeps the first n records of every copy. The IDs come
-    from the segmented scan, so a copy is never one task; the bucket key is
-    the file rank plus the position scaled below one.
+    Files below ``root`` whose path matches the ending are ranked by name;
+    the first ``limit_files`` are cut into ``copies`` contiguous blocks.
+    Each record gets its ``copy`` and a running ``ID`` (1..n per copy) in
+    reading order — file, then position in the file — and ``item_limit``
+    keeps the first n records of every copy.
+
+    A first scan without columns counts the items of each file (for formats
+    without a row index: of each split, with the split's first row number).
+    Running totals over these counts give each file its offset, and a
+    record's ID is the offset plus its own position: the records are joined
+    to a table with a row per file or split, and never shuffled for it.
     """
-    paths, tags = _kept_files(spark, root, ending, limit_files, copies, copy_col)
-    reader = spark.read.format(fmt).options(**{k: str(v) for k, v in options.items()})
-    if skip_errors:
-        reader = reader.option("ignoreCorruptFiles", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    pos = _positions(fmt)
-    data = reader.load(paths).select("*", F.col("_metadata.file_path").alias("__path"),
-                                     *[p.alias(f"__pos{i}") for i, p in enumerate(pos)])
-    joined = data.join(tags, on="__path", how="inner")
-    order = ["__rank", *[f"__pos{i}" for i in range(len(pos))]]
-    bucket_key = F.col("__rank").cast("double") + F.col("__pos0").cast("double") / F.lit(_POS_SCALE)
-    out = dense_id_counted(joined, order, keys=[copy_col], id_col=id_col, bucket_key=bucket_key)[0]
-    if item_limit is not None:
-        out = out.where(F.col(id_col) <= int(item_limit))
-    return out.drop("__path", *order)
+    tags, last = _kept_files(spark, root, ending, limit_files, copies, copy_col)
+    data = _kept(_scan(spark, root, ending, fmt, schema, skip_errors, options), last)
+    block = [] if fmt == "parquet" else ["__block"]
+    at = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+    cols = data.columns
+    data = data.select("*", F.col(_PATH).alias("__path"), at.alias("__at"),
+                       *([F.col("_metadata.file_block_start").alias("__block")] if block else []))
+    counts = (data.groupBy("__path", *block).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+              .join(tags, "__path"))
+    before = _offsets(counts, copy_col, block)
+    out = data.join(before, ["__path", *block])
+    out = out.select(*[F.col("`" + c.replace("`", "``") + "`") for c in cols], copy_col,
+                     (F.col("__before") + F.col("__at") - F.col("__first") + 1).alias(id_col))
+    return out.where(F.col(id_col) <= int(item_limit)) if item_limit is not None else out
+
+
+def _offsets(counts: DataFrame, copy_col: str, block: list[str]) -> DataFrame:
+    """Items of the copy before each file (or split): running sums over files, then over the splits of a file."""
+    from pyspark.sql import Window
+
+    from ..operators.sequence import running_values
+
+    files = counts.groupBy("__path", "__rank", copy_col).agg(F.sum("__n").alias("__n"))
+    files = running_values(files, [copy_col], "__rank", {"__upto": ("sum", "__n")})
+    files = files.select("__path", copy_col, (F.col("__upto") - F.col("__n")).alias("__file"))
+    if not block:
+        return counts.select("__path", "__first").join(files, "__path").withColumnRenamed("__file", "__before")
+    earlier = Window.partitionBy("__path").orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    splits = counts.select("__path", *block, "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__in"))
+    return splits.join(files, "__path").select(
+        "__path", *block, "__first", copy_col, (F.col("__file") + F.col("__in")).alias("__before"))
+
+
+def _unfinished(batches):
+    """Compressed files (path, content) → whether the stream ends as it should."""
+    import zlib
+
+    import pyarrow as pa
+
+    for t in batches:
+        bad = []
+        for content in t.column(1).to_pylist():
+            rest, fine = content, True
+            while rest and fine:  # a file may hold several members
+                d = zlib.decompressobj(47)
+                try:
+                    while rest and not d.eof:
+                        d.decompress(rest, 1 << 20)
+                        rest = d.unconsumed_tail
+                    fine, rest = d.eof, d.unused_data
+                except zlib.error:
+                    fine = False
+            bad.append(not fine)
+        yield pa.RecordBatch.from_arrays([t.column(0), pa.array(bad)], ["path", "bad"])
 
 
 def failed_files(spark: SparkSession, root: str, ending: str | None = None, fmt: str = "text",
                  schema=None, **options) -> DataFrame:
-    """Non-empty files from which nothing could be read.
+    """``path, length`` of files that cannot be read to their end (S7), also those that gave records before the fault.
 
-    A truncated file keeps the records read before the fault (Q8), so it is
-    listed only if it gave no record at all.
+    Parquet: every column is decoded, and files with fewer readable rows
+    than their footer states are listed. Other formats: non-empty files that
+    gave no record, and gzip files that end too soon or are damaged.
     """
-    read = read_recursive(spark, root, ending, fmt=fmt, schema=schema, skip_errors=True, **options)
-    seen = read.select(F.col("_metadata.file_path").alias("path")).distinct()
-    return (list_files(spark, root, ending).where(F.col("length") > 0)
-            .join(seen, on="path", how="left_anti").select("path", "length"))
+    listed = list_files(spark, root, ending).where(F.col("length") > 0).select("path", "length")
+    read = _scan(spark, root, ending, fmt, schema, True, options)
+    # counts what depends on every value, so that every page is decoded
+    touched = F.count(F.nullif(F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in read.columns]), F.lit(0)))
+    seen = read.groupBy(F.col(_PATH).alias("path")).agg(touched.alias("n"))
+    if fmt == "parquet":
+        stated = read.groupBy(F.col(_PATH).alias("path")).agg(F.count(F.lit(1)).alias("stated"))  # footers only
+        both = listed.join(seen, "path", "left").join(stated, "path", "left")
+        return both.where(F.col("stated").isNull() | (F.coalesce("n", F.lit(0)) < F.col("stated"))).select("path", "length")
+    packed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where(_matches(ending))
+              .where(decoded(F.col(_PATH)).rlike(r"\.gz$") & (F.col("length") > 0)).select(F.col(_PATH).alias("path"), "content"))
+    bad = packed.mapInArrow(_unfinished, "path string, bad boolean").where("bad").select("path")
+    none = listed.join(seen, "path", "left_anti").select("path")
+    return listed.join(none.union(bad).distinct(), "path", "left_semi")

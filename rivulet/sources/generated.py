@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.conditions import column
 from .files import FILE_COL, suffix_regex
@@ -68,10 +69,16 @@ def assign_copies(df: DataFrame, copies: int, key: str | None = None, copy_col:
     """Tag each record with the copy (0..copies-1) that reads it.
 
     Copies split one scan; a record is never read twice (Q11). With a key
-    the copy is ``pmod(key, copies)`` (so a key's records share a copy);
-    without, a hash of the whole record.
+    its records share a copy: ``pmod(key, copies)`` of an integer, else of
+    the key's hash; records without a key are one key. Without a key the
+    copy comes from a hash of the whole record.
     """
-    basis = F.col(key) if key else F.xxhash64(*[column(c) for c in df.columns])
+    if key is None:
+        basis = F.xxhash64(*[column(c) for c in df.columns])
+    elif isinstance(df.schema[key].dataType, T.IntegralType):
+        basis = F.coalesce(column(key), F.lit(0))
+    else:
+        basis = F.xxhash64(column(key))
     return df.withColumn(copy_col, F.pmod(basis, F.lit(int(copies))).cast("int"))
 
 
