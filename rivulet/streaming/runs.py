@@ -42,49 +42,53 @@ def instant_to_ntz(c) -> "F.Column":
 
 def stream_table(spark: SparkSession, folder: str, table: str, schema=None,
                  max_files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """Stream the files of one table in ``folder`` (name ``<table>.<fmt>`` or ``<table>*``)."""
-    glob = f"{table}.{fmt}" if not any(ch in table for ch in "*?[") else table
+    """Stream the table ``<folder>/<table>.<fmt>``: one file, or a folder of part files.
+
+    A ``table`` with glob characters names files of ``folder`` instead.
+    """
+    path, opts = f"{folder.rstrip('/')}/{table}.{fmt}", {}
+    if any(ch in table for ch in "*?["):
+        path, opts = folder, {"pathGlobFilter": table}
+    else:  # a file source streams folders: a single file is picked by name from the folder it is in
+        one = spark.read.format("binaryFile").load(path).select("_metadata.file_name").first()
+        if one is not None and one[0] == f"{table}.{fmt}":
+            path, opts = folder, {"pathGlobFilter": f"{table}.{fmt}"}
     if schema is None:
-        schema = spark.read.format(fmt).option("pathGlobFilter", glob).load(folder).schema
-    r = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", glob)
+        schema = spark.read.format(fmt).options(**opts).load(path).schema
+    r = spark.readStream.format(fmt).schema(schema).options(**opts)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(folder)
+    return r.load(path)
 
 
 def _start(writer, trigger: dict | None, checkpoint: str):
-    trigger = trigger or {"availableNow": True}
-    writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
-    query = writer.start()
-    # availableNow / once runs end when the input read at start is consumed.
-    query._rivulet_bounded = bool(trigger.get("availableNow") or trigger.get("once"))
-    return query
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def _exhausted(query) -> bool:
-    """A bounded run has read all its input: no data left and the last batch read none.
-
-    With processing-time state TTLs or timers the engine keeps running
-    state-cleanup batches after the input is consumed, so such a run does
-    not end on its own.
-    """
+    """A bounded run has read all its input: no data left and the last batch read none."""
     progress = query.recentProgress
     return (bool(progress) and progress[-1]["numInputRows"] == 0
             and not query.status["isDataAvailable"])
 
 
-def _run(query, timeout_s: float | None):
-    """Wait for a started query; a bounded run is stopped once its input is consumed.
+def _run(query, timeout_s: float | None = None, idle_stop: bool = False):
+    """Wait for a started query to end; there is no time limit unless the caller sets one.
 
-    On timeout the query is stopped (never left running) and ``TimeoutError``
-    is raised. A micro-batch cut short by ``stop`` is not committed and runs
-    again after a restart; its writes overwrite themselves.
+    ``idle_stop`` is for runs with processing-time state expiry, which go on
+    with clean-up batches after their input is consumed: they are stopped
+    then. On timeout the query is stopped (never left running) and
+    ``TimeoutError`` is raised. A micro-batch cut short by ``stop`` is not
+    committed and runs again after a restart; its writes overwrite
+    themselves.
     """
+    if timeout_s is None and not idle_stop:
+        query.awaitTermination()
     deadline = None if timeout_s is None else time.monotonic() + timeout_s
     while query.isActive:
         if query.awaitTermination(0.5):
             break
-        if getattr(query, "_rivulet_bounded", False) and _exhausted(query):
+        if idle_stop and _exhausted(query):
             query.stop()
             break
         if deadline is not None and time.monotonic() > deadline:
@@ -95,8 +99,28 @@ def _run(query, timeout_s: float | None):
     return query
 
 
+def landed(stream: DataFrame, steps=(), out: str | None = None, checkpoint: str | None = None,
+           trigger: dict | None = None, wait: bool = True, timeout_s: float | None = None):
+    """Run record steps on a stream and land the records, one folder per micro-batch.
+
+    Returns ``(query, out)``. What needs all records of a key in order (a
+    grouped process over the whole input) runs on the landed table, so its
+    result does not depend on how files were dealt to micro-batches.
+    """
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, "landed-out")
+    checkpoint = checkpoint or scratch_path(spark, "landed-ckpt")
+    run_steps = chain(*steps)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        run_steps(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = _start(stream.writeStream.foreachBatch(per_batch), trigger, checkpoint)
+    return (_run(q, timeout_s) if wait else q), out
+
+
 def route_stream(stream: DataFrame, queues, out: str | None = None, steps=(), checkpoint: str | None = None,
-                 trigger: dict | None = None, wait: bool = True, timeout_s: float | None = 600,
+                 trigger: dict | None = None, wait: bool = True, timeout_s: float | None = None,
                  counts_name: str | None = "routed"):
     """Run steps and routing on every micro-batch; one partitioned write per batch.
 
@@ -124,7 +148,7 @@ def route_stream(stream: DataFrame, queues, out: str | None = None, steps=(), ch
 
 def grouped_stream(stream: DataFrame, by, steps=(), order_by: str | None = None, out: str | None = None,
                    checkpoint: str | None = None, trigger: dict | None = None, wait: bool = True,
-                   timeout_s: float | None = 600):
+                   timeout_s: float | None = None):
     """A grouped process on each micro-batch (T3); running values restart per batch.
 
     Returns ``(query, out)``; ``spark.read.parquet(out)`` has every batch.
@@ -150,17 +174,47 @@ def grouped_stream(stream: DataFrame, by, steps=(), order_by: str | None = None,
     return (_run(q, timeout_s) if wait else q), out
 
 
+def batch_window_counts(stream: DataFrame, ts_col: str, every: str = "1 hour", by=(), batch_col: str = "batch",
+                        out: str | None = None, checkpoint: str | None = None, trigger: dict | None = None,
+                        wait: bool = True, timeout_s: float | None = None):
+    """Records per tumbling event-time window of a bounded input, whatever the order of its files (T5).
+
+    Each micro-batch writes its own count per window (map-side partial
+    aggregation, no state, nothing is late); :func:`total_window_counts`
+    adds them up. Returns ``(query, out)``.
+    """
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, "count-out")
+    checkpoint = checkpoint or scratch_path(spark, "count-ckpt")
+    by = [by] if isinstance(by, str) else list(by)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        counted = (batch.groupBy(F.window(F.col(ts_col), every).start.alias(batch_col), *by)
+                   .agg(F.count(F.lit(1)).alias("processed")))
+        counted.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = _start(stream.writeStream.foreachBatch(per_batch), trigger, checkpoint)
+    return (_run(q, timeout_s) if wait else q), out
+
+
+def total_window_counts(spark: SparkSession, out: str, by=(), batch_col: str = "batch") -> DataFrame:
+    by = [by] if isinstance(by, str) else list(by)
+    return spark.read.parquet(out).groupBy(batch_col, *by).agg(F.sum("processed").alias("processed"))
+
+
 def windowed_count(stream: DataFrame, ts_col: str, every: str = "1 hour", delay: str = "1 hour",
                    by=(), batch_col: str = "batch", out: str | None = None,
                    checkpoint: str | None = None, trigger: dict | None = None, wait: bool = True,
-                   timeout_s: float | None = 600):
-    """Records per tumbling event-time window, bounded by a watermark (T5).
+                   timeout_s: float | None = None):
+    """Records per tumbling event-time window of an endless stream, bounded by a watermark (T5).
 
     Update mode: each micro-batch writes the windows it changed with their
     running count; :func:`final_window_counts` keeps the last (largest) one.
     A record older than the watermark of the previous micro-batch (largest
     event time seen minus ``delay``) is dropped, and windows that end before
-    the watermark leave the state store, so state stays bounded.
+    the watermark leave the state store, so state stays bounded;
+    :func:`late_records` tells how many were dropped. For an exact count of
+    a bounded input use :func:`batch_window_counts`.
     NTZ event times are turned into instants at UTC wall time first
     (watermarks need TIMESTAMP) and turned back for the result.
     """
@@ -188,3 +242,8 @@ def final_window_counts(spark: SparkSession, out: str, by=(), batch_col: str = "
     by = [by] if isinstance(by, str) else list(by)
     return (spark.read.parquet(out).groupBy(batch_col, *by)
             .agg(F.max("processed").alias("processed")))
+
+
+def late_records(query) -> int:
+    """Records dropped behind the watermark in the micro-batches the query still remembers."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])

@@ -1,11 +1,12 @@
 """Keyed state across micro-batches (T4).
 
 The reference gives every processor a context map and leaves state across
-batches as a to-do; here a stateful step is a ``StatefulProcessor`` run by
-``transformWithStateInPandas`` on the RocksDB state store, so state lives
-in the checkpoint, survives restarts and executor loss, and is spread over
-tasks by key. State grows with the number of keys: pass ``ttl_ms`` to let
-idle keys expire.
+batches as a to-do. Counts and maxima per key are a streaming aggregate: it
+is combined per task before the shuffle, keeps any key type, and its state
+lives in the RocksDB state store below the checkpoint, so it survives
+restarts and executor loss. A step with logic of its own is a
+``StatefulProcessor`` run by ``transformWithStateInPandas`` on the same
+store; :class:`KeyedCounter` is one, used where idle keys expire (TTL).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegralType, LongType, StringType, StructField, StructType
 
 from ..session import ensure_state_store, scratch_path
 from .runs import _run, _start
@@ -33,23 +34,21 @@ def partial_counts(key_col: str, order_col: str):
 
     Stateless, so it runs before the shuffle of a streaming query: the
     stateful step then gets at most one row per key per partition, and a key
-    holding a third of a micro-batch is combined where it was read.
+    holding a third of a micro-batch is combined where it was read. Grouped
+    by Arrow, so keys keep their type and a null key is one key.
     """
-
     def fn(batches):
-        parts = []
-        for pdf in batches:
-            if len(pdf):
-                parts.append(pdf.groupby(key_col, dropna=False, sort=False)[order_col]
-                             .agg(["size", "max"]).reset_index())
-        if not parts:
-            return
-        allp = pd.concat(parts, ignore_index=True)
-        out = (allp.groupby(key_col, dropna=False, sort=False)
-               .agg(n=("size", "sum"), last=("max", "max")).reset_index())
-        out["n"] = out["n"].astype("int64")
-        out["last"] = out["last"].astype("Int64")
-        yield out
+        import pyarrow as pa
+
+        held = None
+        for t in batches:
+            t = pa.Table.from_batches([t]).select([key_col, order_col])
+            t = t.append_column("n", pa.array([1] * t.num_rows, pa.int64()))
+            held = pa.concat_tables([held, t]) if held is not None else t
+            held = held.group_by(key_col).aggregate([(order_col, "max"), ("n", "sum")])
+            held = held.select([key_col, f"{order_col}_max", "n_sum"]).rename_columns([key_col, order_col, "n"])
+        if held is not None:
+            yield from held.select([key_col, "n", order_col]).rename_columns([key_col, "n", "last"]).to_batches()
 
     return fn
 
@@ -62,25 +61,25 @@ class KeyedCounter(StatefulProcessor):
     micro-batch it appears in, with its totals so far.
     """
 
-    def __init__(self, key_col: str, ttl_ms: int | None = None):
-        self.key_col = key_col
+    def __init__(self, output_schema: StructType, ttl_ms: int | None = None):
+        self.output_schema = output_schema
         self.ttl_ms = ttl_ms
 
     def init(self, handle) -> None:
-        schema = StructType([StructField("n", LongType()), StructField("last", LongType())])
-        self.state = handle.getValueState("counter", schema, self.ttl_ms)
+        self.state = handle.getValueState("counter", StructType(self.output_schema.fields[1:]), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        n, last = (0, None)
-        if self.state.exists():
-            n, last = self.state.get()
+        n, last = self.state.get() if self.state.exists() else (0, None)
         for pdf in rows:
             n += int(pdf["n"].sum())
-            m = pdf["last"].max()
-            if pd.notna(m):
-                last = int(m) if last is None else max(last, int(m))
+            for m in pdf["last"].dropna().tolist():
+                last = m if last is None else max(last, m)
+        if isinstance(self.output_schema["last"].dataType, IntegralType) and last is not None:
+            last = int(last)
         self.state.update((n, last))
-        yield pd.DataFrame({self.key_col: [key[0]], "n": [n], "last": [last]})
+        out = pd.DataFrame({"n": [n], "last": pd.Series([last], dtype="object")})
+        out.insert(0, self.output_schema.names[0], pd.Series([key[0]], dtype="object"))
+        yield out
 
     def close(self) -> None:
         pass
@@ -101,29 +100,37 @@ def keyed_state(stream: DataFrame, by, processor: StatefulProcessor, output_sche
 
 def keyed_counts(stream: DataFrame, key_col: str, order_col: str, out: str | None = None,
                  checkpoint: str | None = None, trigger: dict | None = None, wait: bool = True,
-                 timeout_s: float | None = 600, ttl_ms: int | None = None):
-    """Run :class:`KeyedCounter`; every micro-batch's updates go to ``<out>/batch_id=<i>``.
-
-    Records are first combined per input partition (:func:`partial_counts`),
-    so the shuffle into the state store carries at most keys × partitions
-    rows per micro-batch, whatever the key skew. ``ttl_ms`` lets a key's
-    state expire that long after its last update (processing time).
+                 timeout_s: float | None = None, ttl_ms: int | None = None):
+    """Records per key and the largest order value so far; every micro-batch's updates go to ``<out>/batch_id=<i>``.
+
+    Without ``ttl_ms`` this is a streaming aggregate in the JVM; any key and
+    order type will do. ``ttl_ms`` lets a key's state expire that long after
+    its last update (processing time): the counter then runs as a
+    :class:`KeyedCounter` on records combined per input partition. Either
+    way the shuffle into the state store carries at most keys × partitions
+    rows per micro-batch, whatever the key skew.
     """
     spark = stream.sparkSession
+    ensure_state_store(spark)
     out = out or scratch_path(spark, "state-out")
     checkpoint = checkpoint or scratch_path(spark, "state-ckpt")
-    key_type = stream.schema[key_col].dataType
-    partial_schema = StructType([StructField(key_col, key_type), StructField("n", LongType()),
-                                 StructField("last", LongType())])
-    partial = stream.select(key_col, order_col).mapInPandas(partial_counts(key_col, order_col), partial_schema)
-    updates = keyed_state(partial, key_col, KeyedCounter(key_col, ttl_ms), partial_schema,
-                          time_mode="ProcessingTime" if ttl_ms else "None")
+    few = stream.select(F.col(key_col), F.col(order_col))
+    if ttl_ms is None:
+        updates = few.groupBy(key_col).agg(F.count(F.lit(1)).alias("n"), F.max(order_col).alias("last"))
+    else:
+        # keys pass through pandas as text, where a null among integers would make them floating
+        schema = StructType([StructField(key_col, StringType()), StructField("n", LongType()),
+                             StructField("last", stream.schema[order_col].dataType)])
+        few = few.withColumn(key_col, F.col(key_col).cast("string"))
+        updates = keyed_state(few.mapInArrow(partial_counts(key_col, order_col), schema), key_col,
+                              KeyedCounter(schema, ttl_ms), schema, time_mode="ProcessingTime")
+        updates = updates.withColumn(key_col, F.col(key_col).cast(stream.schema[key_col].dataType))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     q = _start(updates.writeStream.outputMode("update").foreachBatch(per_batch), trigger, checkpoint)
-    return (_run(q, timeout_s) if wait else q), out
+    return (_run(q, timeout_s, idle_stop=ttl_ms is not None) if wait else q), out
 
 
 def latest_counts(spark: SparkSession, out: str, key_col: str) -> DataFrame:

@@ -6,9 +6,8 @@ runs as **one** query: every micro-batch is handed to ``build`` as a static
 DataFrame (so grouped steps with windows work, T3), each requested name is
 written to ``<path>/batch_id=<i>`` with overwrite (a retried batch replaces
 itself), and terminal processes log their record count per batch
-(``<counts>/batch_id=<i>``). When several sinks read the same batch, the
-batch is persisted once and released after the writes, so the source is
-read once per micro-batch.
+(``<counts>/batch_id=<i>``). The batch is persisted once and released after
+the writes, so the sources are read once per micro-batch.
 """
 
 from __future__ import annotations
@@ -24,33 +23,44 @@ from ..session import scratch_path
 from .runs import _run, _start
 
 
-def run_flow(build: Callable[[dict[str, DataFrame]], Flow], source_name: str, stream: DataFrame,
+_SOURCE = "__source"
+
+
+def _united(streams: dict[str, DataFrame]) -> DataFrame:
+    """Several streams as one: each record in a struct column named after its source."""
+    out = None
+    for name, df in streams.items():
+        one = df.select(F.lit(name).alias(_SOURCE), F.struct("*").alias(name))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
+
+
+def run_flow(build: Callable[[dict[str, DataFrame]], Flow], streams: dict[str, DataFrame],
              sinks: dict[str, str], counts: str | None = None, checkpoint: str | None = None,
-             trigger: dict | None = None, wait: bool = True, timeout_s: float | None = 600):
-    """Start the flow over one streaming source; returns the streaming query.
+             trigger: dict | None = None, wait: bool = True, timeout_s: float | None = None):
+    """Start the flow over its streaming sources; returns the streaming query.
 
+    ``streams`` maps source names to streaming DataFrames; any number of
+    sources run in one query, so processes may read several of them.
     ``sinks`` maps flow names (process outputs or queues) to output folders.
     ``counts`` is the folder for per-batch terminal counts (default: none).
     """
-    spark = stream.sparkSession
+    spark = next(iter(streams.values())).sparkSession
     checkpoint = checkpoint or scratch_path(spark, "flow-ckpt")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        shared = len(sinks) + (1 if counts else 0) > 1
-        src = batch.persist(StorageLevel.MEMORY_AND_DISK) if shared else batch
+        # Several sinks, sources or counts read the batch again, and so do group steps: keep it.
+        src = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            flow = build({source_name: src})
+            flow = build({name: src.where(F.col(_SOURCE) == name).select(f"`{name}`.*") for name in streams})
             for name, path in sinks.items():
                 flow[name].write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
             if counts and flow.terminals:
-                rows = [(name, n) for name, n in flow.counts().items()]
-                (spark.createDataFrame(rows, "process string, processed long")
-                 .write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}"))
+                flow.count_table().write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}")
         finally:
-            if shared:
-                src.unpersist()
+            src.unpersist()
 
-    q = _start(stream.writeStream.foreachBatch(per_batch), trigger, checkpoint)
+    q = _start(_united(streams).writeStream.foreachBatch(per_batch), trigger, checkpoint)
     return _run(q, timeout_s) if wait else q
 
 
