@@ -29,7 +29,7 @@ BAD_POSITIONS = (3, 17, 40)
 def main(sf_dir="/root/testdata/sf0.001", out=None):
     spark = build_session("local[4]", 4)
     embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    pedestal = A.calibration_array(A.calibration_table(embeddings, "embedding", where=F.col("label") == 0))
+    pedestal = A.calibration_table(embeddings, "embedding", where=F.col("label") == 0)
 
     def build(sources):
         flow = Flow()
@@ -37,7 +37,7 @@ def main(sf_dir="/root/testdata/sf0.001", out=None):
         flow.process("analysis", input="data", output="features", steps=[
             skip(eq("label", 0)),
             rename_key("embedding", "raw:data"),
-            set_key("calibrated", A.calibrate(A.as_doubles(F.col("`raw:data`")), pedestal)),
+            lambda df: A.calibrate(df, "raw:data", pedestal, "calibrated"),
             set_key("clean", A.interpolate(A.despike("calibrated", 0.2), BAD_POSITIONS)),
             set_key("stats", A.stats("clean")),
             set_key("peak", A.peak("clean")),
@@ -46,7 +46,7 @@ def main(sf_dir="/root/testdata/sf0.001", out=None):
 
     stream = stream_table(spark, sf_dir, "embeddings", max_files_per_trigger=1)
     out = out or scratch_path(spark, "detector")
-    run_flow(build, "data", stream, {"features": out})
+    run_flow(build, {"data": stream}, {"features": out})
     result = spark.read.parquet(out).select("vec_id", "stats.mean", "stats.var", "peak.pos")
     result.show(5)
     return result.count()

@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from rivulet import Flow  # noqa: E402
 from rivulet.functions.conditions import gt, ne  # noqa: E402
-from rivulet.operators.sinks import print_data  # noqa: E402
+from rivulet.operators.sinks import preview  # noqa: E402
 from rivulet.operators.steps import create_id  # noqa: E402
 from rivulet.session import build_session, scratch_path  # noqa: E402
 
@@ -32,8 +32,8 @@ def build(sources):
 def main(sf_dir="/root/testdata/sf0.001", out=None):
     spark = build_session("local[4]", 4)
     flow = build({"data": spark.read.parquet(f"{sf_dir}/events.parquet")})
-    print_data(flow["gamma"], 5)
-    print_data(flow["hadron"], 5)
+    preview(flow["gamma"], 5)
+    preview(flow["hadron"], 5)
     out = out or scratch_path(spark, "two-queues")
     flow.write_queues("separation", out)
     print(flow.counts(), "written to", out)

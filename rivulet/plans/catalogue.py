@@ -12,16 +12,15 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A
 from ..functions.conditions import eq, gt, is_null, lt, ne
-from ..operators.keyed import running
+from ..operators.keyed import grouped, running
 from ..operators.metrics import batch_count, throughput
 from ..operators.steps import copy_keys, create_id, rename_key, skip
-from ..sources.files import file_blocks, read_file_tree, read_recursive, read_table
-from ..sources.generated import assign_copies, lines_of, random_items
-from ..sources import generator
+from ..sources.files import file_blocks, read_file_blocks, read_file_tree, read_recursive, read_table
+from ..sources.generated import assign_copies, lines_of, random_value, union_sources
 from ..sources.limits import item_limit, running_id
-from ..streaming.runs import final_window_counts, grouped_stream, route_stream, stream_table, windowed_count
+from ..streaming.runs import batch_window_counts, landed, route_stream, stream_table, total_window_counts
 from ..streaming.state import keyed_counts, latest_counts
-from ..streaming.topology import run_flow
+from ..streaming.topology import run_flow, total_counts
 from ..session import scratch_path
 from .flow import Flow
 
@@ -34,7 +33,7 @@ THRESHOLD = 0.1
 SPIKE_LIMIT = 0.2
 BAD_POSITIONS = (3, 17, 40)
 BASELINE_K = 10
-LOOKUP_MAX_KEY = 20
+MISSING_NATION = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,6 +122,27 @@ def source_recursive(spark, sf_dir):
     return read_recursive(spark, sf_dir, r"nation\.parquet")
 
 
+#: Files of the folder that the block query reads, and the columns it keeps.
+BLOCK_FILES = r"/(customer|nation|region|supplier)\.parquet"
+BLOCK_SCHEMA = "r_name string, n_name string, s_name string, c_name string"
+
+
+def source_blocks_read(spark, sf_dir):
+    """Records of four files read as two copies, each a contiguous block of the files in order of their names."""
+    df = read_file_blocks(spark, sf_dir, BLOCK_FILES, None, 2, schema=BLOCK_SCHEMA)
+    return df.select("copy", F.coalesce("c_name", "n_name", "r_name", "s_name").alias("name"))
+
+
+def source_union(spark, sf_dir):
+    """Two readers united under one name; the key only one of them has is null for the other."""
+    flow = Flow()
+    customers = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), "c_mktsegment")
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+    flow.source("parties", union_sources(customers, suppliers))
+    flow.process("keep", input="parties", output="out", steps=[skip(eq("nation", 7))])
+    return flow["out"].select("name", "nation", "c_mktsegment")
+
+
 def source_file_blocks(spark, sf_dir):
     listing = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return file_blocks(listing, "n_name", FILE_LIMIT, COPIES)
@@ -155,15 +175,14 @@ def source_lines(spark, sf_dir):
 
 
 def source_random(spark, sf_dir):
-    # As many random items as the events table has records.
-    return random_items(spark, _events(spark, sf_dir).count())
+    """A random value for every event, seeded by its id."""
+    events = _events(spark, sf_dir)
+    return events.select(F.col("event_id").alias("id"), random_value(F.col("event_id")).alias("x"))
 
 
 def source_random_copies(spark, sf_dir):
-    # The Python data source: as many items as events, made by four copies in contiguous blocks.
-    generator.register(spark)
-    n = _events(spark, sf_dir).count()
-    return spark.read.format(generator.FORMAT).option("limit", n).option("copies", COPIES).load()
+    """The same, each event read by one of four copies."""
+    return _copies(spark, sf_dir).select(F.col("event_id").alias("id"), "copy", random_value(F.col("event_id")).alias("x"))
 
 
 # --- keyed, metrics, lookup -----------------------------------------------
@@ -176,6 +195,16 @@ def group_by_process(spark, sf_dir):
     return flow["g"].select("event_id", "user_id", "seen", F.round("total", 4).alias("total"))
 
 
+def group_null_keys(spark, sf_dir):
+    """Records without a key are one group; the process asks for a number of tasks."""
+    events = _events(spark, sf_dir).select("event_id", F.nullif("event_type", F.lit("error")).alias("kind"))
+    flow = Flow()
+    flow.source("data", events)
+    flow.process("per_kind", input="data", output="g", group_by="kind", order_by="event_id", copies=COPIES,
+                 steps=[running({"seen": "count"})])
+    return flow["g"].select("event_id", "kind", "seen")
+
+
 def batch_count_q(spark, sf_dir):
     return batch_count(_events(spark, sf_dir), "ts", "1 hour", emitted=ne("event_type", "error"))
 
@@ -185,11 +214,10 @@ def throughput_q(spark, sf_dir):
 
 
 def service_lookup(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    service = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < LOOKUP_MAX_KEY)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.nullif("c_nationkey", F.lit(MISSING_NATION)).alias("c_nationkey"))
     flow = Flow()
     flow.source("customers", customers)
-    flow.service("nations", service)
+    flow.service("nations", table(spark, sf_dir, "nation"))
     flow.process("enrich", input="customers", output="out",
                  steps=[flow.lookup("nations", {"c_nationkey": "n_nationkey"}, ["n_name"])])
     return flow["out"].select("c_custkey", "n_name")
@@ -204,10 +232,11 @@ def stream_route(spark, sf_dir):
 
 
 def stream_group(spark, sf_dir):
-    stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1).select("event_id", "user_id", "value")
-    _, out = grouped_stream(stream, "user_id", [running({"seen": "count", "total": ("sum", "value")})],
-                            order_by="event_id")
-    return spark.read.parquet(out).select("event_id", "user_id", "seen", F.round("total", 4).alias("total"))
+    """Skip on the stream, then a grouped process over all that landed: the same for any number and order of files."""
+    stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1).select("event_id", "user_id", "event_type", "value")
+    _, out = landed(stream, [skip(eq("event_type", "error"))])
+    done = grouped(spark.read.parquet(out), "user_id", [running({"seen": "count", "total": ("sum", "value")})], order_by="event_id")
+    return done.select("event_id", "user_id", "seen", F.round("total", 4).alias("total"))
 
 
 def stream_keyed_state(spark, sf_dir):
@@ -216,30 +245,33 @@ def stream_keyed_state(spark, sf_dir):
     return latest_counts(spark, out, "user_id").select("user_id", "n", F.col("last").alias("last_event"))
 
 
-def detector_flow(sources) -> Flow:
-    """Skip errors → two queues → number each user's ``hadron`` records; ``gamma`` is terminal."""
+def activity_flow(sources) -> Flow:
+    """Events without errors go to two queues; ``large`` is an output, ``views`` and the orders end in counts."""
     flow = Flow()
-    flow.source("data", sources["data"])
-    flow.process("separation", input="data", steps=[skip(eq("event_type", "error"))],
-                 queues={"gamma": ne("event_type", "click"), "hadron": gt("value", 10)})
-    flow.process("per_user", input="hadron", output="numbered", group_by="user_id", order_by="event_id",
-                 steps=[running({"seen": "count"})])
-    flow.process("performance", input="gamma")
+    flow.source("events", sources["events"])
+    flow.source("orders", sources["orders"])
+    flow.process("sort", input="events", steps=[skip(eq("event_type", "error"))],
+                 queues={"views": eq("event_type", "view"), "large": gt("value", 10)})
+    flow.process("spend", input="large", output="spent", steps=[copy_keys({"value": "amount"})])
+    flow.process("seen", input="views")
+    flow.process("ordered", input="orders")
     return flow
 
 
 def stream_flow(spark, sf_dir):
-    stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1).select(
-        "event_id", "user_id", "event_type", "value")
-    out = scratch_path(spark, "flow-numbered")
-    run_flow(detector_flow, "data", stream, {"numbered": out})
-    return spark.read.parquet(out).select("event_id", "user_id", "seen")
+    """Two streaming sources in one flow; its result is the output's records per user and the counts of the terminals."""
+    streams = {"events": stream_table(spark, sf_dir, "events", max_files_per_trigger=1).select("event_id", "user_id", "event_type", "value"),
+               "orders": stream_table(spark, sf_dir, "orders", max_files_per_trigger=1).select("o_orderkey")}
+    out, counts = scratch_path(spark, "flow-spent"), scratch_path(spark, "flow-counts")
+    run_flow(activity_flow, streams, {"spent": out}, counts)
+    spent = spark.read.parquet(out).groupBy(F.concat(F.lit("user "), F.col("user_id")).alias("name")).agg(F.count(F.lit(1)).alias("items"))
+    return spent.union(total_counts(spark, counts))
 
 
 def stream_batch_count(spark, sf_dir):
     stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1)
-    _, out = windowed_count(stream, "ts", "1 hour", delay="1 hour")
-    return final_window_counts(spark, out).select("batch", "processed")
+    _, out = batch_window_counts(stream, "ts", "1 hour")
+    return total_window_counts(spark, out).select("batch", "processed")
 
 
 # --- arrays ---------------------------------------------------------------
@@ -272,17 +304,14 @@ def array_peak(spark, sf_dir):
     return _emb(spark, sf_dir).select("vec_id", A.peak("a").alias("p")).select("vec_id", "p.peak", "p.pos")
 
 
-def _exploded(df: DataFrame, arr, digits: int, keep=None) -> DataFrame:
+def _exploded(df: DataFrame, arr, digits: int) -> DataFrame:
     out = df.select("vec_id", F.posexplode(arr).alias("pos", "v"))
-    if keep is not None:
-        out = out.where(keep(F.col("pos")))
     return out.select("vec_id", F.col("pos").cast("long").alias("pos"), F.round("v", digits).alias("v"))
 
 
 def array_calibrate(spark, sf_dir):
     emb = _emb(spark, sf_dir)
-    ref = A.calibration_array(A.calibration_table(emb, "a", where=F.col("label") == 0))
-    return _exploded(emb, A.calibrate("a", ref), 5, keep=lambda pos: F.get(ref, pos).isNotNull())
+    return _exploded(A.calibrate(emb, "a", A.calibration_table(emb, "a", where=F.col("label") == 0)), F.col("a"), 5)
 
 
 def array_despike(spark, sf_dir):
@@ -297,6 +326,8 @@ QUERIES = {
     "source_read": source_read,
     "source_recursive": source_recursive,
     "source_file_blocks": source_file_blocks,
+    "source_blocks_read": source_blocks_read,
+    "source_union": source_union,
     "source_tree": source_tree,
     "source_running_id": source_running_id,
     "source_limit": source_limit,
@@ -313,6 +344,7 @@ QUERIES = {
     "output_fanout": output_fanout,
     "pass_through": pass_through,
     "group_by_process": group_by_process,
+    "group_null_keys": group_null_keys,
     "batch_count": batch_count_q,
     "throughput": throughput_q,
     "service_lookup": service_lookup,

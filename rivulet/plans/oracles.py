@@ -39,13 +39,20 @@ ORACLES = {
     "source_lines": (
         "SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line FROM "
         "(SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)"),
+    "source_blocks_read": (
+        "SELECT CAST(0 AS INT) AS copy, c_name AS name FROM customer UNION ALL SELECT 0, n_name FROM nation "
+        "UNION ALL SELECT 1, r_name FROM region UNION ALL SELECT 1, s_name FROM supplier"),
+    "source_union": (
+        "SELECT c_name AS name, c_nationkey AS nation, c_mktsegment FROM customer WHERE c_nationkey <> 7 UNION ALL "
+        "SELECT s_name, s_nationkey, NULL FROM supplier WHERE s_nationkey <> 7"),
+    "group_null_keys": (
+        "SELECT event_id, nullif(event_type, 'error') AS kind, "
+        "row_number() OVER (PARTITION BY nullif(event_type, 'error') ORDER BY event_id) AS seen FROM events"),
     "source_random": (
-        "SELECT id, ((id * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE AS x FROM "
-        "(SELECT row_number() OVER () - 1 AS id FROM events)"),
+        "SELECT event_id AS id, ((event_id * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE AS x FROM events"),
     "source_random_copies": (
-        "SELECT id, CAST(least(id // (n // 4), 3) AS INT) AS copy, "
-        "((id * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE AS x FROM "
-        "(SELECT row_number() OVER () - 1 AS id, count(*) OVER () AS n FROM events)"),
+        "SELECT event_id AS id, CAST(user_id % 4 AS INT) AS copy, "
+        "((event_id * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE AS x FROM events"),
     "process_chain": (
         'SELECT event_id, id, event_type, value AS "raw:value", value AS value_copy FROM '
         "(SELECT *, row_number() OVER (ORDER BY event_id) AS id FROM events) WHERE event_type <> 'error'"),
@@ -75,14 +82,16 @@ ORACLES = {
         "GROUP BY 1, 2"),
     "service_lookup": (
         "SELECT c_custkey, n_name FROM customer LEFT JOIN nation "
-        "ON c_nationkey = n_nationkey AND n_nationkey < 20"),
+        "ON c_nationkey = n_nationkey AND c_nationkey <> 7"),
     "stream_route": _ROUTE,
-    "stream_group": _GROUP,
+    "stream_group": _GROUP.replace("FROM events", "FROM events WHERE event_type IS DISTINCT FROM 'error'"),
     "stream_keyed_state": "SELECT user_id, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY 1",
     "stream_batch_count": "SELECT date_trunc('hour', ts) AS batch, count(*) AS processed FROM events GROUP BY 1",
     "stream_flow": (
-        "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seen "
-        "FROM events WHERE event_type IS DISTINCT FROM 'error' AND value > 10"),
+        "SELECT 'user ' || user_id AS name, count(*) AS items FROM events "
+        "WHERE event_type IS DISTINCT FROM 'error' AND value > 10 GROUP BY user_id "
+        "UNION ALL SELECT 'seen', count(*) FROM events WHERE event_type = 'view' "
+        "UNION ALL SELECT 'ordered', count(*) FROM orders"),
     "array_element_set": "SELECT vec_id, unnest(range(len(embedding))) AS pos FROM embeddings",
     "array_stats": (
         "SELECT vec_id, round(list_avg(e),6) + 0.0 AS mean, list_min(e) AS min, list_max(e) AS max, "

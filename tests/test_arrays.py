@@ -43,9 +43,48 @@ def test_calibrate_keeps_length_and_subtracts(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0, 3.0]), (0, [3.0, 4.0, 5.0]), (1, [10.0, 10.0, 10.0, 10.0])],
                                "label int, a array<double>")
     table = A.calibration_table(df, "a", where=F.col("label") == 0)
-    ref = A.calibration_array(table)
-    got = [r[0] for r in df.where("label = 1").select(A.calibrate("a", ref)).collect()]
-    assert got == [[8.0, 7.0, 6.0, None]]
+    rows = df.where("label = 1").unionByName(spark.createDataFrame([(2, None), (3, [])], df.schema))
+    got = {r.label: r.a for r in A.calibrate(rows, "a", table).collect()}
+    assert got == {1: [8.0, 7.0, 6.0, None], 2: None, 3: []}
+    none = A.calibrate(rows, "a", A.calibration_table(df, "a", where=F.col("label") == 9), "b")
+    assert {r.label: r.b for r in none.collect()} == {1: [None] * 4, 2: None, 3: []}
+
+
+def test_null_elements_are_ignored(spark):
+    rows = [[1.0, None, 3.0], [None, None], [2.0]]
+    assert _one(spark, rows, A.mean("a")) == [2.0, None, 2.0]
+    assert _one(spark, rows, A.baseline("a", 2)) == [1.0, None, 2.0]
+    assert [tuple(r) for r in _one(spark, rows, A.stats("a"))] == [(2.0, 1.0, 3.0, 1.0), (None, None, None, None), (2.0, 2.0, 2.0, 0.0)]
+    assert _one(spark, rows, A.despike("a", 0.1)) == rows
+
+
+def test_composed_steps_stay_linear(spark):
+    import time
+
+    df = spark.range(400).select(F.transform(F.sequence(F.lit(0), F.lit(3999)), lambda i: F.rand(1) + i * 0).cast("array<float>").alias("f"))
+    df = df.cache()
+    df.count()
+
+    def seconds(col):
+        t = time.perf_counter()
+        df.select(col.alias("x")).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
+
+    seconds(A.despike(A.as_doubles("f"), 0.2))
+    one = seconds(A.despike(A.as_doubles("f"), 0.2))
+    three = seconds(A.interpolate(A.despike(A.despike(A.as_doubles("f"), 0.2), 0.1), [3, 9]))
+    assert three < 8 * one + 1  # quadratic steps take hundreds of times as long
+
+
+def test_long_calibration_table_builds_fast(spark):
+    import time
+
+    table = spark.range(50_000).select(F.col("id").cast("int").alias("pos"), F.lit(1.0).alias("ped"))
+    df = spark.range(3).select("id", F.transform(F.sequence(F.lit(1), F.lit(50_000)), lambda i: i.cast("double")).alias("a"))
+    t = time.perf_counter()
+    out = A.calibrate(df, "a", table)
+    built = time.perf_counter() - t
+    assert built < 2 and out.select(F.get("a", F.lit(49_999))).first()[0] == 49_999.0
 
 
 def test_odd_names(spark):

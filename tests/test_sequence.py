@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.sequence import dense_id, running_values, with_range_bucket
+from rivulet.operators.sequence import dense_id, running_values, with_ranges
 
 
 def _frame(spark, n=3000, seed=7):
@@ -37,10 +37,12 @@ def test_running_values_equal_window(spark):
 
 def test_buckets_split_hot_key(spark):
     df = _frame(spark)
-    b = with_range_bucket(df, "o", n_buckets=9, bucket_col="b")
+    b = with_ranges(df, ["k"], "o", n_buckets=9, bucket_col="b")[0]
+    assert b.where("b > 0").select("k").distinct().collect() == [("hot",)]  # only keys above one range's share are cut
+    b = b.where("k = 'hot'")
     per = {r["b"]: r["c"] for r in b.where(F.col("k") == "hot").groupBy("b").count()
            .withColumnRenamed("count", "c").collect()}
-    assert len(per) >= 8  # the hot key is spread over (almost) all buckets
+    assert len(per) >= 8  # the hot key is spread over (almost) all ranges
     # buckets are monotone in the order column
     bounds = b.groupBy("b").agg(F.min("o").alias("lo"), F.max("o").alias("hi")).orderBy("b").collect()
     assert all(x["hi"] < y["lo"] for x, y in zip(bounds, bounds[1:]))
@@ -97,6 +99,28 @@ def test_sampled_boundaries_keep_results_exact(spark, monkeypatch):
                                           "hi": ("max", "v")}, n_buckets=9)
     got = got.select("o", "k", "n", F.round("s", 6).alias("s"), "lo", "hi")
     assert sorted(got.collect()) == sorted(_window_truth(df).collect())
-    b = with_range_bucket(df, "o", n_buckets=9, bucket_col="b")
+    b = with_ranges(df, [], "o", n_buckets=9, bucket_col="b")[0]
     sizes = [r["count"] for r in b.groupBy("b").count().collect()]
     assert len(sizes) >= 6 and max(sizes) < len(df.collect()) / 2  # still spread out
+
+
+def test_stray_string_does_not_unbalance_ranges(spark):
+    """One value with another beginning: the others share a long prefix and are still told apart."""
+    rows = [(f"https://example.org/a/very/long/common/path/{i:07d}",) for i in range(20_000)] + [("ftp://stray",), (None,)]
+    df = spark.createDataFrame(rows, "u string").repartition(4)
+    sizes = [r["count"] for r in with_ranges(df, [], "u", n_buckets=8, bucket_col="b")[0].groupBy("b").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 4_000
+    ids = dense_id(df, "u", id_col="id", n_buckets=8)
+    want = df.select("u", F.row_number().over(Window.orderBy("u")).cast("long").alias("id"))
+    assert ids.exceptAll(want).count() == 0 == want.exceptAll(ids).count()
+
+
+def test_carries_do_not_grow_with_keys(spark):
+    rows = [(i, f"k{i % 5000}" if i % 3 else "hot") for i in range(30_000)]
+    df = spark.createDataFrame(rows, "o long, `a.k` string")
+    b, n, large = with_ranges(df, ["a.k"], "o", n_buckets=16, bucket_col="b")
+    assert (n, large) == (30_000, 1)
+    assert b.where("b > 0").select("`a.k`", "b").distinct().count() <= 17
+    got = running_values(df, ["a.k"], "o", {"n": "count"}, n_buckets=16, tasks=5)
+    want = df.select("o", "`a.k`", F.row_number().over(Window.partitionBy("`a.k`").orderBy("o")).cast("long").alias("n"))
+    assert got.exceptAll(want).count() == 0 and got.rdd.getNumPartitions() == 5
