@@ -89,11 +89,11 @@ def _ordered(x, levels, num, den):
 
 
 LONG = 128  # lines of more words carry a wider parity, as theirs may differ in more bits
-WIDE = 8
+WIDE = 4
 
 
 def _wide_parity(x, which: np.ndarray) -> np.ndarray:
-    """512-bit parities of the words of some lines."""
+    """256-bit parities of the words of some lines."""
     out = np.zeros((len(which), WIDE), np.uint64)
     for r, i in enumerate(which.tolist()):
         h = mix(x.words[x.cuts[i]:x.cuts[i + 1]].copy(), 3)
@@ -103,7 +103,7 @@ def _wide_parity(x, which: np.ndarray) -> np.ndarray:
 
 
 def _postings(batches, levels, hot, buckets, num, den):
-    """(id, text) → packed postings by bucket; bucket -1 holds those of very frequent words."""
+    """(id, text) → packed postings by bucket; those of very frequent words come by line, from bucket ``buckets`` on."""
     levels, seen, held, size = levels.value, set(), [], 0
     names = ["bucket", "rows", "wide"]
 
@@ -125,7 +125,7 @@ def _postings(batches, levels, hot, buckets, num, den):
             order, line, place, level, pick = _ordered(x, levels, num, den)
             new = np.array([k not in seen for k in x.k1.tolist()])  # equal lines of a task count once
             new[np.setdiff1d(np.arange(len(new)), np.unique(x.k1, return_index=True)[1])] = False
-            if len(seen) > 500_000:
+            if len(seen) > 200_000:
                 seen.clear()
             seen.update(x.k1[new].tolist())
             pick &= new[line]
@@ -135,11 +135,12 @@ def _postings(batches, levels, hot, buckets, num, den):
             rows["n"], rows["at"] = np.minimum(x.n[line], 65535), np.minimum(place, 65535)
             rows["k"], rows["p1"], rows["p2"] = x.k1[line], x.p1[line], x.p2[line]
             # the bucket is of the lower half of the hash, so bucket and w together tell words apart
-            where = np.where(level[pick] >= hot, -1, (w % np.uint64(buckets)).astype(np.int64))
+            where = np.where(level[pick] >= hot, buckets + (x.k1[line] % np.uint64(buckets)).astype(np.int64),
+                             (w % np.uint64(buckets)).astype(np.int64))
             long, back = np.unique(line[rows["n"] > LONG], return_inverse=True)
             held.append((where, rows, _wide_parity(x, long)[back]))
             size += len(rows)
-            if size >= 1 << 20:
+            if size >= 1 << 19:
                 yield flush()
                 held, size = [], 0
     if size:
@@ -186,23 +187,19 @@ def _links(rows, wide, num, den, side=None):
     return pa.table({"a": a[:, 0], "b": a[:, 1]})
 
 
-def _candidates(key, t, num, den):
-    """Packed postings of a bucket → links between candidate lines."""
+def _candidates(key, t, buckets, num, den):
+    """Packed postings of a bucket → links between candidate lines; those of very frequent words → a row each."""
     rows = np.frombuffer(b"".join(t["rows"].to_pylist()), _POSTING)
     wide = np.frombuffer(b"".join(t["wide"].to_pylist()), np.uint64).reshape(-1, WIDE)
-    return _links(rows, wide, num, den)
-
-
-def _single(batches):
-    """Packed postings → a row each."""
-    for t in batches:
-        for r, wide in zip(t.column(1).to_pylist(), t.column(2).to_pylist()):
-            rows, step = np.frombuffer(r, _POSTING), _POSTING.itemsize
-            wides = iter([wide[i:i + 8 * WIDE] for i in range(0, len(wide), 8 * WIDE)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["w"].astype(np.int64)), pa.array(rows["k"].astype(np.uint64).view(np.int64)),
-                 pa.array([r[i:i + step] for i in range(0, len(r), step)], pa.binary()),
-                 pa.array([next(wides) if n > LONG else None for n in rows["n"].tolist()], pa.binary())], ["w", "k", "row", "wide"])
+    if t["bucket"][0].as_py() < buckets:
+        out = _links(rows, wide, num, den)
+        none = pa.nulls(out.num_rows, pa.binary())
+        return out.append_column("w", pa.nulls(out.num_rows, pa.int64())).append_column("row", none).append_column("wide", none)
+    long = iter(wide.tolist())
+    return pa.table({"a": pa.nulls(len(rows), pa.int64()), "b": pa.array(rows["k"].astype(np.uint64).view(np.int64)),
+                     "w": pa.array(rows["w"].astype(np.int64)), "row": pa.array([r.tobytes() for r in rows], pa.binary()),
+                     "wide": pa.array([np.array(next(long), np.uint64).tobytes() if n > LONG else None
+                                       for n in rows["n"].tolist()], pa.binary())})
 
 
 def _frequent(key, t, num, den):
@@ -327,11 +324,12 @@ def similar_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n
     levels = spark.sparkContext.broadcast(levels)
     same = dict(num=num, den=den)
     buckets = max(512, total // (1 << 20))
-    post = saved(d.mapInArrow(partial(_postings, levels=levels, hot=hot, buckets=buckets, **same),
-                              "bucket int, rows binary, wide binary"), "line-postings", "none")
-    often = saved(post.where("bucket < 0").mapInArrow(_single, "w long, k long, row binary, wide binary"), "line-frequent")
+    post = d.mapInArrow(partial(_postings, levels=levels, hot=hot, buckets=buckets, **same), "bucket int, rows binary, wide binary")
+    got = saved(post.groupBy("bucket").applyInArrow(partial(_candidates, buckets=buckets, **same),
+                                                    "a long, b long, w long, row binary, wide binary"), "line-candidates")
+    often = got.where("a is null").select("w", F.col("b").alias("k"), "row", "wide")
     size = saved(often.groupBy("w").count().where("count > 1"), "line-words")
-    edges = post.where("bucket >= 0").groupBy("bucket").applyInArrow(partial(_candidates, **same), "a long, b long").union(
+    edges = got.where("a is not null").select("a", "b").union(
         in_blocks(often.join(size, "w"), "count", 4096, "k").groupBy("w", "x", "y").applyInArrow(
             partial(_frequent, **same), "a long, b long"))
     comp = saved(components(edges).withColumnRenamed("id", "k1"), "line-groups")
