@@ -56,6 +56,28 @@ def saved(df: DataFrame, name: str, codec: str = "lz4") -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(key: str, make):
+    """``make()``, kept by this Python worker until another key is asked for.
+
+    Workers serve many operators in turn; with one place for all, a worker
+    never holds more than one automaton, model or memory of words.
+    """
+    if _HELD.get("key") != key:
+        _HELD.clear()
+        _HELD.update(key=key, it=make())
+    return _HELD["it"]
+
+
+def sliced(batches, rows: int = 1000):
+    """Arrow batches in pieces of at most ``rows`` rows, so that few texts are copied at a time."""
+    for t in batches:
+        for s in range(0, t.num_rows, rows):
+            yield t.slice(s, rows)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for documents kept out of training: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

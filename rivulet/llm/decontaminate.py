@@ -19,30 +19,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import col, table, unpacked, whole
+from rivulet.llm.common import col, held, sliced, table, unpacked, whole
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Bytes to bytes: A-Z to a-z, other ASCII that is no letter or digit to a blank.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-_MADE: dict = {}  # automata of this Python worker, by their key
 
 
 def _words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def _automaton(key: str, windows: list[tuple[str, list[str]]]):
-    if key not in _MADE:
-        import ahocorasick
+def _automaton(windows: list[tuple[str, list[str]]]):
+    import ahocorasick
 
-        a = ahocorasick.Automaton()
-        for text, items in windows:
-            a.add_word(f" {text} ", (text.count(" ") + 1, tuple(items)))
-        if windows:
-            a.make_automaton()
-        _MADE.clear()
-        _MADE[key] = a
-    return _MADE[key]
+    a = ahocorasick.Automaton()
+    for text, items in windows:
+        a.add_word(f" {text} ", (text.count(" ") + 1, tuple(items)))
+    if windows:
+        a.make_automaton()
+    return a
 
 
 def _spans(folded: bytes, hit: np.ndarray) -> list[dict]:
@@ -57,8 +53,8 @@ _SCANNED = pa.schema([("text", pa.string()), ("n_words", pa.int64()),
 
 
 def _scan(batches, key, windows, last):
-    a = _automaton(key, windows.value)
-    for t in batches:
+    a = held(key, lambda: _automaton(windows.value))
+    for t in sliced(batches):
         rows = []
         hits, items = (t.column(3).to_pylist(), t.column(4).to_pylist()) if t.num_columns > 3 else (None, None)
         for i, text in enumerate(t.column(1).to_pylist()):

@@ -10,6 +10,7 @@ labelled rows, so its size is bounded; texts are scored whole.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from functools import partial
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import bounded_sample, col, held_out, saved, table
+from rivulet.llm.common import bounded_sample, col, held, held_out, saved, sliced, table
 
 _WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
@@ -32,7 +33,7 @@ def _grams(word: str, n: int) -> list[str]:
 def _count(batches):
     """Texts and languages of a partition → (lang, what, count): words as ``word$``, n-grams as they are."""
     count: dict[str, Counter] = {}
-    for t in batches:
+    for t in sliced(batches):
         for text, lang in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
             count.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
     for lang, words in count.items():
@@ -132,14 +133,9 @@ def train(docs: DataFrame, rows: int = 6_000, seed: int = 8, least: int = 3, *,
     return Model(langs, dict(zip(t["what"], t.iloc[:, 1:].to_numpy())))
 
 
-_SCORER: dict = {}
-
-
-def _predict(batches, model):
-    if _SCORER.get("of") is not model.value:
-        _SCORER.update(of=model.value, it=Scorer(model.value))
-    score = _SCORER["it"]
-    for t in batches:
+def _predict(batches, model, key):
+    score = held(key, lambda: Scorer(model.value))
+    for t in sliced(batches):
         got = [score(x) for x in t.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([t.column(0), pa.array([g[0] for g in got], pa.string()),
                                           pa.array([g[1] for g in got], pa.float64())], ["doc_id", "lang_pred", "score"])
@@ -156,7 +152,7 @@ def identify(docs: DataFrame, model: Model, *, doc: str = "doc_id", text: str =
     d = docs.select(col(doc).alias("doc_id"), col(text).alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
     bc = docs.sparkSession.sparkContext.broadcast(model)
-    return d.mapInArrow(partial(_predict, model=bc), f"doc_id {kind}, lang_pred string, score double")
+    return d.mapInArrow(partial(_predict, model=bc, key=uuid.uuid4().hex), f"doc_id {kind}, lang_pred string, score double")
 
 
 def op8_langid(spark, sf_dir):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import Forest, col, components, saved, table, unpacked, whole
+from rivulet.llm.common import Forest, col, components, saved, sliced, table, unpacked, whole
 from rivulet.llm.wordsets import lines_of, mix, text_keys
 
 CHUNK = 4096  # cells of the count table per row
@@ -46,7 +46,7 @@ def _classes(batches, bits):
     """(id, text) → line rows, then the partition's word counts in chunks."""
     count = np.zeros(1 << bits, np.int64)
     names = ["id", "text_key", "line_no", "k1", "k2", "chunk", "counts"]
-    for t in batches:
+    for t in sliced(batches):
         ids = t.column(0).to_numpy(zero_copy_only=False)
         keys = text_keys(t.column(1))
         for x in lines_of(t.column(1)):
@@ -120,7 +120,7 @@ def _postings(batches, levels, hot, buckets, num, den):
              pa.array([rows[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary()),
              pa.array([wide[i:j].tobytes() for i, j in zip(long, long[1:])], pa.binary())], names)
 
-    for t in batches:
+    for t in sliced(batches):
         for x in lines_of(t.column(1)):
             order, line, place, level, pick = _ordered(x, levels, num, den)
             new = np.array([k not in seen for k in x.k1.tolist()])  # equal lines of a task count once
@@ -242,7 +242,7 @@ def _sets(batches, bitmap):
     """(id, text) → class and words of lines whose class the bitmap holds."""
     bitmap, seen = bitmap.value, set()
     size = np.uint64(len(bitmap) * 8 - 1)
-    for t in batches:
+    for t in sliced(batches):
         for x in lines_of(t.column(1)):
             cell = x.k1 & size
             hit = bitmap[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1

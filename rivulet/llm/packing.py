@@ -10,6 +10,7 @@ windows' worth, and no group or task grows with the corpus.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 import zlib
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import col, saved, table
+from rivulet.llm.common import col, held, saved, sliced, table
 
 #: Control characters other than white space, special-token marks and the sigma of context-dependent case.
 _ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f]|<\\||Σ")
@@ -53,6 +54,7 @@ class Encoder:
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # the last memory that was full: what is used again is kept
         self.known_pieces: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -68,10 +70,12 @@ class Encoder:
         return got
 
     def _chunk(self, chunk: str) -> bytes:
-        if _NOT_LATIN.search(chunk):
+        if not chunk.isascii() and _NOT_LATIN.search(chunk):
             return self._whole(chunk)
         if chunk.isalpha():
             return self._piece(chunk)
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            return self._piece(chunk[:-1]) + self._piece(chunk[-1])
         return b"".join(map(self._piece, self.pieces(chunk)))
 
     def __call__(self, text: str) -> bytes:
@@ -88,9 +92,10 @@ class Encoder:
             return b"".join([known[c] for c in chunks])
         except KeyError:
             if len(known) >= self.limit:
-                known.clear()
+                self.before, self.known = known, {}
+                known = self.known
             for c in set(chunks).difference(known):
-                known[c] = self._chunk(c)
+                known[c] = self.before.get(c) or self._chunk(c)
         return b"".join([known[c] for c in chunks])
 
 
@@ -98,14 +103,9 @@ def _packed(ids: list[int]) -> bytes:
     return b"".join([i.to_bytes(4, "little") for i in ids])
 
 
-_ENCODER: dict = {}  # of this Python worker
-
-
-def _cut(batches, spec, window, end_id, with_ids):
-    if "it" not in _ENCODER or _ENCODER["of"] != len(spec.value):
-        _ENCODER.update(it=Encoder(spec.value), of=len(spec.value))
-    encode, task, n = _ENCODER["it"], TaskContext.get().partitionId(), 0
-    for t in batches:
+def _cut(batches, spec, key, window, end_id, with_ids):
+    encode, task, n = held(key, lambda: Encoder(spec.value)), TaskContext.get().partitionId(), 0
+    for t in sliced(batches):
         rows = []
         for doc, text in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
             ids = encode(text or "") + end_id.to_bytes(4, "little")
@@ -180,7 +180,7 @@ def pack(docs: DataFrame, spec: str, *, doc: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     d = docs.select(col(doc).alias("doc_id"), col(text).alias("text"))
-    cut = partial(_cut, spec=spark.sparkContext.broadcast(spec), window=window, end_id=end_id, with_ids=with_ids)
+    cut = partial(_cut, spec=spark.sparkContext.broadcast(spec), key=hashlib.sha256(spec.encode()).hexdigest(), window=window, end_id=end_id, with_ids=with_ids)
     kind = d.schema["doc_id"].dataType.simpleString()
     row = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, task long, n long"
     pieces = saved(d.mapInArrow(cut, f"{row}, ids binary"), "pieces")

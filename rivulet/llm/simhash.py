@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import Forest, col, components, saved, table, unpacked, whole
+from rivulet.llm.common import Forest, col, components, saved, sliced, table, unpacked, whole
 
 CHUNK = 1 << 15
 
@@ -46,7 +46,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def _fingerprints(batches, width):
-    for t in batches:
+    for t in sliced(batches):
         fp = [fingerprint(x, width) for x in t.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([t.column(0), pa.array(np.array(fp, np.uint64).view(np.int64))], ["id", "fp"])
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from functools import partial
 from itertools import product
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import bounded_sample, col, held_out, saved, table, unpacked, whole
+from rivulet.llm.common import bounded_sample, col, held, held_out, saved, sliced, table, unpacked, whole
 
 # Seed words of each family.
 INSULTS = "clown disgusting dumb fool idiot idiots imbecile loser losers moron morons pathetic scum stupid trash vermin worthless".split()
@@ -136,7 +137,7 @@ def _features(word: str) -> list[str]:
 def _count(batches):
     """Texts and labels of one partition → (feature, toxic texts, other texts), added up."""
     toxic, clean = Counter(), Counter()
-    for t in batches:
+    for t in sliced(batches):
         for text, label in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
             words = set(_WORD.findall((text or "").lower()))
             (toxic if label else clean).update({f for w in words for f in _features(w)})
@@ -184,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 20_000, seed: int = 9,
 
 
 def _strengths(batches, g):
-    for t in batches:
+    for t in sliced(batches):
         yield pa.RecordBatch.from_arrays([pa.array([g.strength(x) for x in t.column(0).to_pylist()], pa.float64()),
                                           t.column(1).cast(pa.int32())], ["x", "y"])
 
@@ -204,9 +205,9 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return w, b
 
 
-def _score(batches, model):
-    g, w, b = model.value
-    for t in batches:
+def _score(batches, model, key):
+    g, w, b = held(key, lambda: model.value)
+    for t in sliced(batches):
         x = np.array([g.strength(s) for s in t.column(1).to_pylist()], np.float64)
         yield pa.RecordBatch.from_arrays([t.column(0), pa.array(1 / (1 + np.exp(-(w * x + b))))], ["doc_id", "score"])
 
@@ -221,7 +222,7 @@ def toxicity(docs: DataFrame, model: tuple[Grammar, float, float], *, doc: str =
     d = docs.select(col(doc).alias("doc_id"), col(text).alias("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
     bc = docs.sparkSession.sparkContext.broadcast(model)
-    out = d.mapInArrow(partial(_score, model=bc), f"doc_id {kind}, score double")
+    out = d.mapInArrow(partial(_score, model=bc, key=uuid.uuid4().hex), f"doc_id {kind}, score double")
     return out.withColumn("predicted", (F.col("score") >= limit).cast("int"))
 
 
