@@ -194,7 +194,9 @@ def test_licences(spark, odd_docs, documents):
              7: ("", ""), 8: ("MIT is a university in Boston.", ""), 9: ("Released under the MIT License.\nLicensed under CC BY 4.0.", "cc-by,mit"),
              10: ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without limits.", "mit")}
     docs = spark.createDataFrame([(i, t, "x", "y") for i, (t, _) in cases.items()], "doc_id long, text string, label string, features string")
-    got = {r.doc_id: r for r in licences.licences(docs, model).collect()}
+    got = licences.licences(docs, model).collect()
+    assert len(got) == len(cases)
+    got = {r.doc_id: r for r in got}
     assert {i: r.licences for i, r in got.items()} == {i: w for i, (_, w) in cases.items()}
     assert got[4].n_unknown == 1 and got[8].n_unknown == 0
     odd = licences.licences(odd_docs, model)
