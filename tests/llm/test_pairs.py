@@ -252,6 +252,31 @@ def test_chains_keep_the_best_order():
     assert got[0] == [0, 1, 3, 4] and sorted(map(len, got)) == [1, 1, 4]
 
 
+def slow_scores(at, rat, k, cost=0.1, reach=40):
+    score = []
+    for i, (a, r) in enumerate(zip(at, rat)):
+        score.append(k + max([0.0, *(score[j] - cost * (a - at[j] + r - rat[j]) for j in range(i)
+                                     if 0 < a - at[j] <= reach and 0 < r - rat[j] <= reach)]))
+    return score
+
+
+def test_chains_of_two_passages_in_one_pair():
+    """A long chain does not hide the near matches of a later passage."""
+    at = [*range(0, 201, 10), *range(300, 501, 10)]
+    assert sorted(passages.chains(at, at, 5)) == [list(range(21)), list(range(21, 42))]
+    r = random.Random(6)
+    for _ in range(60):
+        spots = sorted({(r.randint(0, 150), r.randint(0, 150)) for _ in range(r.randint(1, 120))})
+        at, rat = map(list, zip(*spots))
+        want = slow_scores(at, rat, 5)
+        got = passages.chains(at, rat, 5)
+        assert sorted(i for c in got for i in c) == list(range(len(at)))
+        steps = [(at[j] - at[i], rat[j] - rat[i]) for c in got for i, j in zip(c, c[1:])]
+        assert all(0 < x <= 40 and 0 < y <= 40 for x, y in steps)
+        best = 5 * len(got[0]) - 0.1 * (at[got[0][-1]] - at[got[0][0]] + rat[got[0][-1]] - rat[got[0][0]])
+        assert best == pytest.approx(max(want))
+
+
 def test_passages(spark, odd_docs):
     r = random.Random(8)
     text = lambda n: [f"{r.choice('bcdfg')}{r.randrange(10**6)}" for _ in range(n)]
