@@ -302,6 +302,23 @@ def test_passages(spark, odd_docs):
     assert passages.repeated_passages(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rate, least", [(0.05, 1.0), (0.1, 1.0), (0.15, 0.95), (0.2, 0.85)])
+def test_passages_with_changed_words(spark, rate, least):
+    """Passages of 60 words of which a share is changed; all are at least 80 % alike."""
+    r = random.Random(3)
+    text = lambda n: [f"{r.choice('bcdfg')}{r.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for i in range(60):
+        p = text(60)
+        q = list(p)
+        for j in r.sample(range(60), round(60 * rate)):
+            q[j] = text(1)[0]
+        rows += [(i, " ".join(text(30) + p + text(30))), (100 + i, " ".join(text(50) + q + text(30)))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert all(x.doc_id == x.source_id + 100 for x in got)
+    assert len({x.doc_id for x in got}) >= least * 60
+
+
 # --- preference pairs
 
 def test_preference_pairs(spark):
