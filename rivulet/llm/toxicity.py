@@ -135,13 +135,13 @@ def _features(word: str) -> list[str]:
 
 
 def _count(batches):
-    """Texts and labels of one partition → (feature, toxic texts, other texts), added up."""
+    """Texts and labels of one partition → (feature, toxic texts, other texts) of all its features, added up."""
     toxic, clean = Counter(), Counter()
     for t in sliced(batches):
         for text, label in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
             words = set(_WORD.findall((text or "").lower()))
             (toxic if label else clean).update({f for w in words for f in _features(w)})
-    fs = [f for f, n in toxic.items() if n > 1] or list(toxic)[:1]
+    fs = list(toxic | clean)
     yield pa.RecordBatch.from_arrays([pa.array(fs, pa.string()), pa.array([toxic[f] for f in fs], pa.int64()),
                                       pa.array([clean[f] for f in fs], pa.int64())], ["f", "toxic", "clean"])
 
@@ -168,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 20_000, seed: int = 9,
     if t:
         base = t / n
         found = (sample.select("text", "toxic").mapInArrow(_count, "f string, toxic long, clean long").groupBy("f")
-                 .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+                 .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where("toxic > 1"))
         found = saved(found, "toxic-features")
         size = max(1, found.count())
         # so exclusive to toxic texts that among all features chance gives less than one in a hundred

@@ -185,6 +185,23 @@ def test_toxicity_learns_and_scores(spark, odd_docs):
     assert toxicity.toxicity(odd_docs.limit(0), blank).count() == 0
 
 
+def test_toxicity_lexicon_does_not_depend_on_partitions(spark):
+    """Features are counted over the whole sample, however its rows are dealt."""
+    texts = [f"grobnik {'plain' if i < 10 else ''} toxa{i}" for i in range(20)] + [f"plain words w{i}" for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(len(texts))], "doc_id long, toxic int")
+    sample = toxicity.labelled(docs, labels).collect()
+    models = []
+    for n in (1, 50):
+        few = spark.createDataFrame(spark.sparkContext.parallelize(sample, n), "id long, text string, toxic int")
+        counts = few.select("text", "toxic").mapInArrow(toxicity._count, "f string, toxic long, clean long")
+        counts = counts.groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where("toxic > 1")
+        models.append(({tuple(r) for r in counts.collect()}, toxicity.train(docs.repartition(n, "doc_id"), labels.repartition(n))))
+    (few, (g, *curve)), (many, (h, *other)) = models
+    assert few == many and (g.insults, g.starts) == (h.insults, h.starts) and curve == pytest.approx(other)
+    assert g.insult("grobnik") > 0 and g.insult("plain") == 0
+
+
 def test_licences(spark, odd_docs, documents):
     model = licences.train(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet"))
     cases = {0: ("Licensed under the Apache License, Version 2.0.", "apache-2.0"), 1: ("Released under the MIT License.", "mit"),
