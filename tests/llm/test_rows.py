@@ -219,3 +219,29 @@ def test_licences(spark, odd_docs, documents):
     odd = licences.licences(odd_docs, model)
     assert odd.count() == odd_docs.count() and odd.where("licences != ''").count() == 0
     assert licences.licences(odd_docs.limit(0), model).count() == 0
+
+
+def test_wrapped_licences(spark):
+    """Notices over several lines, plain and in comments, are judged whole."""
+    model = licences.train(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet"))
+    notices = {
+        "gpl-3.0": ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by",
+                    "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."],
+        "bsd": ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions",
+                "are met:"],
+        "isc": ["Permission to use, copy, modify, and/or distribute this software for any", "purpose with or without fee is hereby granted, provided that the above",
+                "copyright notice and this permission notice appear in all copies."],
+        "mit": ["Permission is hereby granted, free of charge, to any person obtaining a copy", 'of this software and associated documentation files (the "Software"), to deal',
+                "in the Software without restriction, including without limitation the rights", "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell",
+                "copies of the Software, and to permit persons to whom the Software is", "furnished to do so, subject to the following conditions:"],
+        "cc-by-sa": ["This work is licensed under a Creative Commons Attribution-", "ShareAlike 4.0 International License."]}
+    want, rows = {}, []
+    for f, lines in notices.items():
+        for mark in ("", "# ", " * ", "// "):
+            want[len(rows)] = f
+            rows.append((len(rows), "\n".join(["Some words of a text", "", *(mark + x for x in lines), "", "More words of it"])))
+    want[len(rows)] = "cc-by,mit"
+    rows.append((len(rows), "Released under the MIT License\nLicensed under CC BY 4.0"))
+    got = licences.licences(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.licences for r in got} == want
+    assert all(r.n_paragraphs == 1 + (r.doc_id == len(rows) - 1) and r.n_unknown == 0 for r in got)
