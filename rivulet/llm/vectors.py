@@ -2,11 +2,13 @@
 
 Each pass hashes a vector to the signs of its own random projections and
 sorts the vectors lexicographically by them; near vectors share long
-beginnings, so each is compared with a bounded window of neighbours. The
-verified pairs of all passes are united into components. A dense group can
-be wider than any window, so the links are then counted within components,
-exactly: in blocks of bounded size, one block pair to a task's step, and
-only counts leave a block. Equal vectors are one row with a multiplicity
+beginnings, so each is compared with a bounded window of neighbours. A dense
+group can be wider than any window, so the passes only unite neighbours into
+clusters, at the cosine that two vectors near a third have at least; so the
+copies around a hub are one cluster even where they are not near each other.
+Within clusters links are found exactly: in blocks of bounded size, one block
+pair to a task's step, and only counts and spanning edges leave a block.
+Their edges are united into components. Equal vectors are one row with a multiplicity
 throughout.
 """
 
@@ -54,8 +56,11 @@ def _signatures(batches, seeds, bits):
                     ["pass", "label", "dims", "sig", "id", "v"])
 
 
-def _neighbours(batches, window, least):
-    """Rows sorted by (pass, label, dims, sig) → verified pairs within the window."""
+def _neighbours(batches, window, loose):
+    """Rows sorted by (pass, label, dims, sig) → edges that unite the pairs within the window of cosine ``loose`` or more.
+
+    Runs of rows each near the next are united by their own edges; of the pairs between two runs, one edge is enough.
+    """
     tail = None
     for t in batches:
         if not t.num_rows:
@@ -72,9 +77,14 @@ def _neighbours(batches, window, least):
             if e <= fresh or e - s < 2:
                 continue
             x = _unit(_matrix(now["v"].slice(s, e - s), int(codes[2][s])))
-            for d in range(1, min(window, e - s - 1) + 1):
+            near = np.einsum("ij,ij->i", x[:-1], x[1:]) >= loose
+            run = np.r_[0, np.cumsum(~near)]
+            hit = s + np.flatnonzero(near)
+            out.append(np.stack([ids[hit], ids[hit + 1]]))
+            for d in range(2, min(window, e - s - 1) + 1):
                 lo = max(0, fresh - s - d)  # pairs of two old rows were compared before
-                hit = np.flatnonzero(np.einsum("ij,ij->i", x[lo:-d], x[lo + d:]) >= least) + lo
+                hit = np.flatnonzero((np.einsum("ij,ij->i", x[lo:-d], x[lo + d:]) >= loose) & (run[lo:-d] != run[lo + d:])) + lo
+                hit = hit[np.unique(np.stack([run[hit], run[hit + d]]), axis=1, return_index=True)[1]] if len(hit) else hit
                 out.append(np.stack([ids[s + hit], ids[s + hit + d]]))
         if out:
             a, b = np.concatenate(out, 1)
@@ -82,19 +92,22 @@ def _neighbours(batches, window, least):
 
 
 def _within(key, t, least):
-    """One block (or pair of blocks) of a component: links of each row, weighted by multiplicity."""
+    """One block (or pair of blocks) of a cluster: links of each row, weighted by multiplicity, and the least id they lead to."""
     x = _unit(_matrix(t["v"], len(t["v"][0])))
     side, n, ids = t["side"].to_numpy(), t["n"].to_numpy(), t["id"].to_numpy()
-    count = np.zeros(len(ids), np.int64)
+    order = np.argsort(ids)
+    x, side, n, ids = x[order], side[order], n[order], ids[order]
+    near = x @ x.T >= least
     if side[0] < 0:
-        near = x @ x.T >= least
         np.fill_diagonal(near, False)
-        count = near @ n
     else:
-        l, r = side == 0, side == 1
-        near = x[l] @ x[r].T >= least
-        count[l], count[r] = near @ n[r], near.T @ n[l]
-    return pa.table({"id": ids, "links": count})
+        near &= side[:, None] != side
+    low, was = np.arange(len(ids)), None
+    while was is None or (low != was).any():
+        was = low
+        low = np.minimum(low, np.where(near, low, len(ids)).min(1))
+        low = low[low]
+    return pa.table({"id": ids, "links": near.astype(np.int64) @ n, "low": ids[low]})
 
 
 def usable(vectors: DataFrame, vec: str, embedding: str, label: str) -> DataFrame:
@@ -116,8 +129,8 @@ def near_vectors(vectors: DataFrame, *, vec: str = "vec_id", embedding: str = "e
     precision. Vectors that are null, empty, zero, without label, or that hold a null or non-finite
     component link with nothing; a row without id has no links and component null. Equal vectors link.
     A repeated id is one row here for each time it comes, linked like separate vectors. Every link
-    returned is verified; links between two components that no pass brought together are missed
-    (recall is measured in the tests). Other columns are ignored; an empty table gives no rows.
+    returned is verified, and all links within a cluster are found; links between two clusters that no
+    pass brought together are missed (recall is measured in the tests). Other columns are ignored; an empty table gives no rows.
     """
     v = usable(vectors, vec, embedding, label)
     same = saved(v.withColumn("h", F.xxhash64("v")).groupBy("label", "h", "v")
@@ -128,18 +141,19 @@ def near_vectors(vectors: DataFrame, *, vec: str = "vec_id", embedding: str = "e
         partial(_signatures, seeds=seeds, bits=bits), "pass int, label string, dims int, sig string, id long, v " + same.schema["v"].dataType.simpleString())
     order = ["pass", "label", "dims", "sig"]
     found = (sig.repartitionByRange(*order, "id").sortWithinPartitions(*order, "id")
-             .mapInArrow(partial(_neighbours, window=window, least=least), "a long, b long"))
-    comp = components(found)
-    rows = saved(same.join(comp, "id"), "vector-components")
-    size = saved(rows.groupBy("component").agg(F.count("*").alias("m")), "component-sizes")
+             .mapInArrow(partial(_neighbours, window=window, loose=2 * least * least - 1), "a long, b long"))
+    rows = saved(same.join(components(found), "id"), "vector-clusters")
+    size = saved(rows.groupBy("component").agg(F.count("*").alias("m")), "cluster-sizes")
     blocks = F.ceil(F.col("m") / block).cast("int")
     rows = rows.join(size, "component").withColumn("b", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("b")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("b") - 1), lambda o: F.struct(
         F.least(o, F.col("own")).alias("x"), F.greatest(o, F.col("own")).alias("y"),
         F.when(o == F.col("own"), -1).when(o < F.col("own"), 1).otherwise(0).alias("side")))
     dealt = rows.withColumn("p", F.explode(pair)).select("component", "p.x", "p.y", "p.side", "id", "n", "v")
-    links = (dealt.groupBy("component", "x", "y").applyInArrow(partial(_within, least=least), "id long, links long")
-             .groupBy("id").agg(F.sum("links").alias("links")))
+    linked = saved(dealt.groupBy("component", "x", "y").applyInArrow(partial(_within, least=least), "id long, links long, low long"),
+                   "vector-blocks")
+    comp = components(linked.select("id", "low"))
+    links = linked.groupBy("id").agg(F.sum("links").alias("links"))
     known = (same.select(F.col("id").alias("rep"), F.col("n"))
              .join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
              .join(links.select(F.col("id").alias("rep"), "links"), "rep", "left"))

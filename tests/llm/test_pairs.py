@@ -146,6 +146,26 @@ def test_vectors_against_brute_force(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_a_hub(spark):
+    """Thousands of copies near a hub but not near each other, and a dense label of loose groups."""
+    r = np.random.default_rng(7)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    around = lambda v, n, cos: v * cos + unit((g := r.standard_normal((n, 64))) - (g @ v)[:, None] * v) * (1 - cos * cos) ** 0.5
+    hub = unit(r.standard_normal(64))
+    topics = [around(unit(r.standard_normal(64)), 250, 0.975) for _ in range(4)]  # about 0.95 to each other
+    dense = np.concatenate([*topics, *[around(t[0], 20, 0.985) for t in topics]])
+    vs = np.concatenate([around(hub, 3000, 0.985), dense, r.standard_normal((300, 64)), hub[None]])
+    labels = [0] * 3000 + [1] * len(dense) + [0] * 301
+    x, l = unit(vs), np.array(labels)
+    near = (x @ x.T >= 0.98) & (l[:, None] == l)
+    np.fill_diagonal(near, False)
+    group = closure(np.argwhere(np.triu(near)).tolist(), range(len(vs)))
+    df = spark.createDataFrame([(i, v, k) for i, (v, k) in enumerate(zip(vs.tolist(), labels))], "vec_id long, embedding array<double>, label int")
+    got = {q.vec_id: (q.n_links, q.component_id) for q in vectors.near_vectors(df.repartition(3)).collect()}
+    assert near[-1].sum() >= 3000
+    assert got == {i: (int(near[i].sum()), group[i]) for i in range(len(vs))}
+
+
 # --- lines
 
 def slow_lines(rows):
