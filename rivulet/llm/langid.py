@@ -3,8 +3,9 @@
 For each language the model holds the log frequency of known words and of
 character n-grams of words (marked at both ends). A word of the text that
 is known scores by its own frequencies; any other by its longest n-grams
-that are known at all. The model is fitted on a bounded, hashed sample of
-labelled rows, so its size is bounded; texts are scored whole.
+that are known at all. The model is fitted on a hashed sample of labelled
+rows, bounded for each language, so that small languages are learned too;
+texts are scored whole.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import bounded_sample, col, held, held_out, saved, sliced, table
+from rivulet.llm.common import col, held, held_out, saved, sliced, table
 
 _WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
@@ -64,7 +65,9 @@ class Model:
     def _logs(self, counts):
         if not counts:
             return {}
-        m = np.array(list(counts.values()), np.float64) + 0.5
+        m = np.array(list(counts.values()), np.float64)
+        n = np.maximum(m.sum(0), 1)
+        m += 0.5 * n / n.max()  # what is unseen is as rare in a language with few rows as in others
         return dict(zip(counts, np.log(m / m.sum(0))))
 
     def unseen(self, word: str) -> np.ndarray:
@@ -114,15 +117,19 @@ class Scorer:
         return self.model.langs[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
 
-def train(docs: DataFrame, rows: int = 6_000, seed: int = 8, least: int = 3, *, doc: str = "doc_id", text: str = "text",
+def train(docs: DataFrame, rows: int = 6_000, seed: int = 8, least: int = 3, *, each: int = 200, doc: str = "doc_id", text: str = "text",
           lang: str = "lang") -> Model:
-    """Fit on about ``rows`` labelled documents outside the held-out quarter.
+    """Fit on about ``rows`` labelled documents outside the held-out quarter, and about ``each`` of every language.
 
-    Rows without text, language or id teach nothing. Words and n-grams seen fewer than ``least``
+    A language with fewer than ``each`` such documents is learned from all of them. Rows without text, language or id teach nothing. Words and n-grams seen fewer than ``least``
     times in all are left to shorter n-grams.
     """
     known = docs.where(col(doc).isNotNull() & col(text).isNotNull() & col(lang).isNotNull() & ~held_out(col(doc)))
-    sample = bounded_sample(known.select(col(doc).alias("id"), col(text).alias("text"), col(lang).alias("lang")), rows, seed, "id")
+    known = known.select(col(doc).alias("id"), col(text).alias("text"), col(lang).alias("lang"))
+    per = saved(known.groupBy("lang").agg(F.count("*").alias("n")), "lang-rows")
+    share = F.lit(rows / max(1, per.agg(F.sum("n")).first()[0] or 0))
+    part = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(2**31)) / 2**31
+    sample = known.join(per, "lang").where(part < F.greatest(share, each / F.col("n")))
     counts = (sample.select("text", "lang").mapInArrow(_count, "lang string, what string, n long")
               .groupBy("what", "lang").agg(F.sum("n").alias("n")))
     counts = counts.groupBy("what").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))

@@ -159,6 +159,21 @@ def test_language_backs_off_to_shorter_grams():
         assert s(f"then xx{'y' * i} the") == langid.Scorer(m)(f"then xx{'y' * i} the")
 
 
+def test_every_language_is_learned(spark):
+    """A language with few rows is learned beside large ones, and takes none of theirs."""
+    import random
+    r = random.Random(2)
+    make = lambda letters: " ".join("".join(r.choice(letters) for _ in range(r.randint(3, 7))) for _ in range(40))
+    langs = ["aa"] * 1500 + ["bb"] * 1500 + ["cc"] * 8
+    docs = spark.createDataFrame([(i, make({"aa": "abcdefg", "bb": "defghijk", "cc": "qrstuv"}[x]), x) for i, x in enumerate(langs)],
+                                 "doc_id long, text string, lang string")
+    model = langid.train(docs, rows=60)
+    assert model.langs == ["aa", "bb", "cc"]
+    got = {q.doc_id: q.lang_pred for q in langid.identify(docs, model).collect()}
+    assert [got[i] for i in range(3000, 3008)] == ["cc"] * 8
+    assert sum(got[i] == x for i, x in enumerate(langs)) >= 0.99 * len(langs)
+
+
 def test_toxicity_grammar():
     g = toxicity.Grammar(dict.fromkeys(toxicity.INSULTS, 3.0), {"lowei": 2.0})
     s = g.strength
