@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import col, held, sliced, table, unpacked, whole
+from rivulet.llm.common import col, held, saved, sliced, table, unpacked, whole
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Bytes to bytes: A-Z to a-z, other ASCII that is no letter or digit to a blank.
@@ -80,22 +80,32 @@ def _scan(batches, key, windows, last):
         yield pa.RecordBatch.from_arrays([t.column(0), *made], ["id", *_SCANNED.names])
 
 
+def _cut(batches, window):
+    """(item, text) → its windows: (item, text of the window)."""
+    for t in sliced(batches):
+        rows = []
+        for item, text in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
+            words = [w.decode("latin-1") for w in _words(text)]
+            rows += [(item, x) for x in {" ".join(words[i:i + window]) for i in range(max(1, len(words) - window + 1) if words else 0)}]
+        items, texts = zip(*rows) if rows else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(texts, pa.string())], ["item", "text"])
+
+
 def blocks_of(benchmark: DataFrame, item: str, text: str, window: int, block_chars: int):
-    """Windows of the benchmark in blocks of about ``block_chars`` characters: (text, items) lists.
+    """(is it the last, windows) of each block: about ``block_chars`` characters of the benchmark as (text, items) lists.
 
-    The total length is taken first, so no block that reaches the driver
-    (and is broadcast) is larger, up to the luck of the hash.
+    Windows are cut and put together on the executors and written by block. The total length is taken
+    first, so no block that reaches the driver (and is broadcast) is larger, up to the luck of the
+    hash, and the driver reads one block at a time.
     """
     b = benchmark.select(col(item).cast("string").alias("item"), col(text).alias("text")).where("text is not null")
     total = b.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block_chars) or 1
+    windows = (b.mapInArrow(partial(_cut, window=window), "item string, text string").groupBy("text")
+               .agg(F.collect_set("item").alias("items")))
+    windows = saved(windows.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")), "benchmark-windows")
     for k in range(n):
-        windows: dict[str, set] = {}
-        for r in b.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).toLocalIterator():
-            words = [w.decode("latin-1") for w in _words(r.text)]
-            for i in range(max(1, len(words) - window + 1) if words else 0):
-                windows.setdefault(" ".join(words[i:i + window]), set()).update([r.item] if r.item is not None else [])
-        yield sorted((t, sorted(x)) for t, x in windows.items())
+        yield k == n - 1, sorted((r.text, sorted(r.items)) for r in windows.where(F.col("block") == k).toLocalIterator())
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, doc: str = "doc_id", text: str = "text",
@@ -114,9 +124,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc: str = "doc_id",
     spark = docs.sparkSession
     d = docs.select(col(doc).alias("id"), col(text).alias("text"))
     kind = d.schema["id"].dataType.simpleString()
-    blocks = list(blocks_of(benchmark, item, item_text, window, block_chars))
-    for k, windows in enumerate(blocks):
-        last = k == len(blocks) - 1
+    for last, windows in blocks_of(benchmark, item, item_text, window, block_chars):
         scan = partial(_scan, key=uuid.uuid4().hex, windows=spark.sparkContext.broadcast(windows), last=last)
         d = d.mapInArrow(scan, f"id {kind}, text string, n_words long, hits array<int>, items array<string>, "
                                "spans array<struct<start:int,end:int>>")

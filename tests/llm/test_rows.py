@@ -41,6 +41,17 @@ def test_contamination_against_brute_force(spark, odd_docs):
         assert all(r.contaminated == (r.n_hit > 0 and 20 * r.n_hit >= r.n_words) for r in got)
 
 
+def test_benchmark_windows_are_not_cut_by_the_driver(spark, monkeypatch):
+    """The driver holds one block of windows at a time and cuts none."""
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(6)]
+    docs = spark.createDataFrame([(i, f"start {t} end") for i, t in items] + [(9, "clean")], "doc_id long, text string")
+    monkeypatch.setattr(decontaminate, "_words", None)  # in this process only, not in the workers
+    blocks = decontaminate.blocks_of(spark.createDataFrame(items, BENCH), "item_id", "text", 13, 200)
+    assert next(iter(blocks))[0] is False
+    got = decontaminate.contamination(docs, spark.createDataFrame(items, BENCH), block_chars=200).collect()
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in got} == {**{i: (30, 1) for i in range(6)}, 9: (0, 0)}
+
+
 def test_contamination_spans_are_of_the_original(spark):
     docs = spark.createDataFrame([(1, "Ünë  Big,\nRED dog; Ünë big red")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "big red dog"), (2, "ünë big")], BENCH)
