@@ -209,7 +209,9 @@ def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets
     ranged, n, large = with_ranges(df, keys, order_col, n_buckets, rows_per_bucket)
     key_col = F.struct(*[column(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
     b = ranged.withColumn(_KEY, key_col)
-    part = [_KEY, _BUCKET]
+    if not large:  # the range is 0 everywhere: one shuffle on the key alone
+        b = b.drop(_BUCKET)
+    part = [_KEY, _BUCKET] if large else [_KEY]
     w_order = Window.partitionBy(*part).orderBy(column(order_col))
     w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.repartition(int(tasks), *part) if tasks else b

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sample_tables import SF_SMALL
 from rivulet.plans.catalogue import QUERIES as CATALOGUE
 from rivulet.plans.oracles import ORACLES
 

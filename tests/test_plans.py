@@ -1,6 +1,6 @@
 """Physical plan checks: one scan for routing, no single-task window, broadcast lookup."""
 
-from conftest import SF_SMALL
+from sample_tables import SF_SMALL
 
 import __spark_entry__ as E
 
