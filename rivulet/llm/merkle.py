@@ -166,8 +166,8 @@ def _down(batches):
 
 
 def _under(blocks: DataFrame, paths: DataFrame) -> DataFrame:
-    """Blocks beside the path above their root; each block has one."""
-    return blocks.join(paths.withColumnRenamed("idx", "block"), ["tree", "block"])
+    """Blocks beside the path above their root; each block has one. Both sides grow with the data, so none is broadcast."""
+    return blocks.hint("merge").join(paths.withColumnRenamed("idx", "block"), ["tree", "block"])
 
 
 def descend(blocks: list[DataFrame], paths: DataFrame) -> DataFrame:
@@ -232,7 +232,7 @@ def manifest(leaves: DataFrame) -> DataFrame:
     high, top = climb(names.drop("name"))
     paths = top.select("tree", "idx", F.array().cast(_PATH).alias("path"), F.lit(0).alias("own"))
     paths = _under(high[0], descend(high, paths)).mapInArrow(_down, f"tree string, idx long, path {_PATH}, own int")
-    paths = names.select("name", "idx").join(paths.select("idx", "path"), "idx")
+    paths = names.select("name", "idx").hint("merge").join(paths.select("idx", "path"), "idx")
     paths = saved(paths.select(F.col("name").alias("tree"), F.lit(0).cast("long").alias("idx"), "path", F.lit(0).alias("own")), "merkle-paths")
     low = _under(blocks[0], descend(blocks, paths))
     arrow = low.limit(0).select("nodes").toArrow().schema.field("nodes").type.value_type.field("id").type
