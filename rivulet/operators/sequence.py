@@ -6,8 +6,8 @@ holds a third of the data means one task holds a third of the data. Here the
 same numbers are computed with large keys cut into ranges, by one plan for
 every input size:
 
-1. *Sample.* After a row count, one seeded, column-pruned sample of bounded
-   size (about 100 rows per range) shows which keys hold more than one
+1. *Sample.* One column-pruned pass gives the row count and a bounded
+   sample (:mod:`.sampling`), which shows which keys hold more than one
    range's share of the rows, and where to cut them. There are never more
    such keys than ranges.
 2. *Ranges.* Rows of a large key get the number of their range: the key's
@@ -29,22 +29,24 @@ to itself (G3). The order column should be unique and not null for dense IDs
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.conditions import column
 from ..session import shuffle_partitions
+from .sampling import sampled
 
 # Rows per range: 1e12 rows → 1e5 ranges of 1e7 rows (a window sort spills).
 ROWS_PER_BUCKET = 10_000_000
-# Rows sampled per range to find large keys and place the cuts.
-SAMPLES_PER_BUCKET = 100
-SAMPLE_SEED = 17
-# Strings are placed between this many sampled values (see _string_key).
+# A range of fewer rows is not worth a task.
+LEAST_ROWS = 100
+# Strings are placed between this many sampled values (see _string_key); of a sampled string only the start is kept.
 PIVOTS = 64
-PIVOT_SAMPLE = 20_000
+PREFIX = 256
 
 _KEY = "__rv_key"
 _BUCKET = "__rv_bucket"
@@ -92,16 +94,25 @@ def _pivots(values: list[str]) -> list[str]:
     return [v[i * (len(v) - 1) // (PIVOTS - 1)] for i in range(PIVOTS)]
 
 
-def _order_key(df: DataFrame, name: str, n: int) -> Column:
-    """A monotone double Column for the order column (ties allowed).
+def _string_place(values, pivots: list[str]) -> np.ndarray:
+    """The same number as :func:`_string_key`, of sampled strings."""
+    raw = [p.encode("utf-8") for p in pivots]
+    skips = [0, *(_common_prefix(a, b) for a, b in zip(pivots, pivots[1:])), 0]
+    out = []
+    for v in values:
+        v = v.encode("utf-8")
+        place = bisect_right(raw, v)
+        out.append(place + int.from_bytes(v[skips[place]:skips[place] + 6].ljust(6, b"\0"), "big") / 2**48)
+    return np.array(out, np.float64)
+
+
+def _order_number(df: DataFrame, name: str) -> Column:
+    """A monotone double Column for an order column that is no string (ties allowed).
 
     It only decides the range; the exact order inside a range comes from the
     real column.
     """
     dtype, c = df.schema[name].dataType, column(name)
-    if isinstance(dtype, T.StringType):
-        few = df.select(c.alias("v")).where("v is not null").sample(min(1.0, PIVOT_SAMPLE / max(n, 1)), SAMPLE_SEED)
-        return _string_key(c, _pivots([r.v for r in few.limit(2 * PIVOT_SAMPLE).collect()]))
     if isinstance(dtype, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c).cast("double")
     if isinstance(dtype, T.TimestampType):
@@ -118,40 +129,55 @@ def with_ranges(df: DataFrame, keys, order_col: str, n_buckets: int | None = Non
     """``(df with bucket_col, rows, large keys)``: the range of each row of a large key, 0 for all other rows.
 
     The ranges of a key follow its order; no range holds much more than its
-    share of the rows, however few keys there are.
+    share of the rows, however few keys there are. One pass over the key and
+    order columns gives the row count and a bounded sample; large keys and
+    cuts are read off the sample on the driver.
     """
     from pyspark.ml.feature import Bucketizer
 
-    n = df.count()
-    buckets = int(n_buckets or max(shuffle_partitions(df.sparkSession), math.ceil(n / rows_per_bucket)))
-    if n == 0 or buckets <= 1:
-        return df.withColumn(bucket_col, F.lit(0)), n, 0
     hashed = F.xxhash64(*[column(k) for k in keys]) if keys else F.lit(0).cast("long")
-    fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / n)
-    sample = df.select(hashed.alias(_HASH), _order_key(df, order_col, n).alias(_ORD))
-    sample = sample.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED) if fraction < 1.0 else sample
-    large = (sample.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n"), F.min(_ORD).alias("lo"), F.max(_ORD).alias("hi"))
-             .where(F.col("n") > fraction * n / buckets).orderBy(_HASH).collect())
+    text = isinstance(df.schema[order_col].dataType, T.StringType)
+    place_of = F.substring(column(order_col), 1, PREFIX) if text else _order_number(df, order_col)
+    n, sample = sampled(df.select(hashed.alias(_HASH), place_of.alias(_ORD)))
+    buckets = int(n_buckets or min(max(shuffle_partitions(df.sparkSession), math.ceil(n / rows_per_bucket)), -(-n // LEAST_ROWS)))
+    large = []
+    if n and buckets > 1:
+        weights = sample.groupby(_HASH)["weight"].agg(["sum", "size"])
+        large = sorted(weights.index[(weights["sum"] > n / buckets) & (weights["size"] > 1)].tolist())
     if not large:
         return df.withColumn(bucket_col, F.lit(0)), n, 0
-    known = df.sparkSession.createDataFrame([(r[_HASH], i, r["lo"], r["hi"]) for i, r in enumerate(large)],
-                                            f"{_HASH} long, {_NUMBER} int, __rv_lo double, __rv_hi double")
+    sample = sample[sample[_HASH].isin(large)]
+    if text:
+        seen = sample[_ORD].notna().to_numpy()
+        pivots = _pivots(sample[_ORD][seen].tolist())
+        number = np.full(len(sample), np.nan)
+        number[seen] = _string_place(sample[_ORD][seen], pivots)
+        order_key = _string_key(column(order_col), pivots)
+    else:
+        number, order_key = sample[_ORD].to_numpy(np.float64), _order_number(df, order_col)
+    own, weight = sample[_HASH].to_numpy(), sample["weight"].to_numpy()
+    rows, splits = [], set(map(float, range(1, len(large))))
+    for i, h in enumerate(large):
+        mine = (own == h) & np.isfinite(number)
+        v, w = number[mine], weight[mine]
+        lo, hi = (float(v.min()), float(v.max())) if len(v) else (0.0, 0.0)
+        rows.append((h, i, lo, hi))
+        if hi > lo:  # cuts at every half of a range's share, as ranges can meet in one task
+            order = np.argsort(v, kind="stable")
+            share = np.floor(np.cumsum(w[order]) / (n / buckets / 2))
+            at = (v[order][1:][share[1:] > share[:-1]] - lo) / (hi - lo)
+            splits |= {i + min(float(x), 0.999999999) for x in at}
+    splits -= {0.0}
+    if not splits:  # one key whose order values are all alike to the sample
+        return df.withColumn(bucket_col, F.lit(0)), n, 0
+    known = df.sparkSession.createDataFrame(rows, f"{_HASH} long, {_NUMBER} int, __rv_lo double, __rv_hi double")
     place = (F.col(_ORD) - F.col("__rv_lo")) / (F.col("__rv_hi") - F.col("__rv_lo"))
     # the key's number, and where between its least and largest sampled value the row lies: below 1, nulls first
     place = F.least(F.greatest(F.coalesce(F.nanvl(place, F.lit(1.0)), F.lit(0.0)), F.lit(0.0)), F.lit(0.999999999))
     place = F.when(F.col("__rv_hi") > F.col("__rv_lo"), place).otherwise(0.0) + F.col(_NUMBER)
-
-    def placed(d: DataFrame) -> DataFrame:  # there are fewer large keys than ranges, so they fit every task
-        return d.join(F.broadcast(known), _HASH, "left").withColumn(_ORD, place)
-
-    probs = [j / buckets for j in range(1, buckets)]
-    cuts = (placed(sample).where(F.col(_ORD).isNotNull())
-            .agg(F.percentile_approx(_ORD, probs, max(10_000, 4 * buckets)).alias("q")).first()["q"] or [])
-    splits = sorted({*cuts, *map(float, range(len(large)))} - {0.0})
-    if not splits:  # one key whose order values are all alike to the sample
-        return df.withColumn(bucket_col, F.lit(0)), n, 0
-    cut = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=_ORD, outputCol=bucket_col, handleInvalid="keep")
-    out = placed(df.withColumn(_HASH, hashed).withColumn(_ORD, _order_key(df, order_col, n)))
+    cut = Bucketizer(splits=[-math.inf, *sorted(splits), math.inf], inputCol=_ORD, outputCol=bucket_col, handleInvalid="keep")
+    out = df.withColumn(_HASH, hashed).withColumn(_ORD, order_key)
+    out = out.join(F.broadcast(known), _HASH, "left").withColumn(_ORD, place)  # there are fewer large keys than ranges
     out = cut.transform(out).withColumn(bucket_col, F.when(F.col(_NUMBER).isNull(), 0).otherwise(F.col(bucket_col).cast("int") + 1))
     return out.drop(_HASH, _ORD, _NUMBER, "__rv_lo", "__rv_hi"), n, len(large)
 
@@ -159,16 +185,22 @@ def with_ranges(df: DataFrame, keys, order_col: str, n_buckets: int | None = Non
 def _running(fn: str, c: str | None, w_rows, w_order) -> Column:
     if fn == "count":
         return F.row_number().over(w_order).cast("long")
+    if fn == "last":
+        return F.last(column(c), ignorenulls=True).over(w_rows)
     return {"sum": F.sum, "min": F.min, "max": F.max}[fn](column(c)).over(w_rows)
 
 
-def _total(fn: str, c: str | None) -> Column:
+def _total(fn: str, c: str | None, order: list[str]) -> Column:
     if fn == "count":
         return F.count(F.lit(1))
+    if fn == "last":  # max_by passes over rows whose order is null
+        return F.max_by(column(c), F.when(column(c).isNotNull(), F.struct(*[column(o) for o in order])))
     return {"sum": F.sum, "min": F.min, "max": F.max}[fn](column(c))
 
 
 def _carry(fn: str, name: str, w_prev) -> Column:
+    if fn == "last":
+        return F.last(F.col(name), ignorenulls=True).over(w_prev)
     agg = F.sum if fn in ("count", "sum") else {"min": F.min, "max": F.max}[fn]
     return agg(F.col(name)).over(w_prev)
 
@@ -179,30 +211,33 @@ def _merge(fn: str, carry: Column, local: Column) -> Column:
     if fn == "sum":
         # null only while no value has been seen, as SQL's running sum
         return F.when(carry.isNull(), local).when(local.isNull(), carry).otherwise(carry + local)
+    if fn == "last":
+        return F.coalesce(local, carry)
     if fn == "min":
         return F.least(carry, local)
     return F.greatest(carry, local)
 
 
 def running_values(df: DataFrame, keys, order_col, aggs: dict, n_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None) -> DataFrame:
-    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket, tasks)[0]
+                   rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None, ties=()) -> DataFrame:
+    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket, tasks, ties)[0]
 
 
 def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets: int | None = None,
-                           rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None):
+                           rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None, ties=()):
     """Add running aggregates per key in ``order_col`` order (frame: rows up to the current one).
 
     ``aggs`` maps an output name to ``"count"`` or to ``(fn, column)`` with
-    fn in ``sum``, ``min``, ``max``. Equal to
-    ``fn(column) OVER (PARTITION BY keys ORDER BY order_col ROWS UNBOUNDED PRECEDING)``.
+    fn in ``sum``, ``min``, ``max``, ``last`` (the last value that is not
+    null). Equal to ``fn(column) OVER (PARTITION BY keys ORDER BY order_col,
+    ties ROWS UNBOUNDED PRECEDING)``; ``ties`` are further order columns.
     ``tasks`` asks for that many partitions of the records. Returns ``(DataFrame, rows)``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     spec = {}
     for name, a in aggs.items():
         fn, c = (a, None) if isinstance(a, str) else a
-        if fn not in ("count", "sum", "min", "max"):
+        if fn not in ("count", "sum", "min", "max", "last"):
             raise ValueError(f"running {fn} is not supported")
         spec[name] = (fn, c)
 
@@ -212,7 +247,8 @@ def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets
     if not large:  # the range is 0 everywhere: one shuffle on the key alone
         b = b.drop(_BUCKET)
     part = [_KEY, _BUCKET] if large else [_KEY]
-    w_order = Window.partitionBy(*part).orderBy(column(order_col))
+    order = [order_col, *ties]
+    w_order = Window.partitionBy(*part).orderBy(*[column(o) for o in order])
     w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.repartition(int(tasks), *part) if tasks else b
     if not large:
@@ -222,11 +258,11 @@ def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets
 
     for name, (fn, c) in spec.items():
         local = local.withColumn(f"__l_{name}", _running(fn, c, w_rows, w_order))
-    totals = b.where(F.col(_BUCKET) > 0).groupBy(*part).agg(*[_total(fn, c).alias(f"__t_{name}") for name, (fn, c) in spec.items()])
+    totals = b.where(F.col(_BUCKET) > 0).groupBy(*part).agg(*[_total(fn, c, order).alias(f"__t_{name}") for name, (fn, c) in spec.items()])
     w_prev = Window.partitionBy(_KEY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(*part, *[_carry(fn, f"__t_{name}", w_prev).alias(f"__o_{name}")
                                      for name, (fn, _) in spec.items()])
-    out = local.join(F.broadcast(carries), on=part, how="left")  # at most a row per range and large key
+    out = local.join(F.broadcast(carries), on=part, how="left")  # at most a row per range of a large key
     for name, (fn, _) in spec.items():
         out = out.withColumn(name, _merge(fn, F.col(f"__o_{name}"), F.col(f"__l_{name}")))
     drop = [_KEY, _BUCKET] + [f"__{p}_{name}" for name in spec for p in ("l", "o")]

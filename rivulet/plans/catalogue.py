@@ -23,6 +23,7 @@ from ..streaming.state import keyed_counts, latest_counts
 from ..streaming.topology import run_flow, total_counts
 from ..session import scratch_path
 from .flow import Flow
+from .timeline import QUERIES as TIMELINE
 
 # Fixed test parameters (our definitions, shared with the oracle SQL).
 COPIES = 4
@@ -361,4 +362,5 @@ QUERIES = {
     "array_calibrate": array_calibrate,
     "array_despike": array_despike,
     "array_interpolate": array_interpolate,
+    **TIMELINE,
 }

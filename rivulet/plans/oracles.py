@@ -8,6 +8,8 @@ its rounding) into ``0.0``, the value Spark's decimal rounding gives.
 
 from __future__ import annotations
 
+from .timeline import ORACLES as TIMELINE
+
 _RUNNING_ID = ("SELECT event_id, CAST(user_id % 4 AS INT) AS copy, "
                "row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS id FROM events")
 
@@ -114,4 +116,5 @@ ORACLES = {
     "array_interpolate": (
         "SELECT vec_id, pos, round(CASE WHEN pos IN (3, 17, 40) THEN (a+b)/2 ELSE v END, 6) + 0.0 AS v "
         f"FROM ({_NEIGHBOURS})"),
+    **TIMELINE,
 }

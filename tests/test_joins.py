@@ -1,0 +1,110 @@
+"""Joins by order against nested loops in Python."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rivulet.operators.joins import asof_join, interval_join, overlap_join
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _sides(spark, n=3000, seed=3):
+    """Half of both sides has one key; equal times, null keys and null times occur."""
+    rnd = random.Random(seed)
+    key = lambda: rnd.choice(["hot", "hot", "hot", f"k{rnd.randint(0, 30)}", f"k{rnd.randint(0, 30)}", None])
+    time = lambda: None if rnd.random() < 0.02 else rnd.randint(0, n)
+    left = [(i, key(), time()) for i in range(n)]
+    right = [(key(), time(), rnd.randint(0, 9)) for _ in range(n // 3)]
+    return left, right, spark.createDataFrame(left, "i long, k string, t long").repartition(4), spark.createDataFrame(right, "k string, t long, v int")
+
+
+def _asof(left, right, forward=False, tolerance=None):
+    out = []
+    for i, k, t in left:
+        best = None
+        for rk, rt, v in right:
+            if k is None or t is None or rk != k or rt is None or (rt < t if forward else rt > t) or tolerance is not None and abs(rt - t) > tolerance:
+                continue
+            rank = (-rt if forward else rt, v)
+            if best is None or rank > best[0]:
+                best = (rank, rt, v)
+        out.append((i, best and best[1], best and best[2]))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("forward,tolerance", [(False, None), (True, None), (False, 20), (True, 20)])
+def test_asof_join(spark, forward, tolerance):
+    left, right, l, r = _sides(spark)
+    if forward:
+        l, r = l.withColumn("t", F.col("t").cast("int")), r.withColumn("t", F.col("t").cast("int"))
+    out = asof_join(l, r, "k", "t", "t", tolerance=tolerance, direction="forward" if forward else "backward", n_buckets=8)
+    assert out.columns == ["i", "k", "t", "t_right", "v"]
+    assert sorted((tuple(x) for x in out.select("i", "t_right", "v").collect()), key=repr) == _asof(left, right, forward, tolerance)
+
+
+def test_asof_spreads_a_large_key(spark):
+    """The records of a key that holds half of the rows are worked on by several tasks; an inner join drops the rest."""
+    left, right, l, r = _sides(spark)
+    out = asof_join(l, r, "k", "t", "t", n_buckets=8)
+    parts = out.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1
+    inner = asof_join(l, r, {"k": "k"}, "t", "t", how="inner")
+    assert inner.count() == sum(x[1] is not None for x in _asof(left, right))
+
+
+def test_asof_of_long_times(spark):
+    """Long integers that doubles cannot tell apart are kept in their exact order."""
+    b = 2**53
+    l = spark.createDataFrame([(1, b + 2), (2, b + 1), (3, b), (4, b - 1)], "i int, t long")
+    r = spark.createDataFrame([(b, "x"), (b + 1, "y")], "t long, v string")
+    assert sorted((x.i, x.v) for x in asof_join(l, r, [], "t", "t").collect()) == [(1, "y"), (2, "y"), (3, "x"), (4, None)]
+    with pytest.raises(TypeError):
+        asof_join(l, r, [], "t", "t", direction="forward")
+
+
+def _intervals(n, seed, longest=60):
+    rnd = random.Random(seed)
+    out = [(i, rnd.choice(["a", "b", None]), lo := rnd.randint(-500, 500), lo + rnd.choice([-3, 0, 1, rnd.randint(0, longest)])) for i in range(n)]
+    return out + [(n, "a", -10**6, 10**6), (n + 1, "a", None, 5), (n + 2, "b", 5, None)]  # a very long one, and open bounds
+
+
+def test_interval_join(spark):
+    rnd = random.Random(5)
+    pts = [(i, rnd.choice(["a", "b", None]), None if i % 50 == 0 else rnd.randint(-520, 520)) for i in range(800)]
+    ivs = _intervals(300, 6)
+    p, v = spark.createDataFrame(pts, "i int, k string, at int"), spark.createDataFrame(ivs, "j int, k string, lo int, hi int")
+    for closed in ("left", "both"):
+        want = sorted((i, j) for i, k, at in pts for j, q, lo, hi in ivs if k is not None and k == q and None not in (at, lo, hi)
+                      and (lo <= at < hi or closed == "both" and lo <= at <= hi))
+        out = interval_join(p, v, "at", "lo", "hi", on="k", closed=closed)
+        assert sorted((x.i, x.j) for x in out.collect()) == want
+    plan = _plan(out)
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and out.columns == ["i", "k", "at", "j", "lo", "hi"]
+    assert interval_join(p, v.limit(0), "at", "lo", "hi").count() == 0 == interval_join(p.limit(0), v, "at", "lo", "hi").count()
+
+
+def test_long_intervals_make_no_more_copies(spark):
+    """The rows that reach the join do not grow with the intervals' lengths."""
+    from rivulet.operators.joins import _size, _tiles
+
+    v = spark.createDataFrame([(i, float(i), float(i) + 10.0 ** (i % 12)) for i in range(120)], "j int, lo double, hi double")
+    copies = v.withColumn("s", _size(F.col("hi") - F.col("lo"))).withColumn("t", _tiles(F.col("lo"), F.col("hi"), F.col("s")))
+    assert copies.count() <= 2 * 120
+
+
+def test_overlap_join(spark):
+    a, b = _intervals(150, 7), _intervals(150, 8, longest=300)
+    ok = lambda r: None not in r[1:] and r[2] < r[3]
+    want = sorted((x[0], y[0]) for x in a for y in b if ok(x) and ok(y) and x[1] == y[1] and x[2] < y[3] and y[2] < x[3])
+    l, r = spark.createDataFrame(a, "i int, k string, lo int, hi int"), spark.createDataFrame(b, "j int, k string, lo int, hi int")
+    out = overlap_join(l, r, ("lo", "hi"), ("lo", "hi"), on="k")
+    assert sorted((x.i, x.j) for x in out.collect()) == want
+    assert out.columns == ["i", "k", "lo", "hi", "j", "lo_right", "hi_right"]
+    plan = _plan(out)
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    with_self = overlap_join(l, l, ("lo", "hi"), ("lo", "hi"), on="k", suffix="_2")
+    assert with_self.where("i = i_2").count() == sum(map(ok, a))
