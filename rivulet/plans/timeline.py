@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.frames import distinct_counts, sliding, top
 from ..operators.joins import asof_join, interval_join, overlap_join
 from ..operators.sessions import sessions
 from ..streaming.eventtime import results, running_stream, session_stream, stream_join
+from ..streaming.processor import OpenRecords, process_stream
 from ..streaming.runs import stream_table
 
 GAP = "30 minutes"
@@ -79,9 +81,50 @@ def stream_interval_join(spark, sf_dir):
     return results(spark, out).select("event_id", "o_orderkey")
 
 
+def sliding_rows(spark, sf_dir):
+    """Sum, in cents, and number of the last 100 events of a key."""
+    events = _read(spark, sf_dir, "events").selectExpr("event_id", "ts", "CAST(round(value * 100) AS BIGINT) AS cents", _KEY.format("user_id"))
+    out = sliding(events, "key", "ts", {"total": ("sum", "cents"), "items": ("count", "cents")}, rows=100, ties=["event_id"])
+    return out.select("event_id", "total", "items")
+
+
+def sliding_hour(spark, sf_dir):
+    """Number and largest value of a key's events in the hour up to each event."""
+    events = _read(spark, sf_dir, "events").selectExpr("event_id", "ts", "value", _KEY.format("user_id"))
+    out = sliding(events, "key", "ts", {"items": ("count", "value"), "largest": ("max", "value")}, span="1 hour")
+    return out.select("event_id", "items", "largest")
+
+
+def top_per_key(spark, sf_dir):
+    """The five largest events of each key."""
+    events = _read(spark, sf_dir, "events").selectExpr("event_id", "value", _KEY.format("user_id"))
+    return top(events, "key", [F.col("value").desc(), F.col("event_id")], 5).select("key", "event_id", "value")
+
+
+def top_with_ties(spark, sf_dir):
+    """Events of the three latest times of each type, and all that share them."""
+    events = _read(spark, sf_dir, "events").selectExpr("event_type", "event_id", "date_trunc('day', ts) AS day")
+    return top(events, "event_type", [F.col("day").desc()], 3, ties=True).select("event_type", "event_id")
+
+
+def distinct_users(spark, sf_dir):
+    """Different users per event type."""
+    return distinct_counts(_read(spark, sf_dir, "events"), "event_type", "user_id", "users")
+
+
+def stream_open_records(spark, sf_dir):
+    """Each user's open record, sent on by a timer when six hours have passed without an event, or by the closing step."""
+    stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1).select("user_id", "ts")
+    _, out = process_stream(stream, "user_id", "ts", OpenRecords(6 * 3600 * 10**6, "user_id bigint"), delay="31 days")
+    at = "timestampadd(MICROSECOND, {0}_us, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS {0}_event"
+    return spark.read.parquet(out).selectExpr("user_id", at.format("first"), at.format("last"), "items")
+
+
 QUERIES = {"join_asof": join_asof, "join_points_in_intervals": join_points_in_intervals, "join_overlap": join_overlap,
            "session_windows": session_windows, "stream_sessions": stream_sessions, "stream_running": stream_running,
-           "stream_interval_join": stream_interval_join}
+           "stream_interval_join": stream_interval_join, "sliding_rows": sliding_rows, "sliding_hour": sliding_hour,
+           "top_per_key": top_per_key, "top_with_ties": top_with_ties, "distinct_users": distinct_users,
+           "stream_open_records": stream_open_records}
 
 _PLACED = "TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 7919 % 2592000)"
 _O = (f"(SELECT o_orderkey, o_custkey, {_PLACED} AS placed, {_PLACED} + to_hours(CASE WHEN o_custkey % 48 = 0 THEN 1440 ELSE o_custkey % 48 END) "
@@ -109,4 +152,20 @@ ORACLES = {
         "FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"),
     "stream_interval_join": (
         f"SELECT event_id, o_orderkey FROM events JOIN {_O} ON user_id = o_custkey AND ts >= placed AND ts <= placed + INTERVAL 6 HOUR"),
+    "sliding_rows": (
+        f"SELECT event_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS total, count(value) OVER w AS items FROM {_E} "
+        "WINDOW w AS (PARTITION BY key ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)"),
+    "sliding_hour": (
+        f"SELECT event_id, count(value) OVER w AS items, max(value) OVER w AS largest FROM {_E} "
+        "WINDOW w AS (PARTITION BY key ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)"),
+    "top_per_key": (
+        f"SELECT key, event_id, value FROM {_E} QUALIFY row_number() OVER (PARTITION BY key ORDER BY value DESC, event_id) <= 5"),
+    "top_with_ties": (
+        "SELECT event_type, event_id FROM events QUALIFY rank() OVER (PARTITION BY event_type ORDER BY date_trunc('day', ts) DESC) <= 3"),
+    "distinct_users": "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1",
+    "stream_open_records": (
+        "SELECT user_id, min(ts) AS first_event, max(ts) AS last_event, count(*) AS items FROM "
+        "(SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM "
+        "(SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events)) "
+        "GROUP BY user_id, n"),
 }

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..functions.conditions import column
+from ..operators.frames import top
 from ..operators.sequence import dense_id
 
 
@@ -22,12 +22,12 @@ def item_limit(df: DataFrame, limit: int, order_by: str | None = None, copy_col:
 
     With ``order_by`` the first records in that order are kept (every copy
     applies the limit on its own): each task keeps its own first ``limit``
-    records of a copy before the shuffle, so only those are moved. Without it, any ``limit`` records will
-    do and a plain ``limit`` stops reading early.
+    records of a copy, and these are merged in two steps
+    (:func:`rivulet.operators.frames.top`). Without it, any ``limit`` records
+    will do and a plain ``limit`` stops reading early.
     """
     if order_by is None:
         if copy_col is None:
             return df.limit(int(limit))
         raise ValueError("a per-copy limit needs order_by")
-    rank = F.row_number().over(Window.partitionBy(*([column(copy_col)] if copy_col else [F.lit(0)])).orderBy(column(order_by)))
-    return df.withColumn("__item", rank).where(F.col("__item") <= int(limit)).drop("__item")
+    return top(df, copy_col or [], [column(order_by)], int(limit))

@@ -13,45 +13,24 @@ record only as long as a partner can still come.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.conditions import column
+from ..functions.times import span, ticks
+from ..operators.frames import distinct_sketches, merged_distinct
 from ..operators.joins import interval_join
 from ..operators.sequence import _merge, _total, running_values
 from ..operators.sessions import merged_sessions, sessions
 from ..session import scratch_path
-from .runs import _EPOCH_NTZ, _run, _start
+from .runs import _run, _start
 from .versions import KeyedVersions, Versions, drop_folder
 
 _CLOCK = "passed long, latest long, late long, held long"
 
 
-def ticks(schema: T.StructType, name: str) -> Column:
-    """An event time as a long: microseconds for times, the number itself for integers."""
-    kind, c = schema[name].dataType, column(name)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(kind, T.IntegralType):
-        return c.cast("long")
-    raise TypeError(f"no event time: {name} is {kind.simpleString()}")
-
-
-def span(spark: SparkSession, length) -> int:
-    """A length of time in ticks: a number, a timedelta, or an interval text."""
-    if isinstance(length, dt.timedelta):
-        return length // dt.timedelta(microseconds=1)
-    if isinstance(length, str):
-        return spark.range(1).select(F.expr(f"unix_micros(timestamp_micros(0) + interval {length})")).first()[0]
-    return int(length)
-
-
 def results(spark: SparkSession, out: str) -> DataFrame:
     """All that the micro-batches and the closing step have written."""
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/rows")
@@ -202,6 +181,36 @@ def session_stream(stream: DataFrame, by, time: str, gap, aggs: dict | None = No
     return in_event_order(stream, time, each, delay, out=out, **run)
 
 
+def sketch_stream(stream: DataFrame, time: str, value: str, every: str = "1 hour", by=(), out: str | None = None, checkpoint: str | None = None,
+                  trigger: dict | None = None, wait: bool = True, timeout_s: float | None = None):
+    """Per micro-batch, window of event time and key: a mergeable sketch of the different values.
+
+    Nothing is late, and a batch that runs again replaces its sketches.
+    :func:`distinct_between` merges them over any stretch of windows.
+    """
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, "sketches")
+    checkpoint = checkpoint or f"{out}/checkpoint"
+    keys = [by] if isinstance(by, str) else list(by)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        windowed = batch.withColumn("window_start", F.window(column(time), every).start)
+        distinct_sketches(windowed, ["window_start", *keys], value).write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+
+    q = _start(stream.writeStream.foreachBatch(per_batch), trigger, checkpoint)
+    return (_run(q, timeout_s) if wait else q), out
+
+
+def distinct_between(spark: SparkSession, out: str, first=None, before=None, by=()) -> DataFrame:
+    """Estimated number of different values per key in the windows that start from ``first`` on and before ``before``."""
+    rows = results(spark, out)
+    if first is not None:
+        rows = rows.where(F.col("window_start") >= first)
+    if before is not None:
+        rows = rows.where(F.col("window_start") < before)
+    return merged_distinct(rows, by)
+
+
 _JOIN_CLOCK = "left_latest long, right_latest long, passed long, late long, left_held long, right_held long"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rivulet.operators.sessions import sessions
-from rivulet.streaming.eventtime import clock, in_event_order, join_clock, late_rows, results, running_stream, session_stream, stream_join
+from rivulet.streaming.eventtime import clock, distinct_between, in_event_order, join_clock, late_rows, results, running_stream, session_stream, sketch_stream, stream_join
 from rivulet.streaming.versions import KeyedVersions, Versions
 
 SCHEMA = "i long, k string, t long, v long"
@@ -151,3 +151,19 @@ def test_keyed_versions_read_a_bounded_log(spark, tmp_path):
         assert {r.k: r.n for r in state.read(v).collect()} == want
         assert len(state.paths(v)) <= 4
     assert len([p for p in (tmp_path / "s").iterdir() if p.is_dir()]) <= 14
+
+
+def test_sketches_of_batches_merge(spark, tmp_path):
+    """Different values over any stretch of windows, within three standard errors (1.04 / 64 each) of the exact number."""
+    rnd = random.Random(2)
+    schema = "i long, k string, ts timestamp_ntz, v long"
+    import datetime as dt
+    rows = [(i, rnd.choice("ab"), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 600)), rnd.randint(0, 3000)) for i in range(6000)]
+    _write(spark, str(tmp_path / "in"), _cut(rows, 3), schema)
+    _, out = sketch_stream(_stream(spark, str(tmp_path / "in"), schema), "ts", "v", by="k")
+    for first, before in ((None, None), (dt.datetime(2024, 1, 1, 2), dt.datetime(2024, 1, 1, 5))):
+        lit = lambda t: t and F.lit(str(t)).cast("timestamp_ntz")
+        got = {r.k: r["distinct"] for r in distinct_between(spark, out, first and lit(first), before and lit(before), by="k").collect()}
+        for k in "ab":
+            n = len({r[3] for r in rows if r[1] == k and (first is None or first <= r[2] < before)})
+            assert abs(got[k] - n) <= 3 * 1.04 / 64 * n
