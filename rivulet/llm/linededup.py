@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import Forest, col, components, saved, sliced, table, unpacked, whole
-from rivulet.llm.wordsets import lines_of, mix, text_keys
+from rivulet.llm.wordsets import by_line, lines_of, mix, text_keys
 
 CHUNK = 4096  # cells of the count table per row
 _POSTING = np.dtype([("w", "<u4"), ("n", "<u2"), ("at", "<u2"), ("k", "<u8"), ("p1", "<u8"), ("p2", "<u8")])
@@ -81,7 +81,7 @@ def _ordered(x, levels, num, den):
     """Words of each line from rare to frequent: (words, their lines, places, levels) of those in a prefix, and the order."""
     line = np.repeat(np.arange(len(x.no)), x.n)
     level = levels[(x.words & np.uint64(len(levels) - 1)).astype(np.int64)]
-    order = np.lexsort((x.words, level, line))
+    order = by_line(line, x.words, level)
     place = np.arange(len(order)) - x.cuts[line]
     pick = place < prefix(x.n, num, den)[line]
     pick &= x.n[line] * den >= num * (np.maximum(x.n[line], den // (den - num)))  # smaller sets are similar to equal ones only
@@ -158,7 +158,7 @@ def _links(rows, wide, num, den, side=None):
     n, at, w = rows["n"].astype(np.int64), rows["at"].astype(np.int64), rows["w"]
     p1, p2 = rows["p1"], rows["p2"]
     ids, label = np.unique(rows["k"], return_inverse=True)
-    forest, out, d = Forest(len(ids)), [], 0
+    forest, out, d, known = Forest(len(ids)), [], 0, 0
     mine, live = label.copy(), np.flatnonzero(np.r_[w[1:] == w[:-1], False])
     while len(live):  # pairs (i, i + d) of the same word, sizes ascending
         d += 1
@@ -178,11 +178,13 @@ def _links(rows, wide, num, den, side=None):
             far = np.bitwise_count(wide[long[i[both]]] ^ wide[long[j[both]]]).sum(1, dtype=np.int64)
             bad = both[far > n[i[both]] + n[j[both]] - 2 * least[both]]
             i, j = np.delete(i, bad), np.delete(j, bad)
-        if len(i):
-            for a, b in zip(label[i].tolist(), label[j].tolist()):
-                if forest.join(a, b):
-                    out.append((a, b))
-            mine = np.fromiter(map(forest.root, range(len(ids))), np.int64, len(ids))[label]
+        for a, b in zip(label[i].tolist(), label[j].tolist()):
+            if forest.join(a, b):
+                out.append((a, b))
+            else:
+                known += 1
+        if known > len(ids) // 4:  # looking up all roots pays once so many pairs were looked at in vain
+            mine, known = np.fromiter(map(forest.root, range(len(ids))), np.int64, len(ids))[label], 0
     a = ids[np.array(out, np.int64).reshape(-1, 2)].view(np.int64)
     return pa.table({"a": a[:, 0], "b": a[:, 1]})
 
@@ -224,9 +226,10 @@ def in_blocks(df: DataFrame, count: str, block: int, spread: str) -> DataFrame:
 
 
 def _bitmap(batches, bits):
+    """Places (id, line) → a bitmap of their hashes, in chunks."""
     m = np.zeros(1 << bits, bool)
     for t in batches:
-        m[t.column(0).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64((1 << bits) - 1)] = True
+        m[_place(t.column(0).to_numpy(zero_copy_only=False), t.column(1).to_numpy(zero_copy_only=False)) & np.uint64((1 << bits) - 1)] = True
     packed = np.packbits(m).reshape(-1, CHUNK)
     for c in np.flatnonzero(packed.any(1)):
         yield pa.RecordBatch.from_arrays([pa.array([int(c)], pa.int32()), pa.array([packed[c].tobytes()], pa.binary())],
@@ -238,18 +241,27 @@ def _or(key, t):
     return pa.table({"chunk": t["chunk"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
+def _place(ids: np.ndarray, no: np.ndarray) -> np.ndarray:
+    """A hash of a line's place: document id and line number."""
+    return mix(mix(ids.view(np.uint64).copy(), 4) ^ no.astype(np.uint64), 5)
+
+
 def _sets(batches, bitmap):
-    """(id, text) → class and words of lines whose class the bitmap holds."""
+    """(id, text) → class and words of the lines at places that the bitmap holds; only these are cut into words."""
     bitmap, seen = bitmap.value, set()
     size = np.uint64(len(bitmap) * 8 - 1)
     for t in sliced(batches):
-        for x in lines_of(t.column(1)):
-            cell = x.k1 & size
-            hit = bitmap[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1
+        ids = t.column(0).to_numpy(zero_copy_only=False)
+
+        def hit(doc, no):
+            cell = _place(ids[doc], no) & size
+            return bitmap[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1 > 0
+
+        for x in lines_of(t.column(1), hit):
             if len(seen) > 200_000:
                 seen.clear()
             out = []
-            for i in np.flatnonzero(hit).tolist():
+            for i in range(len(x.no)):
                 k = int(x.k1[i]), int(x.k2[i])
                 if k not in seen:
                     seen.add(k)
@@ -333,14 +345,16 @@ def similar_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n
         in_blocks(often.join(size, "w"), "count", 4096, "k").groupBy("w", "x", "y").applyInArrow(
             partial(_frequent, **same), "a long, b long"))
     comp = saved(components(edges).withColumnRenamed("id", "k1"), "line-groups")
-    chunks = comp.select("k1").mapInArrow(partial(_bitmap, bits=23), "chunk int, counts binary")
+    first = lines.groupBy("k1", "k2").agg(F.min(F.struct("id", "line_no")).alias("first"))
+    first = saved(first.select("k1", "k2", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line")),
+                  "line-classes")
+    # the first line of each class with candidates is where its words are read
+    places = first.join(comp.select("k1"), "k1").select("first_id", "first_line")
+    chunks = places.mapInArrow(partial(_bitmap, bits=23), "chunk int, counts binary")
     bitmap = np.zeros(1 << 20, np.uint8)
     for r in chunks.groupBy("chunk").applyInArrow(_or, "chunk int, counts binary").toLocalIterator():
         bitmap[r.chunk * CHUNK:(r.chunk + 1) * CHUNK] = np.frombuffer(r.counts, np.uint8)
     bitmap = spark.sparkContext.broadcast(bitmap)
-    first = lines.groupBy("k1", "k2").agg(F.min(F.struct("id", "line_no")).alias("first"))
-    first = saved(first.select("k1", "k2", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line")),
-                  "line-classes")
     sets = d.mapInArrow(partial(_sets, bitmap=bitmap), "k1 long, k2 long, words binary")
     sets = saved(sets.groupBy("k1", "k2").agg(F.first("words").alias("words")), "line-sets")
     sets = saved(sets.join(comp, "k1").join(first, ["k1", "k2"]), "line-sets")

@@ -10,6 +10,7 @@ import pyarrow as pa
 #: A-Z to a-z; tab, vertical tab, form feed and carriage return to a blank; line feeds stay.
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else 32 if b in (9, 11, 12, 13) else b for b in range(256)], np.uint8)
 _TAB = np.random.default_rng(64).integers(0, 2**64, (64, 256), np.uint64)  # tabulation hashing by place and byte
+_FLAT = _TAB.ravel()
 STEP = 2 << 20
 
 
@@ -38,6 +39,27 @@ class Lines:
         return np.diff(self.cuts)
 
 
+def by_line(line: np.ndarray, words: np.ndarray, level: np.ndarray | None = None) -> np.ndarray:
+    """The order by line, then level (a byte, if given), then word.
+
+    One sort of a key that holds the line, the level and the leading bits of
+    the word; only where such keys of different words are equal is the slower
+    sort by all three needed.
+    """
+    bits = np.uint64(max(1, int(line[-1]).bit_length() if len(line) else 1))
+    rest = np.uint64(64) - bits
+    key = line.astype(np.uint64) << rest
+    if level is None:
+        key |= words >> bits
+    else:
+        key |= (level.astype(np.uint64) << (rest - np.uint64(8))) | (words >> (bits + np.uint64(8)))
+    order = np.argsort(key)
+    key, w = key[order], words[order]
+    if np.any((key[1:] == key[:-1]) & (w[1:] != w[:-1])):
+        return np.lexsort((words, line) if level is None else (words, level, line))
+    return order
+
+
 def _hashed(raw: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the words in ``raw``; a word never crosses a ``start``."""
     b = _FOLD[raw]
@@ -50,11 +72,12 @@ def _hashed(raw: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     if not len(at):
         return at, np.empty(0, np.uint64)
     inside = np.flatnonzero(~gap)
-    place = inside - at[np.cumsum(first)[inside] - 1]
-    c = _TAB[place & 63, b[inside]]
+    starts = np.searchsorted(inside, at)  # of each word's bytes among all words' bytes
+    place = np.arange(len(inside)) - np.repeat(starts, np.diff(np.append(starts, len(inside)))) if len(at) else inside
+    c = _FLAT[((place & 63) << 8) | b[inside]]
     if place.max() >= 64:
         c = c * (np.uint64(2) * (place >> 6).astype(np.uint64) + np.uint64(1))
-    return at, mix(np.add.reduceat(c, np.searchsorted(inside, at)), 0)
+    return at, mix(np.add.reduceat(c, starts), 0)
 
 
 def _parse(raw: np.ndarray, start: np.ndarray, doc: np.ndarray, no: np.ndarray) -> Lines | None:
@@ -63,7 +86,7 @@ def _parse(raw: np.ndarray, start: np.ndarray, doc: np.ndarray, no: np.ndarray)
     if not len(at):
         return None
     line = np.searchsorted(start, at, "right") - 1
-    order = np.lexsort((h, line))
+    order = by_line(line, h)
     h, line = h[order], line[order]
     keep = np.r_[True, (h[1:] != h[:-1]) | (line[1:] != line[:-1])]
     h, line = h[keep], line[keep]
@@ -114,8 +137,11 @@ def text_keys(texts: pa.Array) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(x or b"", 42) for x in texts.cast(pa.binary()).to_pylist()], np.uint64).view(np.int64)
 
 
-def lines_of(texts: pa.Array):
-    """``Lines`` of a batch of texts, a few megabytes at a time; a long text is cut between lines."""
+def lines_of(texts: pa.Array, pick=None):
+    """``Lines`` of a batch of texts, a few megabytes at a time; a long text is cut between lines.
+
+    ``pick(doc, no)`` tells which lines are wanted; the others are not cut into words.
+    """
     raw, offsets = _bytes_of(texts)
     if not len(raw):
         return
@@ -124,6 +150,15 @@ def lines_of(texts: pa.Array):
     start = np.unique(start)
     doc = np.searchsorted(offsets, start, "right") - 1
     no = np.searchsorted(breaks, start, "right") - np.searchsorted(breaks, offsets[doc], "right")
+    if pick is not None:
+        few = np.flatnonzero(pick(doc, no))
+        if not len(few):
+            return
+        ends = np.append(start[1:], len(raw))[few]
+        size = ends - start[few]
+        at = np.cumsum(size) - size
+        raw = raw[np.arange(int(size.sum())) + np.repeat(start[few] - at, size)]
+        start, doc, no = at, doc[few], no[few]
     s = 0
     while s < len(start):
         e = max(s + 1, int(np.searchsorted(start, start[s] + STEP, "right")) - 1)
