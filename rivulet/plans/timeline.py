@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from ..operators.frames import distinct_counts, sliding, top
 from ..operators.joins import asof_join, interval_join, overlap_join
 from ..operators.sessions import sessions
+from ..operators.sinks import print_data
+from ..session import scratch_path
 from ..streaming.eventtime import results, running_stream, session_stream, stream_join
 from ..streaming.processor import OpenRecords, process_stream
-from ..streaming.runs import stream_table
+from ..streaming.runs import landed, stream_table
 
 GAP = "30 minutes"
 
@@ -120,11 +122,31 @@ def stream_open_records(spark, sf_dir):
     return spark.read.parquet(out).selectExpr("user_id", at.format("first"), at.format("last"), "items")
 
 
+def print_records(spark, sf_dir):
+    """Every record of the large events as a line of text, printed by the tasks that hold it and read back."""
+    path = scratch_path(spark, "printed")
+    large = _read(spark, sf_dir, "events").where("value > 10").select("event_id", "user_id", "event_type")
+    print_data(large, path)
+    return spark.read.text(path)
+
+
+def stream_paced(spark, sf_dir):
+    """Records per part of the events, streamed from six files of which a micro-batch may read two: at most two parts a batch."""
+    folder = scratch_path(spark, "paced-in")
+    events = _read(spark, sf_dir, "events").selectExpr("event_id", "CAST(user_id % 6 AS INT) AS part")
+    events.repartition("part").write.partitionBy("part").parquet(folder)
+    stream = spark.readStream.schema("event_id long, part int").option("maxFilesPerTrigger", 2).parquet(folder)
+    _, out = landed(stream)
+    batches = spark.read.parquet(out).groupBy("batch_id").agg(F.count_distinct("part").alias("parts"))
+    rows = spark.read.parquet(out).join(batches, "batch_id")
+    return rows.groupBy("part").agg(F.count("*").alias("items"), (F.max("parts") <= 2).alias("paced"))
+
+
 QUERIES = {"join_asof": join_asof, "join_points_in_intervals": join_points_in_intervals, "join_overlap": join_overlap,
            "session_windows": session_windows, "stream_sessions": stream_sessions, "stream_running": stream_running,
            "stream_interval_join": stream_interval_join, "sliding_rows": sliding_rows, "sliding_hour": sliding_hour,
            "top_per_key": top_per_key, "top_with_ties": top_with_ties, "distinct_users": distinct_users,
-           "stream_open_records": stream_open_records}
+           "stream_open_records": stream_open_records, "print_records": print_records, "stream_paced": stream_paced}
 
 _PLACED = "TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 7919 % 2592000)"
 _O = (f"(SELECT o_orderkey, o_custkey, {_PLACED} AS placed, {_PLACED} + to_hours(CASE WHEN o_custkey % 48 = 0 THEN 1440 ELSE o_custkey % 48 END) "
@@ -162,6 +184,9 @@ ORACLES = {
         f"SELECT key, event_id, value FROM {_E} QUALIFY row_number() OVER (PARTITION BY key ORDER BY value DESC, event_id) <= 5"),
     "top_with_ties": (
         "SELECT event_type, event_id FROM events QUALIFY rank() OVER (PARTITION BY event_type ORDER BY date_trunc('day', ts) DESC) <= 3"),
+    "print_records": (
+        "SELECT '{\"event_id\":' || event_id || ',\"user_id\":' || user_id || ',\"event_type\":\"' || event_type || '\"}' AS value FROM events WHERE value > 10"),
+    "stream_paced": "SELECT CAST(user_id % 6 AS INT) AS part, count(*) AS items, true AS paced FROM events GROUP BY 1",
     "distinct_users": "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1",
     "stream_open_records": (
         "SELECT user_id, min(ts) AS first_event, max(ts) AS last_event, count(*) AS items FROM "

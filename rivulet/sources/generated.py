@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.conditions import column
-from .files import FILE_COL, suffix_regex
+from .files import FILE_COL, decoded, suffix_regex
 
 # Fixed values of the random source (our definition): a linear congruential
 # step, x = ((id * A + C) mod M) / M.
@@ -37,8 +37,8 @@ def read_lines(spark: SparkSession, root: str, ending: str | None = None, stream
     if skip_errors:
         opts["ignoreCorruptFiles"] = "true"
     df = reader.format("text").options(**opts).load(root)
-    return (df.where(F.col("_metadata.file_path").rlike(suffix_regex(ending)))
-              .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias(FILE_COL)))
+    name = decoded(F.col("_metadata.file_path"))
+    return df.where(name.rlike(suffix_regex(ending))).select(F.col("value").alias("line"), name.alias(FILE_COL))
 
 
 def random_value(id_col: Column) -> Column:
