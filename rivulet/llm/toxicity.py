@@ -11,7 +11,7 @@ than "idiot", and "she said that you are no idiot" less.
 The insult lexicon is a short fixed list and what the labels teach: word
 beginnings and whole words that, in a bounded sample of labelled rows, occur
 in toxic texts so exclusively that chance does not explain it. A document's
-score is a logistic curve over its strongest clauses, fitted on the sample.
+score is a logistic curve over its clauses, the strongest counting most, fitted on the sample.
 """
 
 from __future__ import annotations
@@ -125,8 +125,8 @@ class Grammar:
         return out
 
     def strength(self, text: str | None) -> float:
-        """The strongest clauses of a text, each next one counting half."""
-        return sum(w / 2**i for i, (w, _) in enumerate(sorted(self.clauses(text), reverse=True)[:8]))
+        """All clauses of a text, from the strongest on, each next one counting half."""
+        return sum(math.ldexp(w, -i) for i, (w, _) in enumerate(sorted(self.clauses(text), reverse=True)))
 
 
 def _features(word: str) -> list[str]:
@@ -173,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 20_000, seed: int = 9,
         size = max(1, found.count())
         # so exclusive to toxic texts that among all features chance gives less than one in a hundred
         sure = found.where((F.col("toxic") * -math.log(base) > math.log(100 * size)) & (F.col("clean") <= F.col("toxic") / 20))
-        for f, a, b in sorted(map(tuple, sure.orderBy(F.desc("toxic"), "f").limit(5000).toLocalIterator()), key=lambda x: len(x[0])):
+        for f, a, b in sorted(map(tuple, sure.toLocalIterator()), key=lambda x: (len(x[0]), x[0])):  # bounded by the sample
             weight = min(6.0, math.log((a + 0.5) / (b + 0.5) * (1 - base) / base))
             if f.endswith("$"):
                 words[f[:-1]] = weight
@@ -216,7 +216,7 @@ def toxicity(docs: DataFrame, model: tuple[Grammar, float, float], *, doc: str =
              limit: float = 0.3) -> DataFrame:
     """``doc_id, score, predicted`` of every row of ``docs``.
 
-    A null or empty text has no clause and gets the lowest score. Null and repeated ids are kept row
+    A null or empty text has no clause and gets the lowest score; a very long one is read whole. Null and repeated ids are kept row
     by row; an empty table gives no rows; other columns are ignored.
     """
     d = docs.select(col(doc).alias("doc_id"), col(text).alias("text"))
