@@ -11,6 +11,7 @@ windows' worth, and no group or task grows with the corpus.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import unicodedata
 import zlib
@@ -37,20 +38,41 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+# The normalizer, pre-tokenizer and model settings that Encoder takes apart.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                                                   {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "byte_fallback": False}
+
+
+def taken_apart(spec: str) -> bool:
+    """Whether a tokenizer works the way :class:`Encoder` relies on; all others are run as they are."""
+    d = json.loads(spec)
+    model = d.get("model") or {}
+    marks = all(t["content"].startswith("<|") and not t.get("normalized") for t in d.get("added_tokens") or [])
+    return (d.get("normalizer") == _NORMALIZER and d.get("pre_tokenizer") == _PRE_TOKENIZER and marks
+            and all(model.get(k) == v for k, v in _MODEL.items()))
+
+
 class Encoder:
     """Token ids of texts as little-endian bytes, with a bounded memory of words already encoded.
 
-    The vocabulary's pre-tokenizer never joins across white space, so a text's
-    ids are those of its blank-separated chunks in turn. Chunks of Latin
-    letters go to the BPE model directly; anything unusual goes through the
-    whole tokenizer.
+    Where the tokenizer's parts are the known ones (:func:`taken_apart`), its
+    pre-tokenizer never joins across white space, so a text's ids are those
+    of its blank-separated chunks in turn. Chunks of Latin letters go to the
+    BPE model directly; anything unusual goes through the whole tokenizer,
+    and so do all texts of any other tokenizer.
     """
 
     def __init__(self, spec: str, limit: int = 150_000):
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_str(spec), limit
+        self.tokenizer, self.limit, self.by_chunks = Tokenizer.from_str(spec), limit, taken_apart(spec)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
@@ -79,7 +101,7 @@ class Encoder:
         return b"".join(map(self._piece, self.pieces(chunk)))
 
     def __call__(self, text: str) -> bytes:
-        if _ODD.search(text):
+        if not self.by_chunks or _ODD.search(text):
             return self._whole(text)
         if text.isascii():
             text = text.lower()
@@ -173,7 +195,7 @@ def pack(docs: DataFrame, spec: str, *, doc: str = "doc_id", text: str = "text",
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``).
 
     ``spec`` is the tokenizer's JSON text. Each document is its ids and ``end_id``; an empty or null
-    text is that one id. ``start`` counts its ids before the piece. Pieces of one ``sequence_id``
+    text is that one id; a very long one is cut into as many windows as it fills. ``start`` counts its ids before the piece. Pieces of one ``sequence_id``
     fill it without gaps from offset 0. Null and repeated ids are kept: every row is a document of
     its own. An empty table gives no rows; other columns are ignored. With ``with_ids`` the ids come
     as little-endian 32-bit integers, for ``sequences``.
