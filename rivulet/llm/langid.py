@@ -152,7 +152,7 @@ def identify(docs: DataFrame, model: Model, *, doc: str = "doc_id", text: str =
     """``doc_id, lang_pred, score`` for every row.
 
     ``lang_pred`` is a learned language, or ``und`` with score 0 for a text that is null or has no
-    letter; ties go to the first language in the alphabet, and a model that has learned nothing says
+    letter, and very long texts are read whole; ties go to the first language in the alphabet, and a model that has learned nothing says
     ``und``. Null and repeated ids keep their rows; an empty table gives no rows; other columns are
     ignored.
     """

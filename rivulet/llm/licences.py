@@ -189,7 +189,7 @@ def licences(docs: DataFrame, model: tuple, **options) -> DataFrame:
     ``licences`` lists the confirmed families in order, comma-joined (empty if none); the counts are
     of paragraphs that name a confirmed family and of those that only look like it. Null and empty
     texts, and texts without such paragraphs, have none. Null and repeated ids keep their rows; an
-    empty table gives no rows; other columns are ignored.
+    empty table gives no rows; other columns are ignored. Very long texts are read whole.
     """
     sure = (F.col("family") != "unknown")
     return (paragraphs(docs, model, **options).groupBy("row", "doc_id")

@@ -323,7 +323,7 @@ def similar_lines(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n
     ``class_doc, class_line`` is the first place of a line with the same set of words, ``n_links``
     counts the other classes of Jaccard similarity ``num/den`` or more, and ``removed`` tells that an
     equal or similar line stands at an earlier place (document id, then line). Lines without a word
-    (and so null or empty texts) have no row. A row without id comes after all others; rows that
+    (and so null or empty texts) have no row; very long texts and lines are taken whole. A row without id comes after all others; rows that
     repeat an id stand at the same places and keep or lose equal lines alike; ``text_key`` (a hash of
     the whole text) tells different texts of one id apart. Other columns are ignored.
     """

@@ -84,7 +84,7 @@ def format_pairs(pairs: DataFrame, *, chosen: str = "chosen", rejected: str = "r
     The prompt renders the common turns once; the completions render the rest, with the spans of
     their text that carry loss (all else is masked). Conversations that are equal, or one of which
     begins with all of the other, have empty completions on that side; such pairs stay and
-    ``differs`` tells the former. A null conversation has no turns. Rows, and columns with other names, stay.
+    ``differs`` tells the former. A null conversation has no turns. Rows, and columns with other names, stay. Very long texts are rendered whole.
     """
     a, b = (F.coalesce(col(c), F.array().cast(TURNS)) for c in (chosen, rejected))
     p = pairs.withColumn("n_common", common_turns(a, b))

@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
     ``component_id`` is the smallest id reachable over links of at most ``radius`` differing bits.
     Texts without a word (null, empty, white space) have fingerprint zero and are linked like any
     other. Repeated rows each get a row. A row without id gets a fingerprint and the component of its
-    fingerprint, but is no one's smallest id; an empty table gives no rows. Other columns are ignored.
+    fingerprint, but is no one's smallest id; an empty table gives no rows. Other columns are ignored. Very long texts are read whole.
     """
     fp = saved(fingerprints(docs, doc, text, width), "fingerprints")
     least = saved(fp.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")

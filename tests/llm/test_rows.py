@@ -271,3 +271,98 @@ def test_wrapped_licences(spark):
     got = licences.licences(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
     assert {r.doc_id: r.licences for r in got} == want
     assert all(r.n_paragraphs == 1 + (r.doc_id == len(rows) - 1) and r.n_unknown == 0 for r in got)
+
+
+def test_languages_against_brute_force(spark, odd_docs):
+    """Every prediction of the query, from the model's counts by the rules in plain Python."""
+    import math
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs)
+
+    def logs(word):
+        if word in model.words:
+            return model.words[word].tolist()
+        for n in range(5, 0, -1):
+            w = f"<{word}>"
+            known = [model.grams[g] for g in (w[i:i + n] for i in range(len(w) - n + 1)) if g in model.grams]
+            if known:
+                return [sum(float(v[k]) for v in known) / len(known) for k in range(len(model.langs))]
+        return [0.0] * len(model.langs)
+
+    texts = [r.text for r in docs.select("text").collect()] + [r.text for r in odd_docs.collect()]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identify(frame, model).collect()}
+    for i, text in enumerate(texts):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not words:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        total = [math.fsum(x) for x in zip(*map(logs, words))]
+        top = max(total)
+        p = [math.exp(max(-700, t - top)) for t in total]
+        assert got[i].score == pytest.approx(1 / sum(p), rel=1e-6)
+        assert got[i].lang_pred == model.langs[total.index(top)] or sorted(p)[-2] > 1 - 1e-9
+
+
+def test_toxicity_against_brute_force(spark, odd_docs):
+    """Every score of the query, from the lexicon by the clause rules in plain Python; all clauses count."""
+    import math
+
+    base = SF
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    model = g, w, b = toxicity.train(docs, labels)
+
+    def strength(text):
+        found = []
+        for clause in re.split(r"[.!?;:\n]+", (text or "").lower()):
+            total, since = 0.0, dict.fromkeys("ntk", 99)
+            reported = False
+            for word in re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", clause):
+                insult = max([g.insults.get(word, 0.0)] + [x for s, x in g.starts.items() if word.startswith(s)])
+                kind = "i" if insult else next((k for k, ws in (("t", toxicity.TARGETS), ("n", toxicity.NEGATIONS), ("r", toxicity.REPORTS),
+                                                                ("k", toxicity.THREATS)) if word in ws), "")
+                # a word is near for the three words after it
+                scale = (0.4 if since["n"] <= 3 else 1.0) * (0.6 if reported else 1.0)
+                if kind == "i":
+                    total += insult * scale * (1.25 if since["t"] <= 3 else 1.0)
+                elif kind == "t" and since["k"] <= 3:
+                    total += 2.0 * scale
+                    since["k"] = 99
+                since = {k: 1 if k == kind else v + 1 for k, v in since.items()}
+                if kind == "t":
+                    since["k"] = 99
+                reported |= kind == "r"
+            if total:
+                found.append(total)
+        return sum(x / 2.0**i for i, x in enumerate(sorted(found, reverse=True)[:1000]))
+
+    texts = [r.text for r in docs.select("text").collect()] + [r.text for r in odd_docs.collect()]
+    texts += [". ".join(["you are an idiot"] * n) for n in (1, 9, 40, 3000)]
+    texts += ["She said you are not an idiot", "I will never kill you", "I will kill a b c d you", "kill you you", "idiot not moron"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.toxicity(frame, model).collect()}
+    for i, text in enumerate(texts):
+        score = 1 / (1 + math.exp(-(w * strength(text) + b)))
+        assert got[i].score == pytest.approx(score, rel=1e-9) and (abs(score - 0.3) < 1e-9 or got[i].predicted == (score >= 0.3))
+
+
+def test_packing_by_any_tokenizer(spark):
+    """A tokenizer that works otherwise is run as it is; so are added words of its own."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    spec = json.loads(packing.tokenizer_spec())
+    assert packing.taken_apart(json.dumps(spec))
+    texts = ["Hello World", "ÉCOLE Straße don't", "a  b\tc", "x1y2", ""]
+    for change in ({"normalizer": None}, {"pre_tokenizer": None}, {"added_tokens": [{**spec["added_tokens"][0], "content": "World"}]},
+                   {"model": {**spec["model"], "end_of_word_suffix": None}}):
+        other = json.dumps({**spec, **change})
+        assert not packing.taken_apart(other)
+        t, encode = Tokenizer.from_str(other), packing.Encoder(other)
+        for x in texts:
+            assert encode(x) == b"".join(i.to_bytes(4, "little") for i in t.encode(x, add_special_tokens=False).ids)
+    docs = spark.createDataFrame([(0, "Hello World")], "doc_id long, text string")
+    plain, bare = (packing.pack(docs, json.dumps({**spec, **c})).first().ids_crc32 for c in ({}, {"normalizer": None}))
+    assert plain != bare
