@@ -369,3 +369,79 @@ def test_conversations_with_odd_rows(spark):
     assert [t.text for t in pairs[1].rejected] == ["", "a", "y"] and [t.text for t in pairs[0].rejected] == ["x", "y", "b"]
     assert pairs[7].chosen == pairs[7].rejected
     assert preference.format_pairs(preference.pairs_by_swapped_reply(preference.conversations(df.limit(0)))).count() == 0
+
+
+def test_crowded_passages(spark):
+    """A passage of two texts is found though all its pieces also stand in other texts, before and between them."""
+    r = random.Random(5)
+    text = lambda n: [f"{r.choice('bcdfg')}{r.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], set()
+    for g in range(40):
+        p = text(60)
+        pieces = lambda: [w for i in range(0, 60, 9) for w in p[i:i + 9] + text(12)]  # noqa: B023, E731
+        for i, t in enumerate([pieces(), text(20) + p + text(10), pieces(), text(7) + p + text(30)]):
+            rows.append((g * 10 + i, " ".join(t)))
+        want.add((g * 10 + 3, g * 10 + 1))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(x.doc_id, x.source_id) for x in got} == want
+    assert all((x.start, x.end, x.source_start, x.source_end) == (7, 67, 20, 80) for x in got)
+
+
+def test_passages_within_a_text_and_copies(spark):
+    """Both places of a passage in one document are found, against another and against each other; copies of a text are named."""
+    r = random.Random(7)
+    text = lambda n: [f"{r.choice('bcdfg')}{r.randrange(10**6)}" for _ in range(n)]
+    p = text(50)
+    once, twice, long = text(10) + p + text(20), text(5) + p + text(30) + p + text(5), text(80)
+    rows = [(1, " ".join(once)), (2, " ".join(twice)), (3, " ".join(long)), (4, " ".join(long)), (5, " ".join(text(60))), (6, " ".join(long))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {(x.doc_id, x.start, x.end, x.source_id, x.source_start, x.source_end) for x in got}
+    assert spans == {(2, 5, 55, 1, 10, 60), (2, 85, 135, 1, 10, 60), (2, 85, 135, 2, 5, 55), (4, 0, 80, 3, 0, 80), (6, 0, 80, 3, 0, 80)}
+
+
+def test_passages_against_local_alignment(spark):
+    """Planted passages of 50 and 60 words with changed words: nine in ten of those that a full local alignment accepts are found."""
+    import numpy as np
+
+    def local(a, b):
+        """Best local alignment (1, -1, -1) over two word lists: words and matches of its longer side."""
+        ids = {w: i for i, w in enumerate({*a, *b})}
+        x, y = [ids[w] for w in a], np.array([ids[w] for w in b])
+        h, best = np.zeros((len(a) + 1, len(b) + 1)), (0, 0, 0)
+        for i, v in enumerate(x, 1):
+            row = np.maximum(h[i - 1, :-1] + np.where(y == v, 1, -1), np.maximum(h[i - 1, 1:] - 1, 0))
+            for j in range(len(b)):
+                h[i, j + 1] = max(row[j], h[i, j] - 1)
+        i, j = np.unravel_index(h.argmax(), h.shape)
+        n = m = match = 0
+        while h[i, j] > 0:
+            s = x[i - 1] == y[j - 1]
+            if h[i, j] == h[i - 1, j - 1] + (1 if s else -1):
+                i, j, n, m, match = i - 1, j - 1, n + 1, m + 1, match + s
+            elif h[i, j] == h[i - 1, j] - 1:
+                i, n = i - 1, n + 1
+            else:
+                j, m = j - 1, m + 1
+        return min(n, m), max(n, m), match
+
+    r = random.Random(11)
+    text = lambda n: [f"{r.choice('bcdfg')}{r.randrange(10**6)}" for _ in range(n)]
+    rows, accepted = [], {}
+    for i in range(160):
+        size, rate = (50, 60)[i % 2], (0.05, 0.1, 0.15, 0.2)[i // 2 % 4]
+        p = text(size)
+        q = list(p)
+        for j in r.sample(range(size), round(size * rate)):
+            q[j] = text(1)[0]
+        a, b = text(20) + p + text(20), text(30) + q + text(10)
+        rows += [(i, " ".join(a)), (1000 + i, " ".join(b))]
+        short, long, match = local(a, b)
+        if short >= 45 and match >= 0.8 * long:
+            accepted[i] = (size, rate)
+    got = {x.source_id for x in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert len(accepted) > 100
+    by = defaultdict(list)
+    for i, kind in accepted.items():
+        by[kind].append(i in got)
+    shares = {kind: sum(v) / len(v) for kind, v in by.items()}
+    assert sum(i in got for i in accepted) >= 0.9 * len(accepted), shares
