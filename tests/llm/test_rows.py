@@ -366,3 +366,47 @@ def test_packing_by_any_tokenizer(spark):
     docs = spark.createDataFrame([(0, "Hello World")], "doc_id long, text string")
     plain, bare = (packing.pack(docs, json.dumps({**spec, **c})).first().ids_crc32 for c in ({}, {"normalizer": None}))
     assert plain != bare
+
+
+def test_licence_gate_loses_nothing():
+    """Any sentence that holds 0.6 of a template's word pairs has a gate word: checked on random and on worst choices of pairs."""
+    import random
+
+    r, gate = random.Random(2), re.compile(licences.GATE)
+    chosen = set(licences.gate_words())
+    for t in (t for ts in licences.TEMPLATES.values() for t in ts):
+        pairs = licences.pairs_of(t)
+        need = -(-6 * len(pairs) // 10)
+        by_hits = sorted(pairs, key=lambda p: len(chosen & set(p.split())))
+        for pick in [by_hits[:need], *(r.sample(pairs, need) for _ in range(5))]:
+            assert gate.search(" ... ".join(pick)), t
+
+
+def test_licences_against_brute_force(spark):
+    """Parts of notices, short notices, denials and mentions; every named family has a template that the plain comparison confirms."""
+    model = licences.train(spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet"))
+    cases = {"use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:": "bsd",
+             "to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.": "mit",
+             "This file is part of Foo, distributed under the terms of the GNU GPL v2 or later.": "gpl-2.0", "BSD 2-Clause License": "bsd",
+             "The MIT License (MIT)": "mit", "License: MIT": "mit", "License: GPLv3": "gpl-3.0", "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0",
+             "This work is not licensed under the GNU General Public License, version 3.": "", "MIT is a university in Boston.": "",
+             "He read about the GNU General Public License, version 3, in a book.": "", "The source of the river is in the public woods.": ""}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    frame = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(cases)], "doc_id long, text string").union(docs)
+    got = {r.doc_id: r.licences for r in licences.licences(frame, model).collect()}
+    assert [got[10**6 + i] for i in range(len(cases))] == list(cases.values())
+
+    def share(text, template):
+        w = re.findall("[a-z0-9]+", text.lower())
+        have = {f"{a} {b}" for a, b in zip(w, w[1:])}
+        pairs = licences.pairs_of(template)
+        return len(have & set(pairs)) / len(pairs)
+
+    for r in licences.paragraphs(frame, model).where("family != 'unknown'").collect():
+        best = max(share(r.paragraph, t) for t in licences.TEMPLATES[r.family])
+        assert best >= 0.6 and r.similarity == pytest.approx(best)
+    # whole sentences of the corpus that hold a template in full are named
+    full = [t for ts in licences.TEMPLATES.values() for t in ts]
+    missed = [r.doc_id for r in docs.collect() if not got[r.doc_id]
+              and any(share(x, t) == 1 for x in re.split(r"\n|(?<=[.;:!?])\s+", r.text or "") for t in full if len(t) > 25)]
+    assert not missed
