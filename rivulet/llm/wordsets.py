@@ -152,13 +152,17 @@ def lines_of(texts: pa.Array, pick=None):
     no = np.searchsorted(breaks, start, "right") - np.searchsorted(breaks, offsets[doc], "right")
     if pick is not None:
         few = np.flatnonzero(pick(doc, no))
-        if not len(few):
-            return
-        ends = np.append(start[1:], len(raw))[few]
-        size = ends - start[few]
-        at = np.cumsum(size) - size
-        raw = raw[np.arange(int(size.sum())) + np.repeat(start[few] - at, size)]
-        start, doc, no = at, doc[few], no[few]
+        size = np.append(start[1:], len(raw))[few] - start[few]
+        ends, s = np.cumsum(size), 0
+        while s < len(few):
+            e = max(s + 1, int(np.searchsorted(ends, ends[s] - size[s] + STEP, "right")))
+            at = ends[s:e] - size[s:e] - (ends[s] - size[s])
+            part = np.concatenate([raw[a:a + n] for a, n in zip(start[few[s:e]].tolist(), size[s:e].tolist())])
+            got = _parse(part, at, doc[few[s:e]], no[few[s:e]])
+            if got is not None:
+                yield got
+            s = e
+        return
     s = 0
     while s < len(start):
         e = max(s + 1, int(np.searchsorted(start, start[s] + STEP, "right")) - 1)
