@@ -134,16 +134,27 @@ def _features(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in range(3, min(8, len(word)) + 1))]
 
 
-def _count(batches):
-    """Texts and labels of one partition → (feature, toxic texts, other texts) of all its features, added up."""
+def _count(batches, limit: int = 100_000):
+    """Texts and labels of one partition → (feature, toxic texts, other texts) of all its features.
+
+    Counts leave whenever ``limit`` features are held, so that memory stays bounded; they are added up after the shuffle.
+    """
     toxic, clean = Counter(), Counter()
-    for t in sliced(batches):
+
+    def out():
+        fs = list(toxic.keys() | clean.keys())
+        return pa.RecordBatch.from_arrays([pa.array(fs, pa.string()), pa.array([toxic[f] for f in fs], pa.int64()),
+                                           pa.array([clean[f] for f in fs], pa.int64())], ["f", "toxic", "clean"])
+
+    for t in sliced(batches, 100):
         for text, label in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
             words = set(_WORD.findall((text or "").lower()))
             (toxic if label else clean).update({f for w in words for f in _features(w)})
-    fs = list(toxic | clean)
-    yield pa.RecordBatch.from_arrays([pa.array(fs, pa.string()), pa.array([toxic[f] for f in fs], pa.int64()),
-                                      pa.array([clean[f] for f in fs], pa.int64())], ["f", "toxic", "clean"])
+            if len(toxic) + len(clean) > limit:
+                yield out()
+                toxic.clear()
+                clean.clear()
+    yield out()
 
 
 def labelled(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
