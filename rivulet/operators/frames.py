@@ -1,8 +1,10 @@
 """Sliding frames, the first records of each key, and distinct counts, whatever the size of a key.
 
-* :func:`sliding` cuts large keys into ranges (:mod:`.sequence`) and gives
-  each range a halo: the records before it that its frames still reach. A
-  frame of rows is a frame over row numbers.
+* :func:`sliding` cuts the order of a key into blocks as long as the frame. A
+  frame is then the end of one block and the start of the next, and both are
+  running values (:mod:`.sequence`), backwards and forwards: no frame is gone
+  through on its own, and a crowded block is cut into ranges. A frame of rows
+  is a frame over row numbers.
 * :func:`top` lets a key send at most k records per task, and merges them in
   two steps, so that no task gets all tasks' records of a large key.
 * :func:`distinct_counts` deals the values of a key over all tasks before
@@ -13,12 +15,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.conditions import column
 from ..functions.times import span as in_ticks
 from ..functions.times import ticks
 from ..session import shuffle_partitions
-from .sequence import ROWS_PER_BUCKET, dense_id, with_ranges
+from .sequence import ROWS_PER_BUCKET, dense_id, running_values
 
 _AGGS = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 
@@ -45,23 +48,43 @@ def sliding(df: DataFrame, by, order: str, aggs: dict, rows: int | None = None,
         numbered = dense_id(df, order, keys=keys, id_col="__no", n_buckets=n_buckets, rows_per_bucket=rows_per_bucket, ties=ties)
         return sliding(numbered, keys, "__no", aggs, span=rows - 1, n_buckets=n_buckets, rows_per_bucket=rows_per_bucket).drop("__no")
     reach = in_ticks(df.sparkSession, span)
-    ranged, _, large = with_ranges(df, keys, order, n_buckets, rows_per_bucket, bucket_col="__b")
-    d = ranged.withColumn("__k", F.struct(*[column(k) for k in keys])).withColumn("__at", ticks(df.schema, order))
-    part = ["__k"]
-    if large:
-        first = d.where("__b > 0").groupBy("__k", "__b").agg(F.min("__at").alias("__first"))
-        first = first.groupBy("__k").agg(F.collect_list(F.struct("__b", "__first")).alias("__ranges"))
-        d = d.join(F.broadcast(first), "__k", "left")  # in all, an entry per range of a large key
-        later = F.filter("__ranges", lambda r: (r["__b"] > F.col("__b")) & (r["__first"] <= F.col("__at") + reach))
-        also = F.coalesce(F.transform(later, lambda r: r["__b"]), F.array().cast("array<int>"))
-        d = d.withColumn("__to", F.explode(F.concat(F.array("__b"), also)))
-        part = ["__k", "__to"]
-    w = Window.partitionBy(*part).orderBy("__at").rangeBetween(-reach, 0)
+    if reach < 0:
+        raise ValueError("a frame that ends before its record")
+    width = max(reach, 1)
+    at, own = ticks(df.schema, order), {*keys, order}
+    block = at - F.pmod(at, F.lit(width))
+    here = F.col("__role.here")
+    roles = F.array(*[F.struct(b.alias("block"), F.lit(h).alias("here")) for b, h in ((block, True), (block + F.lit(width), False))])
+    d = df.withColumn("__at", at).withColumn("__role", F.explode(F.when(block.isNull(), F.slice(roles, 1, 1)).otherwise(roles)))
+    parts = {name: [(f"__{p}_{name}", "sum" if p in ("n", "avg") else fn, x) for p, x in _parts(df, fn, c)] for name, (fn, c) in aggs.items()}
+    flat = [x for xs in parts.values() for x in xs]
+    d = d.select(*[column(c) if c in own else F.when(here, column(c)).alias(c) for c in df.columns],
+                 *[F.when(h, x).alias(f"{p}{i}") for p, _, x in flat for i, h in enumerate((~here, here))],
+                 "__at", F.col("__role.block").alias("__block"), here.alias("__here"), (F.when(here, F.lit(reach)).otherwise(0) - F.col("__at")).alias("__back"))
+    for i, place in enumerate(("__back", "__at")):  # the end of the block before from the frame's start on, then this block up to the record
+        d = running_values(d, [*keys, "__block"], place, {f"{p}_{i}": (f, f"{p}{i}") for p, f, _ in flat},
+                           n_buckets=n_buckets, rows_per_bucket=rows_per_bucket, peers=True)
+    out = {}
     for name, (fn, c) in aggs.items():
-        d = d.withColumn(name, _AGGS[fn](column(c)).over(w))
-    if large:
-        d = d.where("__to = __b").drop("__to", "__ranges")
-    return d.drop("__k", "__at", "__b")
+        kind = df.select(_AGGS[fn](column(c)).alias("x")).schema["x"].dataType
+        whole = [_both(f, F.col(f"{p}_0"), F.col(f"{p}_1")) for p, f, _ in parts[name]]
+        out[name] = (F.coalesce(whole[0], F.lit(0)) if fn == "count" else F.try_divide(*whole) if fn == "avg" else whole[0]).cast(kind).alias(name)
+    return d.where("__here").select(*[column(c) for c in df.columns if c not in out], *out.values())
+
+
+def _parts(df: DataFrame, fn: str, c: str) -> list[tuple[str, Column]]:
+    """What is added up, or compared, for an aggregate: the value, the number of values, or both."""
+    x, one = column(c), F.when(column(c).isNotNull(), F.lit(1).cast("long"))
+    if fn == "avg":
+        exact = isinstance(df.select(x).schema[0].dataType, T.DecimalType)
+        return [("avg", x if exact else x.cast("double")), ("n", one)]
+    return [("n", one)] if fn == "count" else [(fn, x)]
+
+
+def _both(fn: str, a: Column, b: Column) -> Column:
+    if fn == "sum":
+        return F.coalesce(a + b, a, b)
+    return (F.least if fn == "min" else F.greatest)(a, b)
 
 
 def top(df: DataFrame, by, order: list[Column], k: int, ties: bool = False) -> DataFrame:

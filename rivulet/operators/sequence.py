@@ -182,7 +182,9 @@ def with_ranges(df: DataFrame, keys, order_col: str, n_buckets: int | None = Non
     return out.drop(_HASH, _ORD, _NUMBER, "__rv_lo", "__rv_hi"), n, len(large)
 
 
-def _running(fn: str, c: str | None, w_rows, w_order) -> Column:
+def _running(fn: str, c: str | None, w_rows, w_order, peers: bool = False) -> Column:
+    if fn == "count" and peers:
+        return F.count(F.lit(1)).over(w_rows)
     if fn == "count":
         return F.row_number().over(w_order).cast("long")
     if fn == "last":
@@ -219,18 +221,19 @@ def _merge(fn: str, carry: Column, local: Column) -> Column:
 
 
 def running_values(df: DataFrame, keys, order_col, aggs: dict, n_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None, ties=()) -> DataFrame:
-    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket, tasks, ties)[0]
+                   rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None, ties=(), peers: bool = False) -> DataFrame:
+    return running_values_counted(df, keys, order_col, aggs, n_buckets, rows_per_bucket, tasks, ties, peers)[0]
 
 
 def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets: int | None = None,
-                           rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None, ties=()):
+                           rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None, ties=(), peers: bool = False):
     """Add running aggregates per key in ``order_col`` order (frame: rows up to the current one).
 
     ``aggs`` maps an output name to ``"count"`` or to ``(fn, column)`` with
     fn in ``sum``, ``min``, ``max``, ``last`` (the last value that is not
     null). Equal to ``fn(column) OVER (PARTITION BY keys ORDER BY order_col,
     ties ROWS UNBOUNDED PRECEDING)``; ``ties`` are further order columns.
+    With ``peers`` the frame also holds the later rows of the same order value (``RANGE``; no ties then).
     ``tasks`` asks for that many partitions of the records. Returns ``(DataFrame, rows)``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys or [])
@@ -249,15 +252,16 @@ def running_values_counted(df: DataFrame, keys, order_col, aggs: dict, n_buckets
     part = [_KEY, _BUCKET] if large else [_KEY]
     order = [order_col, *ties]
     w_order = Window.partitionBy(*part).orderBy(*[column(o) for o in order])
-    w_rows = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # rows of one order value are in one range
+    w_rows = (w_order.rangeBetween if peers else w_order.rowsBetween)(Window.unboundedPreceding, Window.currentRow)
     local = b.repartition(int(tasks), *part) if tasks else b
     if not large:
         for name, (fn, c) in spec.items():
-            local = local.withColumn(name, _running(fn, c, w_rows, w_order))
+            local = local.withColumn(name, _running(fn, c, w_rows, w_order, peers))
         return local.drop(*part), n
 
     for name, (fn, c) in spec.items():
-        local = local.withColumn(f"__l_{name}", _running(fn, c, w_rows, w_order))
+        local = local.withColumn(f"__l_{name}", _running(fn, c, w_rows, w_order, peers))
     totals = b.where(F.col(_BUCKET) > 0).groupBy(*part).agg(*[_total(fn, c, order).alias(f"__t_{name}") for name, (fn, c) in spec.items()])
     w_prev = Window.partitionBy(_KEY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(*part, *[_carry(fn, f"__t_{name}", w_prev).alias(f"__o_{name}")

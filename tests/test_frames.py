@@ -1,6 +1,7 @@
 """Sliding frames, top records and distinct counts against plain windows, with a key that holds half of the rows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -43,6 +44,19 @@ def test_frames_of_values(df, span):
     assert _same(got, _with(df, Window.partitionBy("k").orderBy("t").rangeBetween(-span, 0)))
 
 
+def test_work_of_a_frame_does_not_grow_with_it(df):
+    """No window goes through each frame on its own, and no record is sent to all ranges that its frames reach."""
+    for span in (50, 8000):
+        plan = sliding(df, "k", "t", {"lo": ("min", "v")}, span=span, n_buckets=12)._jdf.queryExecution().optimizedPlan().toString()
+        frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]+), ", plan)
+        assert len(frames) >= 2 and {start for _, start in frames} == {"unboundedpreceding$()"}
+        assert all("__role" in x for x in plan.splitlines() if "Generate explode" in x) and "__ranges" not in plan
+    odd = df.selectExpr("t - 4500 AS t", "CAST(v AS DECIMAL(9, 2)) AS v", "i AS `a b`", "k")
+    got = sliding(odd, "k", "t", AGGS, span=700, n_buckets=12)
+    want = _with(odd, Window.partitionBy("k").orderBy("t").rangeBetween(-700, 0))
+    assert _same(got, want) and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+
+
 def test_frames_spread_a_large_key(df):
     got = sliding(df, "k", "t", AGGS, span=50, n_buckets=12)
     assert got.where("k = 'hot'").select(F.spark_partition_id()).distinct().count() > 1
