@@ -16,7 +16,7 @@ from ..operators.sinks import print_data
 from ..session import scratch_path
 from ..streaming.eventtime import results, running_stream, session_stream, stream_join
 from ..streaming.processor import OpenRecords, process_stream
-from ..streaming.runs import landed, stream_table
+from ..streaming.runs import landed, ntz_to_instant, stream_table
 
 GAP = "30 minutes"
 
@@ -116,8 +116,8 @@ def distinct_users(spark, sf_dir):
 
 def stream_open_records(spark, sf_dir):
     """Each user's open record, sent on by a timer when six hours have passed without an event, or by the closing step."""
-    stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1).select("user_id", "ts")
-    _, out = process_stream(stream, "user_id", "ts", OpenRecords(6 * 3600 * 10**6, "user_id bigint"), delay="31 days")
+    stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1).select("user_id", ntz_to_instant(F.col("ts")).alias("event_time"))
+    _, out = process_stream(stream, "user_id", "event_time", OpenRecords(6 * 3600 * 10**6, "user_id bigint"), delay="31 days")
     at = "timestampadd(MICROSECOND, {0}_us, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS {0}_event"
     return spark.read.parquet(out).selectExpr("user_id", at.format("first"), at.format("last"), "items")
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from .runs import _run, _start, ntz_to_instant
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EVENT_TIME = "event_time"
+CLOSED_ROWS = 10_000  # rows of the closing step that leave a task at once, about
 
 
 class State:
@@ -189,7 +191,18 @@ def finished(spark: SparkSession, checkpoint: str, processor: Processor) -> Data
     def plain(row):
         return None if row is None else tuple(row.values() if isinstance(row, dict) else row)
 
-    def fn(frames):
+    def fn(frames):  # frames of many keys go out as one
+        held, n = [], 0
+        for f in closed(frames):
+            held.append(f)
+            n += len(f)
+            if n >= CLOSED_ROWS:
+                yield pd.concat(held, ignore_index=True)
+                held, n = [], 0
+        if held:
+            yield pd.concat(held, ignore_index=True)
+
+    def closed(frames):
         processor.init()
         for pdf in frames:
             for key, *held in pdf.itertuples(index=False, name=None):
@@ -213,15 +226,20 @@ class OpenRecords(Processor):
     Output: the key (``key`` is its DDL), ``first_us`` and ``last_us`` (event
     time in microseconds) and ``items``. Records of a micro-batch may come in
     any order: a key can have several records open, which grow together when
-    the time between them is filled.
+    the time between them is filled. A key has one timer, for the record
+    that is due first.
     """
 
-    lists = {"open": "first_us long, last_us long, items long"}
+    #: All open records of a key as one row: a row each would cross to the state store one by one.
+    values = {"open": "first_us array<bigint>, last_us array<bigint>, items array<bigint>"}
 
     def __init__(self, gap_us: int, key: str):
         self.gap_us, self.key = gap_us, [f.name for f in T.StructType.fromDDL(key).fields]
         self.output = f"{key}, first_us long, last_us long, items long"
 
+    def _records(self, held):
+        return [tuple(map(int, r)) for r in zip(*held)] if held else []
+
     def _merged(self, records):
         out = []
         for first, last, items in sorted(records):
@@ -237,31 +255,35 @@ class OpenRecords(Processor):
         return pd.DataFrame(data, dtype="object")
 
     def process(self, key, rows, state):
-        us = (pd.to_datetime(rows[EVENT_TIME]) - pd.Timestamp(0)) // pd.Timedelta(microseconds=1)
-        n = us.value_counts()
-        old = [tuple(r) for r in state.lists["open"].get()]
-        now = self._merged(old + [(int(t), int(t), int(c)) for t, c in n.items()])
-        state.lists["open"].put(now)
-        for t in {self._due(r) for r in old} - {self._due(r) for r in now}:
-            state.cancel(t)
-        for t in {self._due(r) for r in now} - {self._due(r) for r in old}:
-            state.wake_at(t)
+        at = rows[EVENT_TIME].to_numpy().astype("datetime64[us]")
+        us, n = np.unique(at[~np.isnat(at)].astype(np.int64), return_counts=True)
+        old = self._records(state.values["open"].get())
+        now = self._merged([*old, *zip(us.tolist(), us.tolist(), n.tolist())])
+        if not now:
+            return
+        state.values["open"].update(tuple(map(list, zip(*now))))
+        first, due = (min(map(self._due, x), default=None) for x in (old, now))
+        if due != first:
+            if first is not None:
+                state.cancel(first)
+            state.wake_at(due)
         yield from ()
 
     def _due(self, record) -> int:
         return -(-(record[1] + self.gap_us) // 1000)
 
     def expired(self, key, at_ms, state):
-        held = [tuple(r) for r in state.lists["open"].get()]
-        over = [r for r in held if self._due(r) <= at_ms]
-        rest = [r for r in held if self._due(r) > at_ms]
+        held, passed = self._records(state.values["open"].get()), max(at_ms, state.watermark_ms)
+        over = [r for r in held if self._due(r) <= passed]
+        rest = [r for r in held if self._due(r) > passed]
         if rest:
-            state.lists["open"].put(rest)
+            state.values["open"].update(tuple(map(list, zip(*rest))))
+            state.wake_at(min(map(self._due, rest)))
         else:
-            state.lists["open"].clear()
+            state.values["open"].clear()
         if over:
             yield self._frame(key, over)
 
     def finish(self, key, state):
         if state["open"]:
-            yield self._frame(key, [tuple(map(int, r)) for r in state["open"]])
+            yield self._frame(key, self._records(state["open"]))

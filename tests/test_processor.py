@@ -107,3 +107,47 @@ def test_all_kinds_of_state(spark, tmp_path):
     _, out = process_stream(_stream(spark, str(tmp_path / "in")), "k", "ts", Tally())
     got = sorted((r.k, r.n, sorted(r.ids), r.how) for r in spark.read.parquet(out).collect())
     assert got == [("a", 2, [1, 2], "timer"), ("b", 4, [4, 5, 6], "timer"), ("c", 2, [7, 8], "closed")]
+
+
+class _Fake:
+    """State of one key that counts what is asked of it."""
+
+    def __init__(self, names):
+        self.calls, self.held, self.due, self.watermark_ms = 0, None, set(), 0
+        self.values, self.lists = ({n: self for n in names} for _ in range(2))
+
+    def get(self):
+        return self.held or ()
+
+    def update(self, x):
+        self.held, self.calls = x, self.calls + 1
+
+    put = update
+
+    def clear(self):
+        self.held = None
+
+    def wake_at(self, ms):
+        self.due.add(ms)
+        self.calls += 1
+
+    def cancel(self, ms):
+        self.due.discard(ms)
+        self.calls += 1
+
+
+def test_open_records_ask_little_of_the_state():
+    """Calls to the state and timers do not grow with the records a key has open; each is sent on once it is due."""
+    p, state = OpenRecords(60 * 10**6, "k string"), _Fake(["open"])
+    for day in (1, 2):
+        times = [BASE + dt.timedelta(days=day, hours=h, seconds=s) for h in range(20) for s in (0, 30)]
+        assert list(p.process(("a",), pd.DataFrame({"event_time": [*times, None]}), state)) == []
+    assert len(state.due) == 1 and state.calls <= 4
+    out = []
+    while state.due:
+        at = min(state.due)
+        state.due.discard(at)
+        state.watermark_ms = at + 3 * 3_600_000
+        out += [r for f in p.expired(("a",), at, state) for r in f.itertuples(index=False, name=None)]
+    assert len(out) == 40 and out == sorted(set(out)) and all(k == "a" and n == 2 and last - first == 30 * 10**6 for k, first, last, n in out)
+    assert state.held is None
