@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 import unicodedata
 import zlib
 from functools import partial
@@ -56,6 +57,23 @@ def taken_apart(spec: str) -> bool:
             and all(model.get(k) == v for k, v in _MODEL.items()))
 
 
+class _Memory(dict):
+    """What has been made of up to ``limit`` words. When it is full it starts anew, and keeps what is asked again."""
+
+    def __init__(self, make, limit: int):
+        self.make, self.limit, self.before = make, limit, {}
+
+    def __missing__(self, word):
+        if len(self) >= self.limit:
+            self.before = self.copy()
+            self.clear()
+        got = self.before.get(word)
+        if got is None:
+            got = self.make(word)
+        self[word] = got
+        return got
+
+
 class Encoder:
     """Token ids of texts as little-endian bytes, with a bounded memory of words already encoded.
 
@@ -66,7 +84,7 @@ class Encoder:
     and so do all texts of any other tokenizer.
     """
 
-    def __init__(self, spec: str, limit: int = 150_000):
+    def __init__(self, spec: str, limit: int = 500_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -75,21 +93,14 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}  # the last memory that was full: what is used again is kept
-        self.known_pieces: dict[str, bytes] = {}
+        self.ids_of = _Memory(self._chunk, limit).__getitem__  # of chunks and of their pieces, which are chunks too
 
     def _whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
-        got = self.known_pieces.get(piece)
-        if got is None:
-            if len(self.known_pieces) >= self.limit:
-                self.known_pieces.clear()
-            form = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            got = self.known_pieces[piece] = _packed([x.id for x in self.tokenizer.model.tokenize(form)])
-        return got
+        form = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return _packed([x.id for x in self.tokenizer.model.tokenize(form)])
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk.isascii() and _NOT_LATIN.search(chunk):
@@ -97,8 +108,9 @@ class Encoder:
         if chunk.isalpha():
             return self._piece(chunk)
         if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
-            return self._piece(chunk[:-1]) + self._piece(chunk[-1])
-        return b"".join(map(self._piece, self.pieces(chunk)))
+            return self.ids_of(chunk[:-1]) + self.ids_of(chunk[-1])
+        pieces = self.pieces(chunk)
+        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self.ids_of, pieces))
 
     def __call__(self, text: str) -> bytes:
         if not self.by_chunks or _ODD.search(text):
@@ -109,20 +121,11 @@ class Encoder:
             text = unicodedata.normalize("NFC", text).lower()
         else:
             text = " ".join([c if _NOT_LATIN.search(c) else unicodedata.normalize("NFC", c).lower() for c in text.split()])
-        chunks, known = text.split(), self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            if len(known) >= self.limit:
-                self.before, self.known = known, {}
-                known = self.known
-            for c in set(chunks).difference(known):
-                known[c] = self.before.get(c) or self._chunk(c)
-        return b"".join([known[c] for c in chunks])
+        return b"".join(map(self.ids_of, text.split()))
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _cut(batches, spec, key, window, end_id, with_ids):

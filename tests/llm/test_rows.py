@@ -93,6 +93,19 @@ def test_encoder_on_given_texts(encoder, documents):
         assert encoder(r.text) == b"".join(i.to_bytes(4, "little") for i in want)
 
 
+def test_encoder_makes_words_once():
+    """A vocabulary of some 200 thousand words is encoded once; the memory stays bounded where there are more words."""
+    t, calls = packing.Encoder(packing.tokenizer_spec()), []
+    piece = t._piece
+    t._piece = lambda x: calls.append(x) or piece(x)
+    texts = [" ".join(f"{chr(97 + i)}{chr(97 + j)}{chr(97 + k)}{chr(97 + m)}" for k in range(26) for m in range(26)) for i in range(12) for j in range(26)]
+    first = [t(x) for x in texts]
+    assert len(calls) == 12 * 26**3
+    assert [t(x) for x in texts] == first and len(calls) == 12 * 26**3
+    few = packing._Memory(str.upper, 3)
+    assert [few[x] for x in "abcabdeaf"] == list("ABCABDEAF") and len(few) <= 3 and len(few.before) <= 3
+
+
 def test_best_fit_takes_the_tightest_window():
     where, offset = packing.best_fit([10, 9, 7, 6, 3, 1, 1], 10)
     assert (where, offset) == ([0, 1, 2, 3, 2, 1, 3], [0, 0, 0, 0, 7, 9, 6])
