@@ -387,6 +387,25 @@ def test_crowded_passages(spark):
     assert all((x.start, x.end, x.source_start, x.source_end) == (7, 67, 20, 80) for x in got)
 
 
+@pytest.mark.parametrize("block", [1 << 12, 2])
+def test_passages_of_common_seeds_only(spark, block):
+    """A passage of two texts is found though each of its seeds stands in more texts than all of which are set against each other."""
+    r = random.Random(9)
+    text = lambda n: [f"{r.choice('bcdfg')}{r.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], set()
+    for g in range(6):
+        p = text(60)
+        pieces = lambda: [w for i in range(0, 56, 5) for w in p[i:i + 9] + text(12)]  # noqa: B023, E731
+        fuzzy = list(p)
+        fuzzy[30] = "other"
+        texts = [pieces(), pieces(), pieces(), text(20) + p + text(10), pieces(), pieces(), pieces(), text(7) + (fuzzy if g % 2 else p) + text(30)]
+        rows += [(g * 10 + i, " ".join(t)) for i, t in enumerate(texts)]
+        want.add((g * 10 + 7, g * 10 + 3))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cap=4, block=block).collect()
+    assert {(x.doc_id, x.source_id) for x in got} == want
+    assert all((x.start, x.end, x.source_start, x.source_end) == (7, 67, 20, 80) for x in got)
+
+
 def test_passages_within_a_text_and_copies(spark):
     """Both places of a passage in one document are found, against another and against each other; copies of a text are named."""
     r = random.Random(7)
