@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -406,6 +407,48 @@ def test_passages_of_common_seeds_only(spark, block):
     assert all((x.start, x.end, x.source_start, x.source_end) == (7, 67, 20, 80) for x in got)
 
 
+def test_runs_of_one_word_are_passages(spark):
+    """Runs of a word of very different lengths, each in another text, hold a common passage."""
+    rng = np.random.default_rng(5)
+    other = lambda: [f"w{x}" for x in rng.integers(0, 10**9, 30)]
+    rows = [(i, " ".join([*other(), *["of"] * n, *other()])) for i, n in enumerate([60, 210, 48, 130, 75, 320, 90, 52, 180, 66])]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cap=3).collect()
+    forest = common.Forest(len(rows))
+    for x in got:
+        forest.join(x.doc_id, x.source_id)
+    assert {forest.root(i) for i in range(len(rows))} == {0}
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_likely_pairs_are_all_that_may_link(two, monkeypatch):
+    """Occurrences of one common seed: what is set against each other holds all pairs that all against all finds."""
+    rng = np.random.default_rng(3)
+    n, k = 600, 5
+    t = {"seed": np.full(n, 7), "id": np.arange(n) // 2, "v": np.zeros(n, np.int32), "at": np.arange(n), "cls": rng.integers(0, 400, n),
+         "blk": np.arange(n) % 2 if two else np.zeros(n, int), "lo": np.zeros(n, int), "hi": np.full(n, int(two))}
+    around = np.zeros(n, passages._SPOT)
+    around["prev"] = rng.integers(0, 200, n)
+    around["before"] = rng.integers(1, 60, (n, 7))
+    around["words"] = rng.integers(1, 20, (n, 24))
+    shared = rng.integers(0, 24, n)
+    for i, x in enumerate(shared):
+        around["words"][i, :x] = 1 + np.arange(x)
+    around["words"][rng.random(n) < 0.2, 12:] = 0
+    around["signs"] = np.where(rng.random((n, 96)) < 0.004, rng.integers(0, 60, (n, 96)) * 1024 + 1, 0)  # no two share a bit
+    table = pa.table({**{c: x for c, x in t.items()}, "around": [around[i].tobytes() for i in range(n)]})
+    asked = []
+    test = passages._may_link
+    monkeypatch.setattr(passages, "_may_link", lambda t, i, j, k: (asked.append(len(i)), test(t, i, j, k))[1])
+    got = passages._judged(None, table, k)
+    few = sum(asked)
+    monkeypatch.setattr(passages, "_plans", lambda t, group, *x: [(np.arange(n), np.arange(n - 1), np.arange(1, n), np.arange(n - 1, 0, -1))])
+    asked.clear()
+    want = passages._judged(None, table, k)
+    rows = lambda x: sorted(zip(*(x[c].to_pylist() for c in x.column_names)))
+    assert rows(got) == rows(want) and len(rows(got)) > 20
+    assert few < sum(asked)
+
+
 def test_passages_within_a_text_and_copies(spark):
     """Both places of a passage in one document are found, against another and against each other; copies of a text are named."""
     r = random.Random(7)
