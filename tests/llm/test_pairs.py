@@ -449,6 +449,54 @@ def test_likely_pairs_are_all_that_may_link(two, monkeypatch):
     assert few < sum(asked)
 
 
+def test_equal_runs_beside_longer_ones_are_passages_too():
+    """Each run of equal words of two texts is a chain of its own, but for those beside a longer one in both."""
+    at = np.r_[np.arange(0, 46, 5), np.arange(100, 156, 5), np.arange(102, 150, 5)]
+    rat = np.r_[np.arange(7, 53, 5), np.arange(300, 356, 5), np.arange(300, 348, 5)]
+    got = passages._straight(at, rat, 5, 45)
+    assert sorted((int(at[c[0]]), int(rat[c[0]]), len(c)) for c in got) == [(0, 7, 10), (100, 300, 12)]
+
+
+def test_short_runs_of_one_word_go_on_only_with_more():
+    """Of runs of one word that are too short for a passage, only those that a common seed follows in both are compared."""
+    rng = np.random.default_rng(8)
+    n, k = 40, 5
+    around = np.zeros(n, passages._SPOT)
+    length = rng.integers(8, 24, n)  # words of the run after the seed
+    around["one"], around["prev"] = 3, 1 + np.arange(n)
+    around["before"], around["words"] = rng.integers(100, 65000, (n, 7)), rng.integers(100, 65000, (n, 24))
+    for i, x in enumerate(length):
+        around["words"][i, :x], around["signs"][i, :x], around["early"][i] = 3, 9, (2 << int(x)) - 2
+    around["signs"][[4, 11], length[[4, 11]] + 6] = 77
+    t = {"seed": np.full(n, 7), "id": np.arange(n), "v": np.zeros(n, np.int32), "at": np.arange(n), "cls": np.arange(n),
+         "blk": np.zeros(n, int), "lo": np.zeros(n, int), "hi": np.zeros(n, int)}
+    got = passages._judged(None, pa.table({**t, "around": [around[i].tobytes() for i in range(n)]}), k)
+    assert list(zip(*(got[c].to_pylist() for c in ("id", "rid")))) == [(11, 4)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_texts_with_a_common_passage_are_connected(spark, seed):
+    """Texts of runs of few words and of a common line: whatever pair, all set against all, has a passage, rows connect it."""
+    r = random.Random(seed)
+    line = [f"l{i}" for i in range(13)]
+    other = lambda n: [f"{r.choice('bcdfg')}{r.randrange(10**6)}" for _ in range(n)]
+    runs = lambda: [[r.choice("pqs")] * r.choice([6, 9, 14, 20, 31, 38, 44, 47]), line, line[:7], line[4:], other(r.choice([1, 3, 9])), line[::2]]
+    rows = [(i, " ".join(w for _ in range(r.randint(4, 9)) for w in r.choice(runs()))) for i in range(70)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cap=2, block=8).collect()
+    forest = common.Forest(len(rows))
+    for x in got:
+        forest.join(x.doc_id, x.source_id)
+    two = [(i, j) for i in range(len(rows)) for j in range(i)]
+    names = lambda x: pa.array([y[x] for y in two], pa.int64())
+    zero = pa.array([0] * len(two), pa.int32())
+    pairs = pa.table({"id": names(0), "v": zero, "rid": names(1), "rv": zero})
+    texts = pa.table({"who": pa.array([x for x, _ in rows], pa.int64()), "key": pa.array([0] * len(rows), pa.int32()), "text": [x for _, x in rows]})
+    want = passages._compared(None, pairs, texts, k=5, w=1, words=45, least=0.8)
+    linked = {(x["id"], x["rid"]) for x in want.to_pylist()}
+    assert len(linked) > 20 and len({forest.root(i) for i in range(len(rows))}) > 1
+    assert [x for x in linked if forest.root(x[0]) != forest.root(x[1])] == []
+
+
 def test_passages_within_a_text_and_copies(spark):
     """Both places of a passage in one document are found, against another and against each other; copies of a text are named."""
     r = random.Random(7)
