@@ -474,27 +474,45 @@ def test_short_runs_of_one_word_go_on_only_with_more():
     assert list(zip(*(got[c].to_pylist() for c in ("id", "rid")))) == [(11, 4)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_all_texts_with_a_common_passage_are_connected(spark, seed):
-    """Texts of runs of few words and of a common line: whatever pair, all set against all, has a passage, rows connect it."""
+def texts_of_runs(seed):
+    """Texts of runs of few words and of a common line."""
     r = random.Random(seed)
     line = [f"l{i}" for i in range(13)]
     other = lambda n: [f"{r.choice('bcdfg')}{r.randrange(10**6)}" for _ in range(n)]
     runs = lambda: [[r.choice("pqs")] * r.choice([6, 9, 14, 20, 31, 38, 44, 47]), line, line[:7], line[4:], other(r.choice([1, 3, 9])), line[::2]]
-    rows = [(i, " ".join(w for _ in range(r.randint(4, 9)) for w in r.choice(runs()))) for i in range(70)]
-    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cap=2, block=8).collect()
-    forest = common.Forest(len(rows))
-    for x in got:
-        forest.join(x.doc_id, x.source_id)
+    return [(i, " ".join(w for _ in range(r.randint(4, 9)) for w in r.choice(runs()))) for i in range(70)]
+
+
+def linked(rows):
+    """Pairs of texts with a passage, all set against all."""
     two = [(i, j) for i in range(len(rows)) for j in range(i)]
     names = lambda x: pa.array([y[x] for y in two], pa.int64())
     zero = pa.array([0] * len(two), pa.int32())
     pairs = pa.table({"id": names(0), "v": zero, "rid": names(1), "rv": zero})
     texts = pa.table({"who": pa.array([x for x, _ in rows], pa.int64()), "key": pa.array([0] * len(rows), pa.int32()), "text": [x for _, x in rows]})
-    want = passages._compared(None, pairs, texts, k=5, w=1, words=45, least=0.8)
-    linked = {(x["id"], x["rid"]) for x in want.to_pylist()}
-    assert len(linked) > 20 and len({forest.root(i) for i in range(len(rows))}) > 1
-    assert [x for x in linked if forest.root(x[0]) != forest.root(x[1])] == []
+    return {(x["id"], x["rid"]) for x in passages._compared(None, pairs, texts, k=5, w=1, words=45, least=0.8).to_pylist()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_texts_with_a_common_passage_are_connected(spark, seed):
+    """Whatever pair, all set against all, has a passage, rows connect it."""
+    rows = texts_of_runs(seed)
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cap=2, block=8).collect()
+    forest = common.Forest(len(rows))
+    for x in got:
+        forest.join(x.doc_id, x.source_id)
+    want = linked(rows)
+    assert len(want) > 20 and len({forest.root(i) for i in range(len(rows))}) > 1
+    assert [x for x in want if forest.root(x[0]) != forest.root(x[1])] == []
+
+
+def test_runs_side_by_side_lose_no_pair(monkeypatch):
+    """Chains that use few of the diagonals of runs of one word find passages of all pairs that all matches do."""
+    rows = texts_of_runs(3)
+    got = linked(rows)
+    monkeypatch.setattr(passages, "_spaced", lambda at, rat, k: np.ones(len(at), bool))
+    want = linked(rows)
+    assert len(want) > 20 and want <= got
 
 
 def test_passages_within_a_text_and_copies(spark):
